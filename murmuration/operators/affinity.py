@@ -240,7 +240,7 @@ def suggest(
     weights are not negative. So only those are added to each window.
     """
     by_candidate = materialize(
-        static_by_candidate(static).join(friends_of_selected(knows, p), "candidate_id", "left"),
+        static_by_candidate(static).join(friends_of_selected(knows, p), "candidate_id", "full_outer"),
         "static-scores",
     )
     acting = materialize(candidates, "window-scores")

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmuration.operators.scan import prefix_scan
 from murmuration.operators.threads import resolve_roots
@@ -108,33 +109,43 @@ def clean_comments(comments: DataFrame, posts: DataFrame, order: Sequence[str])
     return kept_comments(comments, posts, order).drop("depth")
 
 
+def reject_rows(
+    audited_posts: DataFrame, audited_likes: DataFrame, comments: DataFrame,
+    known_posts: DataFrame, kept: DataFrame,
+) -> DataFrame:
+    """(kind, id, reason) of every row that cleaning drops, from audited and kept rows."""
+    def bad(df: DataFrame, kind: str) -> DataFrame:
+        return df.filter("reason is not null").select(
+            F.lit(kind).alias("kind"), F.col(f"{kind}_id").alias("id"), "reason"
+        )
+
+    bad_replies = comments.filter(F.col("reply_to_post").isNull()).join(
+        kept.filter("depth > 0").select("comment_id"), "comment_id", "left_anti"
+    ).withColumn("reason", F.when(F.col("ts_ms").isNull(), BAD_TIME).otherwise(MISSING_PARENT))
+    return (
+        bad(audited_posts, "post")
+        .unionByName(bad(audited_likes, "like"))
+        .unionByName(bad(audit_direct_comments(comments, known_posts), "comment"))
+        .unionByName(bad(bad_replies, "comment"))
+    )
+
+
 def rejects(
     posts: DataFrame, likes: DataFrame, comments: DataFrame,
     known_posts: DataFrame, order: Sequence[str],
 ) -> DataFrame:
     """(kind, id, reason) of every row that cleaning drops."""
-    bad_posts = audit_order(posts, order).filter("reason is not null").select(
-        F.lit("post").alias("kind"), F.col("post_id").alias("id"), "reason"
-    )
-    bad_likes = audit_likes(likes, known_posts, order).filter("reason is not null").select(
-        F.lit("like").alias("kind"), F.col("like_id").alias("id"), "reason"
-    )
-    bad_direct = audit_direct_comments(comments, known_posts).filter("reason is not null").select(
-        F.lit("comment").alias("kind"), F.col("comment_id").alias("id"), "reason"
-    )
-    kept = kept_comments(comments, known_posts, order).filter("depth > 0").select("comment_id")
-    bad_replies = comments.filter(F.col("reply_to_post").isNull()).join(
-        kept, "comment_id", "left_anti"
-    ).select(
-        F.lit("comment").alias("kind"), F.col("comment_id").alias("id"),
-        F.when(F.col("ts_ms").isNull(), BAD_TIME).otherwise(MISSING_PARENT).alias("reason"),
+    return reject_rows(
+        audit_order(posts, order), audit_likes(likes, known_posts, order), comments,
+        known_posts, kept_comments(comments, known_posts, order),
     )
-    return bad_posts.unionByName(bad_likes).unionByName(bad_direct).unionByName(bad_replies)
 
 
 def with_arrival(df: DataFrame, id_col: str, min_s: int, max_s: int, ts: str = "ts_ms") -> DataFrame:
     """Arrival time: event time plus a delay in [min_s, max_s) fixed by the row's id."""
-    delay_s = F.lit(min_s) + (F.col(id_col) * 7919) % (max_s - min_s)
+    is_text = isinstance(df.schema[id_col].dataType, T.StringType)
+    number = F.crc32(id_col) if is_text else F.col(id_col) * 7919
+    delay_s = F.lit(min_s) + number % (max_s - min_s)
     return df.withColumn("arrival_ms", F.col(ts) + delay_s * 1000)
 
 

@@ -79,7 +79,7 @@ class Params:
     def from_properties(cls, props: dict[str, str], **overrides) -> "Params":
         """Build from the keys of a properties file (friendId0.., weight names, delays)."""
         selected = tuple(
-            props[k].strip()
+                int(props[k])
             for k in sorted((k for k in props if k.startswith("friendId")), key=lambda k: int(k[8:]))
         )
         weights = _decimals(STATIC_WEIGHTS | WINDOW_WEIGHTS)
