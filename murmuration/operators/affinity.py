@@ -93,21 +93,25 @@ def static_total(features: DataFrame, p: Params = Params()) -> DataFrame:
 def _per_window(df: DataFrame, keys: list[str], p: Params) -> DataFrame:
     """Row counts per sliding window, from counts per slide.
 
-    Rows are counted per slide first, so only counts are spread over the windows.
+    Rows are counted per slide first, so only counts are spread over the windows. A column
+    ``n`` says how many rows a row stands for.
     """
-    slices = df.groupBy(floor_to(F.col("ts_ms"), p.slide_ms).alias("slice_ms"), *keys).agg(
-        F.count("*").alias("n")
-    )
+    rows = F.sum("n") if "n" in df.columns else F.count("*")
+    slices = df.groupBy(floor_to(F.col("ts_ms"), p.slide_ms).alias("slice_ms"), *keys).agg(rows.alias("n"))
     return slices.select(
         F.explode(window_ends(F.col("slice_ms"), p.window_ms, p.slide_ms)).alias("window_end_ms"),
         *keys, "n",
     ).groupBy("window_end_ms", *keys).agg(F.sum("n").alias("n"))
 
 
+def _keep_n(df: DataFrame, *cols) -> DataFrame:
+    return df.select(*cols, *(["n"] if "n" in df.columns else []))
+
+
 def co_activity(rows: DataFrame, target: str, p: Params = Params()) -> DataFrame:
     """(window_end_ms, selected_id, candidate_id, amount): rows of a candidate on targets
     that a selected person also has a row on in the same window."""
-    narrow = rows.select("person_id", F.col(target).alias("target"), "ts_ms")
+    narrow = _keep_n(rows, "person_id", F.col(target).alias("target"), "ts_ms")
     counts = _per_window(narrow, ["target", "person_id"], p)
     mine = _per_window(
         narrow.filter(F.col("person_id").isin(list(p.selected))), ["target", "person_id"], p
@@ -123,14 +127,14 @@ def co_activity(rows: DataFrame, target: str, p: Params = Params()) -> DataFrame
 
 def active_people(events: DataFrame, p: Params = Params()) -> DataFrame:
     """(window_end_ms, candidate_id, amount = 1) for people with any event in the window."""
-    return _per_window(events.select("person_id", "ts_ms"), ["person_id"], p).select(
+    return _per_window(_keep_n(events, "person_id", "ts_ms"), ["person_id"], p).select(
         "window_end_ms", F.col("person_id").alias("candidate_id"), F.lit(1).cast("long").alias("amount")
     )
 
 
 def author_activity(posts: DataFrame, p: Params = Params()) -> DataFrame:
     """(window_end_ms, candidate_id, amount): posts written in the window."""
-    return _per_window(posts.select("person_id", "ts_ms"), ["person_id"], p).select(
+    return _per_window(_keep_n(posts, "person_id", "ts_ms"), ["person_id"], p).select(
         "window_end_ms", F.col("person_id").alias("candidate_id"), F.col("n").alias("amount")
     )
 

@@ -40,39 +40,55 @@ def _text_steps(df: DataFrame, id_col: str, lexicon: Collection[str], uniq: int,
     )
 
 
-def _novelty_steps(df: DataFrame, seen: DataFrame, item: str, feature: int) -> DataFrame:
+def _unit_steps(events: DataFrame, feature: int) -> DataFrame:
+    """One more event, nothing new."""
+    return events.select(
+        "person_id", F.lit(feature).alias("feature_id"), "ts_ms", "event_id",
+        F.lit(0.0).alias("num"), F.lit(1).cast("long").alias("den"),
+    )
+
+
+def _novelty_steps(units: DataFrame, items: DataFrame) -> DataFrame:
     """Steps of "distinct items so far over events so far".
 
-    ``df`` has the events, ``seen`` the items (person_id, ts_ms, event_id, item). An item
-    counts at the event that brings it first; that event is found by a grouped minimum,
-    which is combined before the shuffle.
+    An item counts at the event that brings it first; that event is found by a grouped
+    minimum, which is combined before the shuffle.
     """
-    first = seen.groupBy("person_id", item).agg(F.min(F.struct("ts_ms", "event_id")).alias("at"))
+    first = items.groupBy("person_id", "feature_id", "item").agg(F.min(F.struct("ts_ms", "event_id")).alias("at"))
     new = first.select(
-        "person_id", "at.ts_ms", "at.event_id", F.lit(1.0).alias("num"), F.lit(0).cast("long").alias("den")
+        "person_id", "feature_id", "at.ts_ms", "at.event_id",
+        F.lit(1.0).alias("num"), F.lit(0).cast("long").alias("den"),
     )
-    events = df.select(
-        "person_id", "ts_ms", "event_id", F.lit(0.0).alias("num"), F.lit(1).cast("long").alias("den")
-    )
-    return events.unionByName(new).groupBy("person_id", "ts_ms", "event_id").agg(
-        F.sum("num").alias("num"), F.sum("den").alias("den")
-    ).select("person_id", F.lit(feature).alias("feature_id"), "ts_ms", "event_id", "num", "den")
+    key = ["person_id", "feature_id", "ts_ms", "event_id"]
+    return units.unionByName(new).groupBy(*key).agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
 def post_steps(posts: DataFrame, lexicon: Collection[str]) -> DataFrame:
     return _text_steps(posts, "post_id", lexicon, POST_UNIQ, POST_BAD)
 
 
+def comment_text_steps(comments: DataFrame, lexicon: Collection[str]) -> DataFrame:
+    return _text_steps(comments, "comment_id", lexicon, COMMENT_UNIQ, COMMENT_BAD)
+
+
+def comment_units(comments: DataFrame) -> DataFrame:
+    return _unit_steps(comments.withColumnRenamed("comment_id", "event_id"), COMMENT_VOCAB)
+
+
+def word_items(comments: DataFrame) -> DataFrame:
+    """(person_id, feature_id, ts_ms, event_id, item): the distinct words of each comment."""
+    return comments.select(
+        "person_id", F.lit(COMMENT_VOCAB).alias("feature_id"), "ts_ms", F.col("comment_id").alias("event_id"),
+        F.explode(F.array_distinct(tokens(F.col("content")))).alias("item"),
+    )
+
+
 def comment_vocab_steps(comments: DataFrame) -> DataFrame:
-    rows = comments.withColumnRenamed("comment_id", "event_id")
-    words = rows.select("person_id", "ts_ms", "event_id", F.explode(tokens(F.col("content"))).alias("word"))
-    return _novelty_steps(rows, words, "word", COMMENT_VOCAB)
+    return _novelty_steps(comment_units(comments), word_items(comments))
 
 
 def comment_steps(comments: DataFrame, lexicon: Collection[str]) -> DataFrame:
-    return _text_steps(comments, "comment_id", lexicon, COMMENT_UNIQ, COMMENT_BAD).unionByName(
-        comment_vocab_steps(comments)
-    )
+    return comment_text_steps(comments, lexicon).unionByName(comment_vocab_steps(comments))
 
 
 def liked_author(likes: DataFrame, posts: DataFrame) -> DataFrame:
@@ -81,10 +97,21 @@ def liked_author(likes: DataFrame, posts: DataFrame) -> DataFrame:
     return likes.join(authors, "post_id", "left")
 
 
+def like_units(likes: DataFrame) -> DataFrame:
+    return _unit_steps(likes.withColumnRenamed("like_id", "event_id"), LIKE_SPREAD)
+
+
+def author_items(matched: DataFrame) -> DataFrame:
+    """The author of each liked post as item; likes of unknown posts have none."""
+    return matched.filter("author_id is not null").select(
+        "person_id", F.lit(LIKE_SPREAD).alias("feature_id"), "ts_ms", F.col("like_id").alias("event_id"),
+        F.col("author_id").alias("item"),
+    )
+
+
 def like_steps(likes: DataFrame, posts: DataFrame) -> DataFrame:
     """Unmatched likes add to the denominator only."""
-    rows = liked_author(likes, posts).withColumnRenamed("like_id", "event_id")
-    return _novelty_steps(rows, rows.filter("author_id is not null"), "author_id", LIKE_SPREAD)
+    return _novelty_steps(like_units(likes), author_items(liked_author(likes, posts)))
 
 
 def running_features(*steps: DataFrame) -> DataFrame:

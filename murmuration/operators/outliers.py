@@ -9,26 +9,29 @@ from murmuration.functions.timing import floor_to
 from murmuration.params import DAY_MS
 
 
-def feature_daily(features: DataFrame) -> DataFrame:
+def feature_daily(features: DataFrame, until_ms: int | None = None) -> DataFrame:
     """(feature_id, day_ms, person_id, value): latest value of each person before midnight.
 
     Per person and active day the last value is a grouped maximum. It then holds for all
-    midnights up to the person's next active day, or to the end of the feature; a person
-    has at most one row per day in the window.
+    midnights up to the person's next active day, or to the first midnight after the
+    feature's last value (or to ``until_ms``); a person has at most one row per day in the
+    window.
     """
     valued = features.filter("value is not null")
     day = (floor_to(F.col("ts_ms"), DAY_MS) + F.lit(DAY_MS)).alias("from_ms")
     last = valued.groupBy("feature_id", "person_id", day).agg(
         F.max_by("value", F.struct("ts_ms", "event_id")).alias("value")
     )
-    end = valued.groupBy("feature_id").agg(
-        (floor_to(F.max("ts_ms"), DAY_MS) + F.lit(DAY_MS)).alias("end_ms")
-    )
     person = Window.partitionBy("feature_id", "person_id").orderBy("from_ms")
-    # One row per feature id: six at most.
-    held = last.withColumn("next_ms", F.lead("from_ms").over(person)).join(
-        F.broadcast(end), "feature_id"
-    )
+    held = last.withColumn("next_ms", F.lead("from_ms").over(person))
+    if until_ms is None:
+        end = valued.groupBy("feature_id").agg(
+            (floor_to(F.max("ts_ms"), DAY_MS) + F.lit(DAY_MS)).alias("end_ms")
+        )
+        # One row per feature id: six at most.
+        held = held.join(F.broadcast(end), "feature_id")
+    else:
+        held = held.withColumn("end_ms", F.lit(until_ms).cast("long"))
     until = F.coalesce(F.col("next_ms") - F.lit(DAY_MS), "end_ms")
     return held.select(
         "feature_id",

@@ -13,8 +13,8 @@ from murmuration.runtime import materialize_counting
 def resolve_roots(nodes: DataFrame, name: str = "roots") -> DataFrame:
     """Nodes whose parent chain ends at a node with a ``root``, with that root and ``depth``.
 
-    ``nodes`` has ``id`` (unique), ``parent``, ``root`` and any payload, which is kept;
-    nodes with a root have depth 0.
+    ``nodes`` has ``id`` (unique), ``parent``, ``root`` and any payload, which is kept.
+    Nodes with a root have depth 0, or the depth given in an optional column ``start``.
 
     Pointer doubling: an open node points at some ancestor; each round it takes that
     ancestor's root, or, while that is open too, the ancestor's own pointer, so the
@@ -23,14 +23,15 @@ def resolve_roots(nodes: DataFrame, name: str = "roots") -> DataFrame:
     out. Joins are on node ids: the pointed-at side is unique, and AQE splits a popular
     ancestor on the pointing side.
     """
-    payload = [c for c in nodes.columns if c not in ("id", "parent", "root")]
+    payload = [c for c in nodes.columns if c not in ("id", "parent", "root", "start")]
     is_open = F.col("root").isNull()
+    start = F.col("start") if "start" in nodes.columns else F.lit(0)
     step, left = materialize_counting(
         nodes.filter(F.col("root").isNotNull() | F.col("parent").isNotNull()).select(
             "id",
             F.when(is_open, F.col("parent")).alias("pointer"),
             "root",
-            F.when(is_open, 1).otherwise(0).cast("long").alias("depth"),
+            F.when(is_open, 1).otherwise(start).cast("long").alias("depth"),
             *payload,
         ),
         f"{name}-0", is_open,
