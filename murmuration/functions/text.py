@@ -23,16 +23,23 @@ def tokens(text: Column) -> Column:
     )
 
 
-def uniq_ratio(text: Column) -> Column:
-    """Distinct words over words; null for a text without words."""
-    words = tokens(text)
+def uniq_ratio_of(words: Column) -> Column:
+    """Distinct words over words; null if there are none."""
     return F.size(F.array_distinct(words)) / F.nullif(F.size(words), F.lit(0))
 
 
-def bad_words(text: Column, lexicon: Collection[str]) -> Column:
+def bad_words_of(words: Column, lexicon: Collection[str]) -> Column:
     """Number of words that, in lower case, are in the lexicon (looked up in a hash set)."""
     listed = sorted({w.lower() for w in lexicon})
-    return F.size(F.filter(tokens(text), lambda w: F.lower(w).isin(listed))).cast("long")
+    return F.size(F.filter(words, lambda w: F.lower(w).isin(listed))).cast("long")
+
+
+def uniq_ratio(text: Column) -> Column:
+    return uniq_ratio_of(tokens(text))
+
+
+def bad_words(text: Column, lexicon: Collection[str]) -> Column:
+    return bad_words_of(tokens(text), lexicon)
 
 
 def word_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

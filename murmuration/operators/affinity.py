@@ -19,6 +19,16 @@ from murmuration.runtime import materialize
 
 SCORE = "decimal(18,4)"
 
+POST, LIKE, COMMENT, REPLY = "post", "like", "comment", "reply"
+
+# What a shared target of each kind of activity counts as.
+SHARED_FEATURES = {
+    LIKE: "likedTheSame",
+    POST: "postedSameForum",
+    COMMENT: "commentedSamePost",
+    REPLY: "commentedSameComment",
+}
+
 
 def weight_of(weights: dict[str, Decimal], feature: Column) -> Column:
     """Weight of a feature name; unknown names are an error, not a silent zero."""
@@ -90,75 +100,121 @@ def static_total(features: DataFrame, p: Params = Params()) -> DataFrame:
     )
 
 
-def _per_window(df: DataFrame, keys: list[str], p: Params) -> DataFrame:
-    """Row counts per sliding window, from counts per slide.
+def activity_rows(posts: DataFrame, likes: DataFrame, comments: DataFrame) -> DataFrame:
+    """(kind, person_id, target, ts_ms) of everything people do.
 
-    Rows are counted per slide first, so only counts are spread over the windows. A column
-    ``n`` says how many rows a row stands for.
+    The target is what people can have in common: the forum of a post, the liked or
+    commented post, the comment replied to; null if there is none.
     """
-    rows = F.sum("n") if "n" in df.columns else F.count("*")
-    slices = df.groupBy(floor_to(F.col("ts_ms"), p.slide_ms).alias("slice_ms"), *keys).agg(rows.alias("n"))
-    return slices.select(
-        F.explode(window_ends(F.col("slice_ms"), p.window_ms, p.slide_ms)).alias("window_end_ms"),
-        *keys, "n",
-    ).groupBy("window_end_ms", *keys).agg(F.sum("n").alias("n"))
+    def rows(df: DataFrame, kind: Column, target: Column) -> DataFrame:
+        return df.select(kind.alias("kind"), "person_id", target.cast("string").alias("target"), "ts_ms")
+
+    direct = F.col("reply_to_comment").isNull()
+    return (
+        rows(posts, F.lit(POST), F.col("forum_id"))
+        .unionByName(rows(likes, F.lit(LIKE), F.col("post_id")))
+        .unionByName(rows(
+            comments, F.when(direct, COMMENT).otherwise(REPLY),
+            F.when(direct, F.col("reply_to_post").cast("string")).otherwise(F.col("reply_to_comment").cast("string")),
+        ))
+    )
 
 
 def _keep_n(df: DataFrame, *cols) -> DataFrame:
     return df.select(*cols, *(["n"] if "n" in df.columns else []))
 
 
-def co_activity(rows: DataFrame, target: str, p: Params = Params()) -> DataFrame:
-    """(window_end_ms, selected_id, candidate_id, amount): rows of a candidate on targets
-    that a selected person also has a row on in the same window."""
-    narrow = _keep_n(rows, "person_id", F.col(target).alias("target"), "ts_ms")
-    counts = _per_window(narrow, ["target", "person_id"], p)
-    mine = _per_window(
-        narrow.filter(F.col("person_id").isin(list(p.selected))), ["target", "person_id"], p
-    ).select("window_end_ms", "target", F.col("person_id").alias("selected_id"))
+def _slices(df: DataFrame, keys: list[str], p: Params) -> DataFrame:
+    """Row counts per slide of time. A column ``n`` says how many rows a row stands for."""
+    rows = F.sum("n") if "n" in df.columns else F.count("*")
+    return df.groupBy(floor_to(F.col("ts_ms"), p.slide_ms).alias("slice_ms"), *keys).agg(rows.alias("n"))
+
+
+def _windows(slices: DataFrame, keys: list[str], p: Params) -> DataFrame:
+    """Row counts per sliding window: only counts are spread over the windows, not rows."""
+    return slices.select(
+        F.explode(window_ends(F.col("slice_ms"), p.window_ms, p.slide_ms)).alias("window_end_ms"), *keys, "n",
+    ).groupBy("window_end_ms", *keys).agg(F.sum("n").alias("n"))
+
+
+def _shared(rows: DataFrame, target: list[str], p: Params) -> DataFrame:
+    """(window_end_ms, selected_id, candidate_id, amount) and all but the last of ``target``.
+
+    Only targets that a selected person ever touches can count, so all other rows are
+    dropped before any window is formed.
+    """
+    narrow = _keep_n(rows.filter(F.col(target[-1]).isNotNull()), *target, "person_id", "ts_ms")
+    keys = [*target, "person_id"]
+    mine = narrow.filter(F.col("person_id").isin(list(p.selected)))
+    near = _slices(narrow, keys, p).join(mine.select(*target).distinct(), target, "left_semi")
+    theirs = _windows(near, keys, p).withColumnRenamed("person_id", "candidate_id")
+    ours = _windows(_slices(mine, keys, p), keys, p).select(
+        "window_end_ms", *target, F.col("person_id").alias("selected_id")
+    )
+    group = ["window_end_ms", "selected_id", "candidate_id", *target[:-1]]
     return (
-        counts.withColumnRenamed("person_id", "candidate_id")
-        .join(mine, ["window_end_ms", "target"])
+        theirs.join(ours, ["window_end_ms", *target])
         .filter("candidate_id <> selected_id")
-        .groupBy("window_end_ms", "selected_id", "candidate_id")
+        .groupBy(*group)
         .agg(F.sum("n").alias("amount"))
     )
 
 
+def co_activity(rows: DataFrame, target: str, p: Params = Params()) -> DataFrame:
+    """(window_end_ms, selected_id, candidate_id, amount): rows of a candidate on targets
+    that a selected person also has a row on in the same window."""
+    return _shared(rows, [target], p)
+
+
+def shared_features(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """Co-activity of every kind at once: (window_end_ms, selected_id, candidate_id, feature, amount)."""
+    kind = F.col("kind")
+    feature = F.coalesce(*[F.when(kind == k, name) for k, name in SHARED_FEATURES.items()])
+    return _shared(rows, ["kind", "target"], p).withColumn("feature", feature).drop("kind")
+
+
 def active_people(events: DataFrame, p: Params = Params()) -> DataFrame:
     """(window_end_ms, candidate_id, amount = 1) for people with any event in the window."""
-    return _per_window(_keep_n(events, "person_id", "ts_ms"), ["person_id"], p).select(
+    slices = _slices(_keep_n(events, "person_id", "ts_ms"), ["person_id"], p)
+    return _windows(slices, ["person_id"], p).select(
         "window_end_ms", F.col("person_id").alias("candidate_id"), F.lit(1).cast("long").alias("amount")
     )
 
 
 def author_activity(posts: DataFrame, p: Params = Params()) -> DataFrame:
     """(window_end_ms, candidate_id, amount): posts written in the window."""
-    return _per_window(_keep_n(posts, "person_id", "ts_ms"), ["person_id"], p).select(
+    slices = _slices(_keep_n(posts, "person_id", "ts_ms"), ["person_id"], p)
+    return _windows(slices, ["person_id"], p).select(
         "window_end_ms", F.col("person_id").alias("candidate_id"), F.col("n").alias("amount")
     )
 
 
-def _windowed_again(features: dict[str, DataFrame], keys: list[str], p: Params) -> DataFrame:
+def own_features(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """Both at once: (window_end_ms, candidate_id, feature, amount)."""
+    n = F.col("n") if "n" in rows.columns else F.lit(1)
+    posts = rows.select("person_id", "ts_ms", F.when(F.col("kind") == POST, n).otherwise(0).cast("long").alias("n"))
+    counts = _windows(_slices(posts, ["person_id"], p), ["person_id"], p)
+    feature = F.explode(F.array(
+        F.struct(F.lit("active").alias("feature"), F.lit(1).cast("long").alias("amount")),
+        F.struct(F.lit("authorActive").alias("feature"), F.col("n").alias("amount")),
+    ))
+    return counts.select("window_end_ms", F.col("person_id").alias("candidate_id"), feature.alias("f")).select(
+        "window_end_ms", "candidate_id", "f.*"
+    )
+
+
+def _windowed_again(features: DataFrame, keys: list[str], p: Params) -> DataFrame:
     """Weighted window results summed over sliding windows of their window ends."""
     ends = F.array(*[
         F.col("window_end_ms") + F.lit(i * p.slide_ms) for i in range(p.window_ms // p.slide_ms)
     ])
-    parts = [
-        f.select(
-            F.explode(ends).alias("window_end_ms"), *keys,
-            (F.col("amount") * F.lit(p.weights[name]).cast("decimal(12,4)")).cast(SCORE).alias("score"),
-        )
-        for name, f in features.items()
-    ]
-    return reduce(DataFrame.unionByName, parts).groupBy("window_end_ms", *keys).agg(
-        F.sum("score").cast(SCORE).alias("score")
-    )
+    weighted = F.col("amount") * weight_of(p.weights, F.col("feature"))
+    return features.select(F.explode(ends).alias("window_end_ms"), *keys, weighted.alias("score")).groupBy(
+        "window_end_ms", *keys
+    ).agg(F.sum("score").cast(SCORE).alias("score"))
 
 
-def candidate_scores(
-    own: dict[str, DataFrame], shared: dict[str, DataFrame], p: Params = Params()
-) -> DataFrame:
+def candidate_scores(own: DataFrame, shared: DataFrame, p: Params = Params()) -> DataFrame:
     """(window_end_ms, candidate_id, base, co) after windowing the window results again.
 
     ``own`` features do not depend on the selected person and make up ``base``; ``shared``
@@ -175,6 +231,11 @@ def candidate_scores(
     )
 
 
+def activity_scores(rows: DataFrame, p: Params = Params()) -> DataFrame:
+    """``candidate_scores`` of activity rows."""
+    return candidate_scores(own_features(rows, p), shared_features(rows, p), p)
+
+
 def static_by_candidate(static: DataFrame) -> DataFrame:
     """(candidate_id, static): map from selected person to static score."""
     return static.groupBy("candidate_id").agg(

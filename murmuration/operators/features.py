@@ -13,17 +13,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.functions.text import bad_words, tokens, uniq_ratio
+from murmuration.functions.text import bad_words_of, tokens, uniq_ratio_of
 from murmuration.operators.scan import prefix_scan
+from murmuration.runtime import materialize
 
 # Feature ids.
 POST_UNIQ, POST_BAD, COMMENT_UNIQ, COMMENT_BAD, COMMENT_VOCAB, LIKE_SPREAD = range(6)
 
 
 def _text_steps(df: DataFrame, id_col: str, lexicon: Collection[str], uniq: int, bad: int) -> DataFrame:
-    measured = df.select(
-        "person_id", "ts_ms", F.col(id_col).alias("event_id"),
-        uniq_ratio(F.col("content")).alias("uniq"), bad_words(F.col("content"), lexicon).alias("bad"),
+    split = df.select("person_id", "ts_ms", F.col(id_col).alias("event_id"), tokens(F.col("content")).alias("words"))
+    measured = split.select(
+        "person_id", "ts_ms", "event_id",
+        uniq_ratio_of(F.col("words")).alias("uniq"), bad_words_of(F.col("words"), lexicon).alias("bad"),
     )
     one = F.lit(1).cast("long")
     step = F.explode(F.array(
@@ -115,9 +117,13 @@ def like_steps(likes: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def running_features(*steps: DataFrame) -> DataFrame:
-    """(person_id, feature_id, event_id, ts_ms, value): value after each event."""
+    """(person_id, feature_id, event_id, ts_ms, value): value after each event.
+
+    The steps are written out first: range partitioning reads its input twice, and the
+    texts should be taken apart only once.
+    """
     scanned = prefix_scan(
-        reduce(DataFrame.unionByName, steps),
+        materialize(reduce(DataFrame.unionByName, steps), "feature-steps"),
         keys=["person_id", "feature_id"], order=["ts_ms", "event_id"],
         sums={"_num": "num", "_den": "den"},
     )

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.runtime import materialize_counting
+from murmuration.runtime import write_counting
 
 
 def resolve_roots(nodes: DataFrame, name: str = "roots") -> DataFrame:
@@ -26,41 +24,38 @@ def resolve_roots(nodes: DataFrame, name: str = "roots") -> DataFrame:
     payload = [c for c in nodes.columns if c not in ("id", "parent", "root", "start")]
     is_open = F.col("root").isNull()
     start = F.col("start") if "start" in nodes.columns else F.lit(0)
-    step, left = materialize_counting(
-        nodes.filter(F.col("root").isNotNull() | F.col("parent").isNotNull()).select(
-            "id",
-            F.when(is_open, F.col("parent")).alias("pointer"),
-            "root",
-            F.when(is_open, 1).otherwise(start).cast("long").alias("depth"),
-            *payload,
-        ),
-        f"{name}-0", is_open,
+    step = nodes.filter(F.col("root").isNotNull() | F.col("parent").isNotNull()).select(
+        "id",
+        F.when(is_open, F.col("parent")).alias("pointer"),
+        "root",
+        F.when(is_open, 1).otherwise(start).cast("long").alias("depth"),
+        *payload,
     )
-    done = [step.filter(~is_open)]
+    read = nodes.sparkSession.read.schema(step.schema).parquet
+    path, left = write_counting(step, f"{name}-0", is_open)
+    paths = [path]
     # A chain without a cycle is no longer than the number of open nodes; whatever is
     # still open after that many doublings is on a cycle or leads into one.
     for i in range(1, left.bit_length() + 2):
         if not left:
             break
-        unresolved = step.filter(is_open)
-        ancestor = reduce(DataFrame.unionByName, [*done, unresolved]).select(
+        unresolved = read(paths[-1]).filter(is_open)
+        ancestor = read(*paths).filter(~is_open).unionByName(unresolved).select(
             F.col("id").alias("pointer"),
             F.col("root").alias("up_root"),
             F.col("pointer").alias("up_pointer"),
             F.col("depth").alias("up_depth"),
         )
-        step, left = materialize_counting(
-            unresolved.join(ancestor, "pointer").select(
-                "id",
-                F.col("up_pointer").alias("pointer"),
-                F.col("up_root").alias("root"),
-                (F.col("depth") + F.col("up_depth")).alias("depth"),
-                *payload,
-            ),
-            f"{name}-{i}", is_open,
+        step = unresolved.join(ancestor, "pointer").select(
+            "id",
+            F.col("up_pointer").alias("pointer"),
+            F.col("up_root").alias("root"),
+            (F.col("depth") + F.col("up_depth")).alias("depth"),
+            *payload,
         )
-        done.append(step.filter(~is_open))
-    return reduce(DataFrame.unionByName, done).drop("pointer")
+        path, left = write_counting(step, f"{name}-{i}", is_open)
+        paths.append(path)
+    return read(*paths).filter(~is_open).drop("pointer")
 
 
 def resolve_replies(comments: DataFrame) -> DataFrame:

@@ -41,30 +41,11 @@ def static_scores(clean: Tables, p: Params = Params()) -> DataFrame:
     return affinity.static_total(affinity.static_features(person, *tables, p), p)
 
 
-def window_features(clean: Tables, p: Params = Params()) -> tuple[Tables, Tables]:
-    """Window features that do not, and that do depend on the selected person."""
-    posts, likes, comments = (_numeric(clean[t], "person_id") for t in ("post", "like", "comment"))
-    everyone = [df.select("person_id", "ts_ms") for df in (posts, likes, comments)]
-    direct = comments.filter(F.col("reply_to_comment").isNull())
-    replies = comments.filter(F.col("reply_to_comment").isNotNull())
-    own = {
-        "active": affinity.active_people(everyone[0].unionByName(everyone[1]).unionByName(everyone[2]), p),
-        "authorActive": affinity.author_activity(posts, p),
-    }
-    shared = {
-        "likedTheSame": affinity.co_activity(likes, "post_id", p),
-        "postedSameForum": affinity.co_activity(posts.filter("forum_id is not null"), "forum_id", p),
-        "commentedSamePost": affinity.co_activity(direct, "reply_to_post", p),
-        "commentedSameComment": affinity.co_activity(replies, "reply_to_comment", p),
-    }
-    return own, shared
-
-
 def friend_suggestions(clean: Tables, p: Params = Params()) -> DataFrame:
     """(window_end_ms, selected_id, rank, candidate_id, score)."""
-    own, shared = window_features(clean, p)
+    rows = affinity.activity_rows(*[_numeric(clean[t], "person_id") for t in ("post", "like", "comment")])
     knows = _numeric(clean["knows"], "person1_id", "person2_id")
-    return affinity.suggest(affinity.candidate_scores(own, shared, p), static_scores(clean, p), knows, p)
+    return affinity.suggest(affinity.activity_scores(rows, p), static_scores(clean, p), knows, p)
 
 
 def behaviour_features(clean: Tables, lexicon: Collection[str]) -> DataFrame:

@@ -296,12 +296,9 @@ class Jobs:
     def aff_copost(self) -> DataFrame:
         return affinity.co_activity(self.a.direct_comments(), "reply_to_post", self.p)
 
-    def _cocomment(self, comments: DataFrame) -> DataFrame:
-        replies = comments.filter("reply_to_comment >= 0")
-        return affinity.co_activity(replies, "reply_to_comment", self.p)
-
     def aff_cocomment(self) -> DataFrame:
-        return self._cocomment(self.a.comments())
+        replies = self.a.comments().filter("reply_to_comment >= 0")
+        return affinity.co_activity(replies, "reply_to_comment", self.p)
 
     def _actors(self) -> DataFrame:
         return self.a.events("signup", "click", "purchase", "view").select(
@@ -315,19 +312,11 @@ class Jobs:
         return affinity.author_activity(self.a.raw_posts(), self.p)
 
     def _candidates(self) -> DataFrame:
-        return affinity.candidate_scores(
-            own={
-                "active": self.aff_active(),
-                "authorActive": self.aff_author_active(),
-            },
-            shared={
-                "likedTheSame": self.aff_colike(),
-                "postedSameForum": self.aff_coforum(),
-                "commentedSamePost": self.aff_copost(),
-                "commentedSameComment": self.aff_cocomment(),
-            },
-            p=self.p,
+        # A reply to nothing (-1) is an activity without a target.
+        rows = affinity.activity_rows(self.a.raw_posts(), self.a.likes(), self.a.comments()).withColumn(
+            "target", F.when(F.col("target") != "-1", F.col("target"))
         )
+        return affinity.activity_scores(rows, self.p)
 
     def aff_window_scores(self) -> DataFrame:
         return self._plain_score(affinity.window_scores(self._candidates(), self._static_total(), self.p))

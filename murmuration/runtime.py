@@ -45,22 +45,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def write_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` as a Parquet table in the checkpoint folder; returns its path."""
+    spark = df.sparkSession
+    app = re.sub(r"\W+", "-", spark.sparkContext.applicationId)
+    path = f"{checkpoint_root(spark).rstrip('/')}/murmuration/{app}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
+    """Write ``df`` out and read it back.
 
     Cuts the lineage durably (a lost executor costs a re-read, not a re-run), fixes
     values that depend on the physical layout, and gives Catalyst a known size, so that
     it broadcasts the table later only if it really is small.
     """
-    spark = df.sparkSession
-    app = re.sub(r"\W+", "-", spark.sparkContext.applicationId)
-    path = f"{checkpoint_root(spark).rstrip('/')}/murmuration/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
 
 
-def materialize_counting(df: DataFrame, name: str, condition: Column) -> tuple[DataFrame, int]:
-    """``materialize`` that also counts the rows for which ``condition`` holds, in the same job."""
+def write_counting(df: DataFrame, name: str, condition: Column) -> tuple[str, int]:
+    """``write_table`` that also counts the rows for which ``condition`` holds, in the same job."""
     seen = Observation()
-    written = materialize(df.observe(seen, F.count_if(condition).alias("n")), name)
-    return written, seen.get["n"]
+    path = write_table(df.observe(seen, F.count_if(condition).alias("n")), name)
+    return path, seen.get["n"]

@@ -9,30 +9,11 @@ from murmuration.operators import affinity
 from murmuration.params import Params
 from murmuration.streaming.state import BatchTable
 
-# Kinds of activity rows, and what a shared target of each kind counts as.
-ACTIVITY = {
-    "like": "likedTheSame",
-    "post": "postedSameForum",
-    "comment": "commentedSamePost",
-    "reply": "commentedSameComment",
-}
-
-
-def activity_rows(posts: DataFrame, likes: DataFrame, comments: DataFrame) -> DataFrame:
-    """(kind, person_id, target, ts) from three streams or tables with event time ``ts``."""
-    def rows(df: DataFrame, kind: str, target: str) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), "person_id", F.col(target).alias("target"), "ts")
-
-    direct = F.col("reply_to_comment").isNull()
-    both = comments.select(
-        F.when(direct, F.lit("comment")).otherwise(F.lit("reply")).alias("kind"), "person_id",
-        F.when(direct, F.col("reply_to_post")).otherwise(F.col("reply_to_comment")).alias("target"), "ts",
-    )
-    return rows(posts, "post", "forum_id").unionByName(rows(likes, "like", "post_id")).unionByName(both)
-
-
 def slice_counts(rows: DataFrame, p: Params = Params(), delay_s: int | None = None) -> DataFrame:
-    """Rows per slide of time, kind, target and person; a slice comes when it is complete."""
+    """Rows per slide of time, kind, target and person; a slice comes when it is complete.
+
+    ``rows`` is a stream of ``affinity.activity_rows`` with event time ``ts``.
+    """
     delay = p.max_delay_s if delay_s is None else delay_s
     return (
         rows.withWatermark("ts", f"{delay} seconds")
@@ -51,7 +32,7 @@ class SuggestionWriter:
 
     def __init__(self, spark: SparkSession, state_dir: str, static: DataFrame, knows: DataFrame, p: Params = Params()):
         self.slices = BatchTable(
-            spark, f"{state_dir}/slices", "ts_ms long, kind string, target long, person_id long, n long"
+            spark, f"{state_dir}/slices", "ts_ms long, kind string, target string, person_id long, n long"
         )
         self.done = BatchTable(spark, f"{state_dir}/done", "window_end_ms long")
         self.suggestions = BatchTable(
@@ -73,15 +54,7 @@ class SuggestionWriter:
         past = self.slices.before(batch_id + 1).filter(
             (F.col("ts_ms") >= since + p.slide_ms - reach) & (F.col("ts_ms") < upto)
         )
-        own = {
-            "active": affinity.active_people(past, p),
-            "authorActive": affinity.author_activity(past.filter("kind = 'post'"), p),
-        }
-        shared = {
-            feature: affinity.co_activity(past.filter(F.col("kind") == kind), "target", p)
-            for kind, feature in ACTIVITY.items()
-        }
-        closed = affinity.candidate_scores(own, shared, p).filter(
+        closed = affinity.activity_scores(past, p).filter(
             (F.col("window_end_ms") > since) & (F.col("window_end_ms") <= upto)
         )
         self.suggestions.write(affinity.suggest(closed, self.static, self.knows, p), batch_id)

@@ -240,8 +240,9 @@ def test_suggestions_equal_ranking_of_everyone(spark):
     static_df = spark.createDataFrame(static, "selected_id long, candidate_id long, score long").withColumn(
         "score", F.col("score").cast("decimal(18,4)"))
     knows = spark.createDataFrame(friends, "person1_id long, person2_id long")
-    none = spark.createDataFrame([], "window_end_ms long, selected_id long, candidate_id long, amount long")
-    candidates = affinity.candidate_scores({"active": affinity.active_people(acted, p)}, {"likedTheSame": none}, p)
+    none = spark.createDataFrame([], "window_end_ms long, selected_id long, candidate_id long, feature string, amount long")
+    active = affinity.active_people(acted, p).withColumn("feature", F.lit("active"))
+    candidates = affinity.candidate_scores(active, none, p)
     got = {(r.window_end_ms // h, r.selected_id, r.rank): (r.candidate_id, float(r.score))
            for r in affinity.suggest(candidates, static_df, knows, p).collect()}
 

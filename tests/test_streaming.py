@@ -12,7 +12,7 @@ from murmuration.plans.catalog import Jobs
 from murmuration.sources.star import LEXICON, EngagementTables
 from murmuration.sources.topics import events_of, publish, read_topic
 from murmuration.streaming.activity import stream_activity
-from murmuration.streaming.affinity import ACTIVITY, SuggestionWriter, activity_rows, slice_counts
+from murmuration.streaming.affinity import SuggestionWriter, slice_counts
 from murmuration.streaming.outliers import DailyOutliers, feature_rows
 from murmuration.streaming.threads import ThreadResolver, liked_author_stream
 
@@ -114,9 +114,7 @@ def test_liked_author_stream(spark, tmp_path):
 def test_stream_suggestions_equal_batch(spark, tmp_path):
     jobs = Jobs(spark, SF)
     a = jobs.a
-    comments = a.comments().filter("reply_to_comment is null or reply_to_comment >= 0")
-    with_ts = [df.withColumn("ts", as_timestamp(F.col("ts_ms"))) for df in (a.raw_posts(), a.likes(), comments)]
-    rows = activity_rows(*with_ts).withColumn("ts_ms", F.unix_millis("ts")).withColumn(
+    rows = affinity.activity_rows(a.raw_posts(), a.likes(), a.comments()).withColumn("ts", as_timestamp(F.col("ts_ms"))).withColumn(
         "id", F.row_number().over(Window.orderBy("ts", "kind", "person_id")).cast("long")
     )
     path = arriving(rows, "id", tmp_path / "in", 3)
@@ -125,13 +123,7 @@ def test_stream_suggestions_equal_batch(spark, tmp_path):
     run(slice_counts(stream_of(spark, path).drop("ts_ms", "id"), jobs.p), tmp_path, sink=writer)
     got = {tuple(r) for r in writer.suggestions.everything().collect()}
     upto = max(r[0] for r in got)
-    # Replies to nothing act in the batch query, too, so the model takes the same rows.
-    own = {
-        "active": affinity.active_people(rows, jobs.p),
-        "authorActive": affinity.author_activity(rows.filter("kind = 'post'"), jobs.p),
-    }
-    shared = {f: affinity.co_activity(rows.filter(F.col("kind") == k), "target", jobs.p) for k, f in ACTIVITY.items()}
-    want = affinity.suggest(affinity.candidate_scores(own, shared, jobs.p), static, knows, jobs.p)
+    want = affinity.suggest(affinity.activity_scores(rows, jobs.p), static, knows, jobs.p)
     assert got == {tuple(r) for r in want.filter(F.col("window_end_ms") <= upto).collect()}
     closed = rows.agg(F.max("ts_ms")).first()[0] - DELAY_S * 1000
     assert upto > closed - 3 * 3_600_000
