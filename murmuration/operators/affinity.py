@@ -17,7 +17,8 @@ from murmuration.functions.timing import floor_to, window_ends
 from murmuration.params import Params
 from murmuration.runtime import materialize
 
-SCORE = "decimal(18,4)"
+# Scores are whole numbers of 1/10,000 point, so sums and ties are exact and cheap.
+UNITS = 10_000
 
 POST, LIKE, COMMENT, REPLY = "post", "like", "comment", "reply"
 
@@ -31,20 +32,24 @@ SHARED_FEATURES = {
 
 
 def weight_of(weights: dict[str, Decimal], feature: Column) -> Column:
-    """Weight of a feature name; unknown names are an error, not a silent zero."""
-    chosen = reduce(
-        lambda expr, item: expr.when(feature == item[0], F.lit(item[1]).cast("decimal(12,4)")),
-        list(weights.items())[1:],
-        F.when(feature == next(iter(weights)), F.lit(next(iter(weights.values()))).cast("decimal(12,4)")),
-    )
-    return chosen.otherwise(F.raise_error(F.concat(F.lit("no weight for feature "), feature)))
+    """Weight of a feature name in score units; an unknown name is an error, not a silent zero."""
+    (first, weight), *rest = ((name, int(w * UNITS)) for name, w in weights.items())
+    chosen = F.when(feature == first, F.lit(weight).cast("long"))
+    for name, weight in rest:
+        chosen = chosen.when(feature == name, F.lit(weight).cast("long"))
+    return chosen.otherwise(F.raise_error(F.concat(F.lit("no weight for feature "), feature)).cast("long"))
+
+
+def as_points(df: DataFrame) -> DataFrame:
+    """``score`` in points, from score units."""
+    return df.withColumn("score", F.col("score") / F.lit(float(UNITS)))
 
 
-def static_features(
+def static_units(
     person: DataFrame, member: DataFrame, moderator: DataFrame,
     interest: DataFrame, language: DataFrame, p: Params = Params(),
 ) -> DataFrame:
-    """(selected_id, candidate_id, feature, amount) from shared attributes.
+    """(selected_id, candidate_id, feature, amount = 1) for each shared attribute.
 
     What the selected people have (their forums, tags, languages, browser, years) is
     collected first into one small table whose size Spark then knows. Each big table is
@@ -82,21 +87,28 @@ def static_features(
             mine, "key"
         ).select("selected_id", "candidate_id", feature.alias("feature"))
 
-    units = reduce(DataFrame.unionByName, [
+    return reduce(DataFrame.unionByName, [
         shared(member, "forum_id", {"member": "sameForumMember", "moderator": "sameForumMemberModerator"}),
         shared(moderator, "forum_id", {"moderator": "sameForumModerator", "member": "sameForumMemberModerator"}),
         shared(person, "birth_year", {"year": "sameAge"}),
         shared(person, "browser", {"browser": "sameBrowser"}),
         shared(interest, "tag", {"tag": "sameInterestTag"}),
         shared(language, "language", {"language": "sameLanguage"}),
-    ])
-    return units.groupBy("selected_id", "candidate_id", "feature").agg(F.count("*").alias("amount"))
+    ]).withColumn("amount", F.lit(1).cast("long"))
+
+
+def static_features(units: DataFrame) -> DataFrame:
+    """(selected_id, candidate_id, feature, amount): shared attributes counted."""
+    return units.groupBy("selected_id", "candidate_id", "feature").agg(F.sum("amount").alias("amount"))
 
 
 def static_total(features: DataFrame, p: Params = Params()) -> DataFrame:
-    """(selected_id, candidate_id, score): weighted sum of the static features."""
+    """(selected_id, candidate_id, score): weighted sum of static features or their units.
+
+    Summing the units directly saves the shuffle that counts them per feature.
+    """
     return features.groupBy("selected_id", "candidate_id").agg(
-        F.sum(F.col("amount") * weight_of(p.weights, F.col("feature"))).cast(SCORE).alias("score")
+        F.sum(F.col("amount") * weight_of(p.weights, F.col("feature"))).alias("score")
     )
 
 
@@ -211,7 +223,7 @@ def _windowed_again(features: DataFrame, keys: list[str], p: Params) -> DataFram
     weighted = F.col("amount") * weight_of(p.weights, F.col("feature"))
     return features.select(F.explode(ends).alias("window_end_ms"), *keys, weighted.alias("score")).groupBy(
         "window_end_ms", *keys
-    ).agg(F.sum("score").cast(SCORE).alias("score"))
+    ).agg(F.sum("score").alias("score"))
 
 
 def candidate_scores(own: DataFrame, shared: DataFrame, p: Params = Params()) -> DataFrame:
@@ -227,13 +239,19 @@ def candidate_scores(own: DataFrame, shared: DataFrame, p: Params = Params()) ->
         "window_end_ms", "candidate_id"
     ).agg(F.map_from_entries(F.collect_list(F.struct(F.col("selected_id").cast("long"), "score"))).alias("co"))
     return base.join(co, ["window_end_ms", "candidate_id"], "full_outer").select(
-        "window_end_ms", "candidate_id", F.coalesce("base", F.lit(0).cast(SCORE)).alias("base"), "co"
+        "window_end_ms", "candidate_id", F.coalesce("base", F.lit(0).cast("long")).alias("base"), "co"
     )
 
 
 def activity_scores(rows: DataFrame, p: Params = Params()) -> DataFrame:
-    """``candidate_scores`` of activity rows."""
-    return candidate_scores(own_features(rows, p), shared_features(rows, p), p)
+    """``candidate_scores`` of activity rows.
+
+    All features come from the same counts per slide of time, made and written once.
+    """
+    slices = materialize(
+        _slices(rows, ["kind", "target", "person_id"], p).withColumnRenamed("slice_ms", "ts_ms"), "activity-slices"
+    )
+    return candidate_scores(own_features(slices, p), shared_features(slices, p), p)
 
 
 def static_by_candidate(static: DataFrame) -> DataFrame:
@@ -245,14 +263,14 @@ def static_by_candidate(static: DataFrame) -> DataFrame:
 
 def _spread(rows: DataFrame, p: Params) -> DataFrame:
     """One row per selected person, with the score for that person."""
-    zero = F.lit(0).cast(SCORE)
+    zero = F.lit(0).cast("long")
 
     def entry(name: str) -> Column:
         return F.coalesce(F.try_element_at(F.col(name), F.col("selected_id")), zero)
 
     selected = F.array(*[F.lit(int(s)).cast("long") for s in p.selected])
     return rows.select("*", F.explode(selected).alias("selected_id")).withColumn(
-        "score", (F.col("base") + entry("co") + entry("static")).cast(SCORE)
+        "score", F.col("base") + entry("co") + entry("static")
     )
 
 
@@ -328,7 +346,7 @@ def suggest(
         ["window_end_ms", "candidate_id"], "left_anti",
     )
     rows = acting.withColumn("acted", F.lit(True)).unionByName(
-        quiet.withColumn("base", F.lit(0).cast(SCORE)).withColumn("acted", F.lit(False)),
+        quiet.withColumn("base", F.lit(0).cast("long")).withColumn("acted", F.lit(False)),
         allowMissingColumns=True,
     ).join(by_candidate, "candidate_id", "left")
     qualifies = F.col("acted") | F.coalesce(F.map_contains_key("static", F.col("selected_id")), F.lit(False))

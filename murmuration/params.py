@@ -72,6 +72,8 @@ class Params:
         if any(w < 0 for w in self.weights.values()):
             # The exact pruning of suggestion candidates relies on it.
             raise ValueError("weights must not be negative")
+        if any(w * 10_000 % 1 for w in self.weights.values()):
+            raise ValueError("weights may have at most four decimals")
         if self.window_ms % self.slide_ms:
             raise ValueError("the window length must be a multiple of the slide")
 

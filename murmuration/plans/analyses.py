@@ -38,14 +38,14 @@ def static_scores(clean: Tables, p: Params = Params()) -> DataFrame:
         "person_id", "browser", F.substring("birthday", 1, 4).try_cast("int").alias("birth_year")
     )
     tables = [_numeric(clean[t], "person_id") for t in ("member", "moderator", "interest", "language")]
-    return affinity.static_total(affinity.static_features(person, *tables, p), p)
+    return affinity.static_total(affinity.static_units(person, *tables, p), p)
 
 
 def friend_suggestions(clean: Tables, p: Params = Params()) -> DataFrame:
     """(window_end_ms, selected_id, rank, candidate_id, score)."""
     rows = affinity.activity_rows(*[_numeric(clean[t], "person_id") for t in ("post", "like", "comment")])
     knows = _numeric(clean["knows"], "person1_id", "person2_id")
-    return affinity.suggest(affinity.activity_scores(rows, p), static_scores(clean, p), knows, p)
+    return affinity.as_points(affinity.suggest(affinity.activity_scores(rows, p), static_scores(clean, p), knows, p))
 
 
 def behaviour_features(clean: Tables, lexicon: Collection[str]) -> DataFrame:

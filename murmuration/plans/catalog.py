@@ -270,22 +270,18 @@ class Jobs:
 
     # -- affinity ---------------------------------------------------------------------
 
-    def _static_features(self) -> DataFrame:
+    def _static_units(self) -> DataFrame:
         c = self.c
-        return affinity.static_features(c.person(), c.member(), c.moderator(), c.interest(), c.language(), self.p)
+        return affinity.static_units(c.person(), c.member(), c.moderator(), c.interest(), c.language(), self.p)
 
     def aff_static_features(self) -> DataFrame:
-        return self._static_features()
-
-    @staticmethod
-    def _plain_score(df: DataFrame) -> DataFrame:
-        return df.withColumn("score", F.col("score").cast("double"))
+        return affinity.static_features(self._static_units())
 
     def _static_total(self) -> DataFrame:
-        return affinity.static_total(self._static_features(), self.p)
+        return affinity.static_total(self._static_units(), self.p)
 
     def aff_static_total(self) -> DataFrame:
-        return self._plain_score(self._static_total())
+        return affinity.as_points(self._static_total())
 
     def aff_colike(self) -> DataFrame:
         return affinity.co_activity(self.a.likes(), "post_id", self.p)
@@ -319,10 +315,10 @@ class Jobs:
         return affinity.activity_scores(rows, self.p)
 
     def aff_window_scores(self) -> DataFrame:
-        return self._plain_score(affinity.window_scores(self._candidates(), self._static_total(), self.p))
+        return affinity.as_points(affinity.window_scores(self._candidates(), self._static_total(), self.p))
 
     def aff_candidates(self) -> DataFrame:
-        return self._plain_score(
+        return affinity.as_points(
             affinity.suggestion_candidates(self._candidates(), self._static_total(), self.c.knows(), self.p)
         )
 
@@ -330,7 +326,7 @@ class Jobs:
         return affinity.suggest(self._candidates(), self._static_total(), self.c.knows(), self.p)
 
     def aff_top5(self) -> DataFrame:
-        return self._plain_score(self._top5())
+        return affinity.as_points(self._top5())
 
     def aff_top5_wide(self) -> DataFrame:
         return affinity.suggest_wide(self._top5(), self.p)

@@ -37,7 +37,7 @@ class SuggestionWriter:
         self.done = BatchTable(spark, f"{state_dir}/done", "window_end_ms long")
         self.suggestions = BatchTable(
             spark, f"{state_dir}/suggestions",
-            "window_end_ms long, selected_id long, rank long, candidate_id long, score decimal(18,4)",
+            "window_end_ms long, selected_id long, rank long, candidate_id long, score long",
         )
         self.static, self.knows, self.p = static, knows, p
 

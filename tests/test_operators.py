@@ -209,7 +209,7 @@ def test_static_features_by_hand(spark):
     tables = [spark.createDataFrame(*STATIC[t]) for t in ("person", "member", "moderator", "interest", "language")]
     got = {
         (r.candidate_id, r.feature): r.amount
-        for r in affinity.static_features(*tables, Params(selected=(1, 9))).collect() if r.candidate_id != 1
+        for r in affinity.static_features(affinity.static_units(*tables, Params(selected=(1, 9)))).collect() if r.candidate_id != 1
     }
     assert got == {
         (2, "sameForumMember"): 2, (4, "sameForumMemberModerator"): 1, (3, "sameForumMemberModerator"): 1,
@@ -238,13 +238,13 @@ def test_suggestions_equal_ranking_of_everyone(spark):
     friends = [(0, 5), (7, 0), (1, 2)]
     acted = spark.createDataFrame(acts, "person_id long, ts_ms long")
     static_df = spark.createDataFrame(static, "selected_id long, candidate_id long, score long").withColumn(
-        "score", F.col("score").cast("decimal(18,4)"))
+        "score", F.col("score") * affinity.UNITS)
     knows = spark.createDataFrame(friends, "person1_id long, person2_id long")
     none = spark.createDataFrame([], "window_end_ms long, selected_id long, candidate_id long, feature string, amount long")
     active = affinity.active_people(acted, p).withColumn("feature", F.lit("active"))
     candidates = affinity.candidate_scores(active, none, p)
     got = {(r.window_end_ms // h, r.selected_id, r.rank): (r.candidate_id, float(r.score))
-           for r in affinity.suggest(candidates, static_df, knows, p).collect()}
+           for r in affinity.as_points(affinity.suggest(candidates, static_df, knows, p)).collect()}
 
     window = {}
     for person, ts in set(acts):
