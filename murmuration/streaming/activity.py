@@ -128,19 +128,21 @@ class TickCounter(StatefulProcessor):
 
 
 def stream_activity(
-    events: DataFrame, p: Params = Params(), shards: int = 8, delay_s: int | None = None, ttl_ms: int | None = None
+    events: DataFrame, p: Params = Params(), shards: int = 8, delay_s: int | None = None,
+    ttl_ms: int | None = None, watermarked: bool = False,
 ) -> DataFrame:
     """(as_of, post_id, metric, n) from a stream (post_id, kind, person_id, ts).
 
     Rows are first counted per tick, post and person by the built-in window aggregate,
     which combines before the shuffle; Python sees those counts only. ``delay_s`` is how far
-    rows may be out of order, ``ttl_ms`` an optional age after which engaged people are
-    forgotten (off, as in batch).
+    rows may be out of order (unless the input is ``watermarked`` already), ``ttl_ms`` an
+    optional age after which engaged people are forgotten (off, as in batch).
     """
     delay = p.max_delay_s if delay_s is None else delay_s
     tick = F.window("ts", f"{p.tick_ms} milliseconds")
+    timed = events if watermarked else events.withWatermark("ts", f"{delay} seconds")
     counted = (
-        events.withWatermark("ts", f"{delay} seconds")
+        timed
         .groupBy(tick.alias("window"), F.col("post_id").cast("string").alias("post_id"),
                  F.col("person_id").cast("string").alias("person_id"))
         .agg(

@@ -4,15 +4,17 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from murmuration.functions.codec import encode_events_of
+from murmuration.functions.codec import EVENT_FIELDS, TOPICS, decode_tuple, encode_events_of
 from murmuration.functions.timing import as_timestamp
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import Params
+from murmuration.plans import prep
 from murmuration.plans.catalog import Jobs
 from murmuration.sources.star import LEXICON, EngagementTables
 from murmuration.sources.topics import events_of, publish, read_topic
 from murmuration.streaming.activity import stream_activity
 from murmuration.streaming.affinity import SuggestionWriter, slice_counts
+from murmuration.streaming.jobs import Run, Topics, start_activity, start_outliers, start_suggestions, start_threads
 from murmuration.streaming.outliers import DailyOutliers, feature_rows
 from murmuration.streaming.threads import ThreadResolver, liked_author_stream
 
@@ -187,3 +189,44 @@ def test_nothing_is_lost_between_topic_and_stream(spark, tmp_path):
     events = events_of(read_topic(spark, "likes", {"path": str(tmp_path / "topics")}, "text"), "like")
     run(events, tmp_path)
     assert spark.read.parquet(str(tmp_path / "out")).count() == likes.count()
+
+
+@pytest.fixture(scope="module")
+def topics(spark, tmp_path_factory):
+    """Posts, likes and comments of the test tables as JSON topics, with texts."""
+    a, root = EngagementTables(spark, SF), tmp_path_factory.mktemp("topics")
+    text = {c: F.col(c).cast("string") for c in ("person_id", "post_id", "comment_id", "reply_to_post", "reply_to_comment", "like_id", "forum_id")}
+    tables = {
+        "post": a.raw_posts().withColumn("content", F.concat(F.lit("the post "), F.col("k"))),
+        "like": a.likes(),
+        "comment": a.comments().withColumn("content", F.concat(F.lit("of the "), F.col("person_id"), F.lit(" "), F.col("comment_id"))),
+    }
+    source = Topics({"path": str(root)}, "text")
+    for kind, df in tables.items():
+        rows = df.withColumns({c: e for c, e in text.items() if c in df.columns})
+        fields = prep.event_fields(rows, kind)
+        missing = {n: F.lit(None).cast(t) for n, t in EVENT_FIELDS[kind] if n not in fields.columns}
+        publish(encode_events_of(fields.withColumns(missing), kind), TOPICS[kind], source.options, "text")
+    return source
+
+
+def test_topics_to_activity_messages(spark, engagement, topics, tmp_path):
+    job = Run(str(tmp_path), once=True)
+    start_threads(spark, topics, job).awaitTermination()
+    start_activity(spark, topics, job, Topics({"path": str(tmp_path / "out")}, "text")).awaitTermination()
+    got = {(r.window_end_ms, r.post_id, r.metric): r.n for r in decode_tuple(spark.read.text(str(tmp_path / "out" / "activity"))).collect()}
+    want = {(r.as_of_ms + 1_800_000, r.post_id, r.metric): r.n for r in activity.post_activity(engagement).collect()}
+    newest = max(k[0] for k in got)
+    assert got == {k: n for k, n in want.items() if k[0] <= newest} and len(got) > 0.99 * len(want)
+
+
+def test_topics_to_suggestions_and_outliers(spark, topics, tmp_path):
+    jobs, job = Jobs(spark, SF), Run(str(tmp_path), once=True, params=Params(selected=tuple(range(10)), n_sigma=1.5))
+    start_suggestions(spark, topics, job, jobs._static_total(), jobs.c.knows()).awaitTermination()
+    top = spark.read.parquet(f"{tmp_path}/suggestions/state/suggestions")
+    assert top.select("selected_id").distinct().count() == 10
+    assert top.filter("rank > 5 or candidate_id = selected_id").isEmpty()
+    start_outliers(spark, topics, job, ["the"]).awaitTermination()
+    stats = spark.read.parquet(f"{tmp_path}/outliers/state/stats")
+    assert {r.feature_id for r in stats.select("feature_id").distinct().collect()} == set(range(6))
+    assert not spark.read.parquet(f"{tmp_path}/outliers/state/daily").isEmpty()
