@@ -1,9 +1,12 @@
-"""Command line: ``spark-submit -m``-style entry to cleaning and the three analyses.
+"""Command line for cleaning, the three analyses, and their streaming forms.
 
     python -m murmuration prep     RAW_DIR CLEAN_DIR
     python -m murmuration activity CLEAN_DIR OUT_DIR
     python -m murmuration suggest  CLEAN_DIR OUT_DIR --config settings.properties
     python -m murmuration outliers CLEAN_DIR OUT_DIR --lexicon words.json
+    python -m murmuration publish  CLEAN_DIR BROKERS
+    python -m murmuration stream-threads|stream-activity|stream-outliers BROKERS WORK_DIR
+    python -m murmuration stream-suggest BROKERS WORK_DIR --clean CLEAN_DIR
 """
 
 from __future__ import annotations
@@ -15,21 +18,15 @@ from pyspark.sql import SparkSession
 from murmuration.operators import affinity
 from murmuration.params import Params
 from murmuration.plans import analyses, prep
+from murmuration.runtime import drop_intermediates
 from murmuration.sources.files import INPUTS, read_clean, read_lexicon, read_properties
+from murmuration.streaming import jobs
 
+BATCH = ("prep", "activity", "suggest", "outliers", "publish")
+STREAMS = ("stream-threads", "stream-activity", "stream-suggest", "stream-outliers")
 
-def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="murmuration")
-    parser.add_argument("job", choices=["prep", "activity", "suggest", "outliers"])
-    parser.add_argument("source")
-    parser.add_argument("target")
-    parser.add_argument("--config", help="properties file with selected people and weights")
-    parser.add_argument("--lexicon", help="JSON file with the word list")
-    parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
-    args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"murmuration-{args.job}").getOrCreate()
-    p = Params.from_properties(read_properties(args.config)) if args.config else Params()
+def run_batch(spark: SparkSession, args: argparse.Namespace, p: Params) -> None:
     if args.job == "prep":
         prep.prepare(spark, args.source, args.target, args.format)
         return
@@ -38,13 +35,54 @@ def main(argv: list[str] | None = None) -> None:
         analyses.activity_messages(clean, p).write.parquet(f"{args.target}/activity")
     elif args.job == "suggest":
         affinity.suggest_wide(analyses.friend_suggestions(clean, p), p).write.parquet(f"{args.target}/suggestions")
+    elif args.job == "publish":
+        prep.publish_clean(clean, {"kafka.bootstrap.servers": args.target})
     else:
-        if not args.lexicon:
-            parser.error("outliers needs --lexicon")
         on_update, daily = analyses.unusual_people(clean, read_lexicon(spark, args.lexicon), p)
         on_update.write.parquet(f"{args.target}/outliers_on_update")
         daily.write.parquet(f"{args.target}/outliers_daily")
 
 
+def run_stream(spark: SparkSession, args: argparse.Namespace, p: Params) -> None:
+    source = jobs.Topics({"kafka.bootstrap.servers": args.source})
+    run = jobs.Run(args.target, params=p)
+    if args.job == "stream-threads":
+        query = jobs.start_threads(spark, source, run)
+    elif args.job == "stream-activity":
+        query = jobs.start_activity(spark, source, run)
+    elif args.job == "stream-outliers":
+        query = jobs.start_outliers(spark, source, run, read_lexicon(spark, args.lexicon))
+    else:
+        clean = {t: read_clean(spark, args.clean, t, args.format) for t in INPUTS if not INPUTS[t].is_stream}
+        query = jobs.start_suggestions(
+            spark, source, run, analyses.static_scores(clean, p), analyses.friendships(clean)
+        )
+    query.awaitTermination()
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="murmuration")
+    parser.add_argument("job", choices=[*BATCH, *STREAMS])
+    parser.add_argument("source")
+    parser.add_argument("target")
+    parser.add_argument("--config", help="properties file with selected people, weights and delays")
+    parser.add_argument("--lexicon", help="JSON file with the word list")
+    parser.add_argument("--clean", help="folder of cleaned tables, for static scores")
+    parser.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    args = parser.parse_args(argv)
+    if args.job.endswith("outliers") and not args.lexicon:
+        parser.error("outliers need --lexicon")
+    if args.job == "stream-suggest" and not args.clean:
+        parser.error("stream-suggest needs --clean")
+
+    spark = SparkSession.builder.appName(f"murmuration-{args.job}").getOrCreate()
+    p = Params.from_properties(read_properties(args.config)) if args.config else Params()
+    if args.job in BATCH:
+        run_batch(spark, args, p)
+        drop_intermediates(spark)
+    else:
+        run_stream(spark, args, p)
+
+
 if __name__ == "__main__":
     main()

@@ -41,11 +41,15 @@ def static_scores(clean: Tables, p: Params = Params()) -> DataFrame:
     return affinity.static_total(affinity.static_units(person, *tables, p), p)
 
 
+def friendships(clean: Tables) -> DataFrame:
+    return _numeric(clean["knows"], "person1_id", "person2_id")
+
+
 def friend_suggestions(clean: Tables, p: Params = Params()) -> DataFrame:
     """(window_end_ms, selected_id, rank, candidate_id, score)."""
     rows = affinity.activity_rows(*[_numeric(clean[t], "person_id") for t in ("post", "like", "comment")])
-    knows = _numeric(clean["knows"], "person1_id", "person2_id")
-    return affinity.as_points(affinity.suggest(affinity.activity_scores(rows, p), static_scores(clean, p), knows, p))
+    scores = affinity.activity_scores(rows, p)
+    return affinity.as_points(affinity.suggest(scores, static_scores(clean, p), friendships(clean), p))
 
 
 def behaviour_features(clean: Tables, lexicon: Collection[str]) -> DataFrame:

@@ -45,11 +45,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def _run_folder(spark: SparkSession) -> str:
+    app = re.sub(r"\W+", "-", spark.sparkContext.applicationId)
+    return f"{checkpoint_root(spark).rstrip('/')}/murmuration/{app}"
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Results that still read from
+    them must have been written out before."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as a Parquet table in the checkpoint folder; returns its path."""
-    spark = df.sparkSession
-    app = re.sub(r"\W+", "-", spark.sparkContext.applicationId)
-    path = f"{checkpoint_root(spark).rstrip('/')}/murmuration/{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
 

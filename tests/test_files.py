@@ -163,3 +163,13 @@ def test_analyses_run_on_clean_tables(spark, clean):
     on_update, daily = analyses.unusual_people(tables, ["bad"], Params(n_sigma=1.0))
     assert on_update.count() >= 0 and daily.count() > 0
     assert tables["comment"].select(F.count_distinct("person_id")).first()[0] > 1
+
+
+def test_command_line(spark, raw, clean, tmp_path):
+    from murmuration.__main__ import main
+
+    (tmp_path / "c.properties").write_text("friendId0=0\nfriendId1=3\n")
+    main(["suggest", str(clean[1]), str(tmp_path), "--config", str(tmp_path / "c.properties")])
+    assert {r.selected_id for r in spark.read.parquet(f"{tmp_path}/suggestions").collect()} == {0, 3}
+    with pytest.raises(SystemExit):
+        main(["outliers", "a", "b"])
