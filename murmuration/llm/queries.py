@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, licenses, packing, sharding
+from murmuration.llm import chat, licenses, packing, sharding, toxicity
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -46,11 +46,16 @@ def op3_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(log))
 
 
+def op4_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op10_license_signatures)
+OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
+             op10_license_signatures)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
