@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, licenses, packing, sharding, toxicity
+from murmuration.llm import chat, lempel_ziv, licenses, packing, sharding, toxicity
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -50,11 +50,16 @@ def op4_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_lempel_ziv_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lempel_ziv.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
+             op5_lempel_ziv_prints,
              op10_license_signatures)
 
 
