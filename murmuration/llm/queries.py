@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, lempel_ziv, licenses, packing, sharding, toxicity
+from murmuration.llm import chat, lempel_ziv, licenses, packing, sharding, simhash, toxicity
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -54,13 +54,20 @@ def op5_lempel_ziv_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"), width=3, radius=3)
+    # hex() drops leading zeros.
+    shown = F.lower(F.lpad(F.hex(F.element_at("print", 1)), 16, "0"))
+    return groups.select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
 def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
              op5_lempel_ziv_prints,
-             op10_license_signatures)
+             op7_simhash_blocks, op10_license_signatures)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
