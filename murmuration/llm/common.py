@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,20 @@ def bucket_of(count: int, *columns: Column | str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(max(1, count))).cast("long")
 
 
+def grams(values: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``size`` values, by doubling."""
+    if len(values) < size:
+        return np.empty(0, np.uint64)
+    factor = 0x9E3779B97F4A7C15
+    h, done = (values.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93), 1
+    while done < size:
+        step = min(done, size - done)
+        h = h[:len(h) - step] * np.uint64(factor) + (h[step:] ^ (h[step:] >> np.uint64(29)))
+        done += step
+        factor = (factor * factor + 2 * step + 2) % (1 << 64)
+    return h ^ (h >> np.uint64(32))
+
+
 def crc32_mod(column: Column | str, modulus: int) -> Column:
     """crc32 of the column as text, modulo ``modulus``; null counts as empty text."""
     column = F.col(column) if isinstance(column, str) else column

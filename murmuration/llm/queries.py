@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, lempel_ziv, licenses, packing, sharding, simhash, toxicity
+from murmuration.llm import chat, decontaminate, lempel_ziv, licenses, packing, repeats, sharding, simhash, toxicity
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -61,13 +61,22 @@ def op7_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", shown.alias("fingerprint"), "component_id")
 
 
+def op8_qgram_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_suffix_array_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
              op5_lempel_ziv_prints,
-             op7_simhash_blocks, op10_license_signatures)
+             op7_simhash_blocks, op8_qgram_leaks, op9_suffix_array_repeats,
+             op10_license_signatures)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
