@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import chat, decontaminate, lempel_ziv, licenses, packing, repeats, sharding, simhash, toxicity
+from murmuration.llm import attention_lm, chat, decontaminate, lempel_ziv, licenses, packing, repeats, sharding, simhash, toxicity
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -54,6 +54,10 @@ def op5_lempel_ziv_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lempel_ziv.compare_with_edits(table(spark, sf_dir, "documents"))
 
 
+def op6_self_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score(table(spark, sf_dir, "documents"), ranks_path())
+
+
 def op7_simhash_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"), width=3, radius=3)
     # hex() drops leading zeros.
@@ -75,7 +79,7 @@ def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
              op5_lempel_ziv_prints,
-             op7_simhash_blocks, op8_qgram_leaks, op9_suffix_array_repeats,
+             op6_self_attention, op7_simhash_blocks, op8_qgram_leaks, op9_suffix_array_repeats,
              op10_license_signatures)
 
 

@@ -236,14 +236,22 @@ def near_links(nodes: DataFrame, blocks: Blocks, radius: int, lanes: int = 1, gr
         going = materialize(keyed.join(crowded, ["path", "key"], "left_semi").select("path", "node", "print"), "crowd")
 
 
-def near_groups(docs: DataFrame, width: int = 3, radius: int = 3, lanes: int = 1, blocks: Blocks | None = None,
-                distinct: bool = False, group: int = GROUP) -> DataFrame:
-    """row columns, print, component: ``docs`` has doc_id and text. ``component`` is the smallest
-    doc_id among the documents that links reach."""
+def wide_blocks(prints: int, lanes: int = 4, distance_share: float = 0.15, recall: float = 0.97) -> SampledBlocks:
+    """Blocks for so many different fingerprints: some four of them share a block by chance, and a
+    pair that differs in ``distance_share`` of its bits shares one with probability ``recall``."""
+    bits = max(14, math.ceil(math.log2(max(1, prints) / 4)))
+    return SampledBlocks(lanes, bits, tables_needed(distance_share, bits, recall))
+
+
+def near_groups(docs: DataFrame, width: int = 3, radius: int = 3, lanes: int = 1, distinct: bool = False,
+                group: int = GROUP) -> DataFrame:
+    """doc_id, print, component_id: ``docs`` has doc_id and text. ``component_id`` is the smallest
+    doc_id among the documents that links reach. One lane: all links within the radius; more
+    lanes: by ``wide_blocks``."""
     prints = materialize(docs.select("doc_id", fingerprint_column(F.col("text"), width, lanes, distinct=distinct).alias("print")), "prints")
     nodes = materialize(prints.groupBy("print").agg(F.min("doc_id").alias("least"))
                         .withColumn("node", F.monotonically_increasing_id()), "nodes")
-    blocks = blocks or ExactBlocks(radius)
+    blocks = ExactBlocks(radius) if lanes == 1 else wide_blocks(nodes.count(), lanes)
     parts = components(near_links(nodes.select("node", "print"), blocks, radius, lanes, group))
     named = nodes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = named.groupBy("component").agg(F.min("least").alias("component_id"))
