@@ -71,7 +71,7 @@ def simhash(hashes: np.ndarray, lanes: int = 1) -> list[int]:
         counts = np.zeros(64, np.int64)
         for part in (hashes[i:i + (1 << 16)] for i in range(0, len(hashes), 1 << 16)):
             if lane:
-                part = _mix(part + _LANE * np.uint64(lane))
+                part = _mix(part + np.uint64(int(_LANE) * lane % (1 << 64)))
             bits = np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             counts += bits.sum(axis=0, dtype=np.uint32)
         set_bits = np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]
