@@ -89,6 +89,12 @@ def encode_tuple(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(tuple_text(*[F.col(c) for c in cols]).alias("value"))
 
 
+def encode_suggestions(wide: DataFrame, top_k: int = 5) -> DataFrame:
+    """Suggestions as ``(window_end,person,name1,..)``; places without a name are empty."""
+    names = [F.coalesce(F.col(f"c{i}").cast("string"), F.lit("")) for i in range(1, top_k + 1)]
+    return wide.select(tuple_text(F.col("window_end_ms"), F.col("selected_id"), *names).alias("value"))
+
+
 def encode_digest(digest: DataFrame) -> DataFrame:
     """Digest messages as ``(window_end,[(post,metric,n), ...])``."""
     return digest.select(tuple_text(

@@ -12,6 +12,7 @@ from murmuration.functions import codec, text
 from murmuration.functions.timing import as_timestamp, epoch_ms, with_event_time
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import DAY_MS, HOUR_MS, MINUTE_MS, Params
+from murmuration.runtime import materialize
 from murmuration.sources.star import LEXICON, SELECTED, EngagementTables, PeopleTables, TextTables, table
 
 PARAMS = Params(selected=SELECTED)
@@ -241,13 +242,17 @@ class Jobs:
     def feature_daily(self) -> DataFrame:
         return self._rounded(self._daily())
 
+    def _spans(self, values: DataFrame | None = None) -> DataFrame:
+        """Spans of values, written out because statistics and outliers both read them."""
+        return materialize(outliers.held_spans(self._features() if values is None else values), "spans")
+
     def feature_stats(self) -> DataFrame:
-        stats = outliers.feature_stats(self._daily())
+        stats = outliers.span_stats(self._spans())
         return stats.withColumn("mean", _six("mean")).withColumn("sd", _six("sd"))
 
     def _on_update(self, n_sigma: float) -> DataFrame:
         values = self._features()
-        stats = outliers.feature_stats(outliers.feature_daily(values))
+        stats = outliers.span_stats(self._spans(values))
         found = outliers.outliers_on_update(values, stats, n_sigma)
         return self._rounded(found).withColumn("mean", _six("mean"))
 
@@ -258,8 +263,8 @@ class Jobs:
         return self._on_update(2.0)
 
     def _at_midnight(self, n_sigma: float) -> DataFrame:
-        daily = self._daily()
-        found = outliers.outliers_daily(daily, outliers.feature_stats(daily), n_sigma)
+        spans = self._spans()
+        found = outliers.outliers_in_spans(spans, outliers.span_stats(spans), n_sigma)
         return self._rounded(found).withColumn("mean", _six("mean"))
 
     def outliers_daily(self) -> DataFrame:
@@ -268,6 +273,14 @@ class Jobs:
     def outliers_daily_2s(self) -> DataFrame:
         return self._at_midnight(2.0)
 
+    def encode_outliers(self) -> DataFrame:
+        """Outliers as result text."""
+        return codec.encode_tuple(self._exact(self._at_midnight(2.0)), ["day_ms", "person_id", "feature_id", "value", "mean"])
+
+    @staticmethod
+    def _exact(df: DataFrame) -> DataFrame:
+        return df.withColumns({c: F.col(c).cast("decimal(20,6)") for c in ("value", "mean")})
+
     # -- affinity ---------------------------------------------------------------------
 
     def _static_units(self) -> DataFrame:
@@ -331,6 +344,10 @@ class Jobs:
     def aff_top5_wide(self) -> DataFrame:
         return affinity.suggest_wide(self._top5(), self.p)
 
+    def encode_suggestions(self) -> DataFrame:
+        """Suggestions as result text, one message per window and selected person."""
+        return codec.encode_suggestions(self.aff_top5_wide(), self.p.top_k)
+
 
 QUERY_NAMES = [name for name in vars(Jobs) if not name.startswith("_")]
 

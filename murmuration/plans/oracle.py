@@ -335,6 +335,8 @@ BODIES = {
     "outliers_on_update_2s": _on_update(2),
     "outliers_daily": _at_midnight(3),
     "outliers_daily_2s": _at_midnight(2),
+    "encode_outliers": "SELECT '(' || concat_ws(',', day_ms, person_id, feature_id, "
+    "CAST(value AS DECIMAL(20,6)), CAST(mean AS DECIMAL(20,6))) || ')' AS value FROM (" + _at_midnight(2) + ")",
     "aff_static_features": "SELECT selected_id, candidate_id, feature, amount FROM static_features",
     "aff_static_total": "SELECT selected_id, candidate_id, CAST(score AS DOUBLE) AS score FROM static_total",
     "aff_colike": _co("likedTheSame"),
@@ -352,6 +354,9 @@ BODIES = {
     "aff_top5_wide": "SELECT window_end_ms, CAST(selected_id AS BIGINT) AS selected_id, " + ", ".join(
         f"max(CASE WHEN rank = {i} THEN candidate_id END) AS c{i}" for i in range(1, 6)
     ) + " FROM top5 GROUP BY ALL",
+    "encode_suggestions": "SELECT '(' || concat_ws(',', window_end_ms, selected_id, " + ", ".join(
+        f"coalesce(CAST(max(CASE WHEN rank = {i} THEN candidate_id END) AS VARCHAR), '')" for i in range(1, 6)
+    ) + ") || ')' AS value FROM top5 GROUP BY window_end_ms, selected_id",
 }
 PARTS["unit_counts"] = """SELECT post_id, metric, ts_ms, max(n) AS n FROM (SELECT post_id, metric, ts_ms, count(*) OVER
         (PARTITION BY post_id, metric ORDER BY ts_ms) AS n FROM units) GROUP BY ALL"""
