@@ -112,14 +112,14 @@ def static_total(features: DataFrame, p: Params = Params()) -> DataFrame:
     )
 
 
-def activity_rows(posts: DataFrame, likes: DataFrame, comments: DataFrame) -> DataFrame:
-    """(kind, person_id, target, ts_ms) of everything people do.
+def activity_rows(posts: DataFrame, likes: DataFrame, comments: DataFrame, *extra: str) -> DataFrame:
+    """(kind, person_id, target, ts_ms) of everything people do, and the ``extra`` columns.
 
     The target is what people can have in common: the forum of a post, the liked or
     commented post, the comment replied to; null if there is none.
     """
     def rows(df: DataFrame, kind: Column, target: Column) -> DataFrame:
-        return df.select(kind.alias("kind"), "person_id", target.cast("string").alias("target"), "ts_ms")
+        return df.select(kind.alias("kind"), "person_id", target.cast("string").alias("target"), "ts_ms", *extra)
 
     direct = F.col("reply_to_comment").isNull()
     return (

@@ -35,23 +35,36 @@ def write_topic(
     return writer.format(fmt).start(f"{options['path']}/{topic}")
 
 
-def publish(df: DataFrame, topic: str, options: dict[str, str], fmt: str = "kafka") -> None:
-    """Append a batch table with a ``value`` column to a topic."""
+def publish(
+    df: DataFrame, topic: str, options: dict[str, str], fmt: str = "kafka", batch_id: int | None = None
+) -> None:
+    """Append a batch table with a ``value`` column to a topic.
+
+    With a ``batch_id`` a batch that runs again replaces what it sent: file topics have a folder
+    for each batch; Kafka messages carry the batch as their key, by which readers drop repeats.
+    """
     if fmt == "kafka":
-        df.select("value").write.format("kafka").option("topic", topic).options(**options).save()
+        key = [] if batch_id is None else [F.lit(str(batch_id)).alias("key")]
+        df.select("value", *key).write.format("kafka").option("topic", topic).options(**options).save()
+    elif batch_id is not None:
+        df.select("value").write.format(fmt).mode("overwrite").save(f"{options['path']}/{topic}/batch={batch_id}")
     else:
         df.select("value").write.format(fmt).mode("append").save(f"{options['path']}/{topic}")
 
 
-def to_console(df: DataFrame) -> StreamingQuery:
-    return df.writeStream.format("console").outputMode("append").start()
+def rejects_of(values: DataFrame, kind: str) -> DataFrame:
+    """(kind, value, reason) of the messages that ``events_of`` leaves out."""
+    raw = values.withColumn("message", F.col("value"))
+    decoded = decode_events(raw, kind)
+    reason = F.when(F.col("bad_json"), "no JSON object").when(F.col("timeMilisecond").isNull(), "no event time")
+    return decoded.select(F.lit(kind).alias("kind"), F.col("message").alias("value"), reason.alias("reason")) \
+        .filter("reason is not null")
 
 
 def events_of(values: DataFrame, kind: str) -> DataFrame:
     """Engine columns of one kind of event from its JSON values, with ``ts`` as event time.
 
-    Values that are no JSON object, or have no event time, are left to ``decode_events``,
-    which marks them.
+    Values that are no JSON object, or have no event time, are the rows of ``rejects_of``.
     """
     decoded = decode_events(values, kind).filter("not bad_json and timeMilisecond is not null")
     base = [

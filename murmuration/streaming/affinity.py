@@ -9,14 +9,19 @@ from murmuration.operators import affinity
 from murmuration.params import Params
 from murmuration.streaming.state import BatchTable
 
-def slice_counts(rows: DataFrame, p: Params = Params(), delay_s: int | None = None) -> DataFrame:
+
+def slice_counts(
+    rows: DataFrame, p: Params = Params(), delay_s: int | None = None, watermarked: bool = False
+) -> DataFrame:
     """Rows per slide of time, kind, target and person; a slice comes when it is complete.
 
-    ``rows`` is a stream of ``affinity.activity_rows`` with event time ``ts``.
+    ``rows`` is a stream of ``affinity.activity_rows`` with event time ``ts``. A union of
+    several topics must have a watermark on each before the union (``watermarked``): then
+    the slowest topic decides what is complete, and none loses rows to a faster one.
     """
     delay = p.max_delay_s if delay_s is None else delay_s
     return (
-        rows.withWatermark("ts", f"{delay} seconds")
+        (rows if watermarked else rows.withWatermark("ts", f"{delay} seconds"))
         .groupBy(F.window("ts", f"{p.slide_ms} milliseconds").alias("slice"), "kind", "target", "person_id")
         .agg(F.count("*").alias("n"))
         .select(F.unix_millis("slice.start").alias("ts_ms"), "kind", "target", "person_id", "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from murmuration.functions.codec import TOPICS, encode_digest
 from murmuration.operators import activity, affinity, features
 from murmuration.params import Params
-from murmuration.sources.topics import events_of, publish, read_topic
+from murmuration.sources.topics import events_of, publish, read_topic, rejects_of
 from murmuration.streaming.activity import stream_activity
 from murmuration.streaming.affinity import SuggestionWriter, slice_counts
 from murmuration.streaming.outliers import DailyOutliers, feature_rows
+from murmuration.streaming.state import BatchTable
 from murmuration.streaming.threads import ThreadResolver, liked_author_stream
 
 
@@ -72,14 +74,14 @@ def start_activity(
     """Activity messages, one or more per tick, as text to ``topic`` of ``sink``."""
     comments = activity.comment_kinds(resolved_stream(spark, run)).select("post_id", "kind", "person_id", "ts")
     likes = source.events(spark, "like").select(
-        "post_id", F.lit(2).alias("kind"), "person_id", "ts"
+        "post_id", F.lit(activity.KIND_LIKE).alias("kind"), "person_id", "ts"
     ).withWatermark("ts", f"{run.params.max_delay_s} seconds")
     counts = stream_activity(comments.unionByName(likes), run.params, watermarked=True)
     target = sink or source
 
     def send(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(F.unix_millis("as_of").alias("as_of_ms"), "post_id", "metric", "n")
-        publish(encode_digest(activity.activity_digest(rows, run.params)), topic, target.options, target.fmt)
+        publish(encode_digest(activity.activity_digest(rows, run.params)), topic, target.options, target.fmt, batch_id)
 
     return run.start(counts, "activity", send)
 
@@ -88,12 +90,12 @@ def start_suggestions(
     spark: SparkSession, source: Topics, run: Run, static: DataFrame, knows: DataFrame
 ) -> StreamingQuery:
     """Suggestions per closed window in ``work_dir/suggestions/state/suggestions``."""
-    kinds = [source.events(spark, k) for k in ("post", "like", "comment")]
-    rows = affinity.activity_rows(*kinds).withColumns({
-        "ts": F.timestamp_millis("ts_ms"), "person_id": F.col("person_id").cast("long"),
-    })
+    # One watermark for each topic before the union, so that the slowest decides what is complete.
+    kinds = [source.events(spark, k).withWatermark("ts", f"{run.params.max_delay_s} seconds")
+             for k in ("post", "like", "comment")]
+    rows = affinity.activity_rows(*kinds, "ts").withColumn("person_id", F.col("person_id").cast("long"))
     writer = SuggestionWriter(spark, f"{run.work_dir}/suggestions/state", static, knows, run.params)
-    return run.start(slice_counts(rows, run.params), "suggestions", writer)
+    return run.start(slice_counts(rows, run.params, watermarked=True), "suggestions", writer)
 
 
 def start_outliers(
@@ -114,4 +116,13 @@ def start_outliers(
          features.comment_units(comments), features.like_units(likes)],
         [features.word_items(comments), features.author_items(matched)],
     )
-    return run.start(rows, "outliers", DailyOutliers(spark, f"{run.work_dir}/outliers/state", run.params))
+    # The features of posts, comments and likes: a day is complete when all three topics are past it.
+    inputs = ({0, 1}, {2, 3, 4}, {5})
+    return run.start(rows, "outliers", DailyOutliers(spark, f"{run.work_dir}/outliers/state", run.params, inputs=inputs))
+
+
+def start_rejects(spark: SparkSession, source: Topics, run: Run) -> StreamingQuery:
+    """Messages that are no events, with the reason, in ``work_dir/rejects/state``."""
+    parts = [rejects_of(read_topic(spark, TOPICS[k], source.options, source.fmt), k) for k in ("post", "like", "comment")]
+    table = BatchTable(spark, f"{run.work_dir}/rejects/state", "kind string, value string, reason string")
+    return run.start(reduce(DataFrame.unionByName, parts), "rejects", table.write)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,12 +24,18 @@ class DailyOutliers:
     to a feature, and for features that count distinct things one row per thing, with
     ``item`` set and ``den`` 0. See ``feature_rows``.
 
-    Every batch lands its rows. When the newest event is ``delay_s`` past a midnight, the
-    days before it are complete: items not seen before count once, running values continue
-    from the stored totals, and the statistics of the next midnight come from the totals.
+    Every batch lands its rows. When the newest event of every input is ``delay_s`` past a
+    midnight, the days before it are complete: items not seen before count once, running
+    values continue from the stored totals, and the statistics of the next midnight come from
+    the totals. ``inputs`` are the feature ids of each topic; a topic that lags, or has not
+    begun, holds the days open. Rows that come for a day worked off are kept in ``late``.
     """
 
-    def __init__(self, spark: SparkSession, state_dir: str, p: Params = Params(), delay_s: int | None = None):
+    def __init__(
+        self, spark: SparkSession, state_dir: str, p: Params = Params(), delay_s: int | None = None,
+        inputs: Sequence[Collection[int]] | None = None,
+    ):
+        self.inputs = inputs
         self.delay_ms = 1000 * (p.max_delay_s if delay_s is None else delay_s)
         self.p = p
 
@@ -36,7 +43,8 @@ class DailyOutliers:
             return BatchTable(spark, f"{state_dir}/{name}", schema)
 
         self.landed = table("landed", f"{_STEP}, item string")
-        self.newest = table("newest", "newest_ms long, done_ms long, totals_batch long")
+        self.newest = table("newest", "input int, newest_ms long, done_ms long, totals_batch long")
+        self.late = table("late", f"{_STEP}, item string")
         self.seen = table("seen", "person_id string, feature_id int, item string")
         self.totals = table("totals", "person_id string, feature_id int, num double, den long")
         self.stats = table("stats", "feature_id int, day_ms long, n_people long, mean double, sd double")
@@ -47,22 +55,41 @@ class DailyOutliers:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.landed.write(batch, batch_id)
-        now = self.landed.of(batch_id).agg(F.max("ts_ms")).first()[0]
-        before = self.newest.before(batch_id).agg(
-            F.max("newest_ms"), F.max("done_ms"), F.max("totals_batch")
-        ).first()
-        newest = max(x for x in (now, before[0], 0) if x is not None)
-        done, totals_batch = before[1], -1 if before[2] is None else before[2]
-        complete = (newest - self.delay_ms) // DAY_MS * DAY_MS
+        newest, done, totals_batch = self._progress(batch_id)
+        if done is not None:
+            self.late.write(self.landed.of(batch_id).filter(F.col("ts_ms") < done), batch_id)
+        if None in newest:
+            self._note(newest, done, totals_batch, batch_id)
+            return
+        complete = (min(newest) - self.delay_ms) // DAY_MS * DAY_MS
         rows = self.landed.before(batch_id + 1).filter(F.col("ts_ms") < complete)
         if done is not None:
             rows = rows.filter(F.col("ts_ms") >= done)
         if not rows.isEmpty():
             self._work_off(rows, done, complete, self.totals.of(totals_batch), batch_id)
             done, totals_batch = complete, batch_id
-        self.newest.write(
-            self.newest.spark.createDataFrame([(newest, done, totals_batch)], self.newest.schema), batch_id
-        )
+        self._note(newest, done, totals_batch, batch_id)
+
+    def _progress(self, batch_id: int) -> tuple[list[int | None], int | None, int]:
+        """Newest event of each input, days worked off, and the batch that has their totals."""
+        groups = self.inputs or [None]
+        # One row per feature and per input: a few.
+        now = {r.feature_id: r.ts_ms for r in self.landed.of(batch_id).groupBy("feature_id").agg(
+            F.max("ts_ms").alias("ts_ms")).collect()}
+        past = {r.input: r for r in self.newest.before(batch_id).groupBy("input").agg(
+            *[F.max(c).alias(c) for c in ("newest_ms", "done_ms", "totals_batch")]).collect()}
+        newest = []
+        for i, features in enumerate(groups):
+            known = [ts for f, ts in now.items() if features is None or f in features]
+            known += [past[i].newest_ms] if i in past else []
+            newest.append(max((ts for ts in known if ts is not None), default=None))
+        done = max((r.done_ms for r in past.values() if r.done_ms is not None), default=None)
+        batches = [r.totals_batch for r in past.values() if r.totals_batch is not None]
+        return newest, done, max(batches, default=-1)
+
+    def _note(self, newest: list[int | None], done: int | None, totals_batch: int, batch_id: int) -> None:
+        rows = [(i, ts, done, totals_batch) for i, ts in enumerate(newest)]
+        self.newest.write(self.newest.spark.createDataFrame(rows, self.newest.schema), batch_id)
 
     def _work_off(
         self, rows: DataFrame, done: int | None, complete: int, carried: DataFrame, batch_id: int

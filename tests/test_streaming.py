@@ -14,7 +14,7 @@ from murmuration.sources.star import LEXICON, EngagementTables
 from murmuration.sources.topics import events_of, publish, read_topic
 from murmuration.streaming.activity import stream_activity
 from murmuration.streaming.affinity import SuggestionWriter, slice_counts
-from murmuration.streaming.jobs import Run, Topics, start_activity, start_outliers, start_suggestions, start_threads
+from murmuration.streaming.jobs import Run, Topics, start_activity, start_outliers, start_rejects, start_suggestions, start_threads
 from murmuration.streaming.outliers import DailyOutliers, feature_rows
 from murmuration.streaming.threads import ThreadResolver, liked_author_stream
 
@@ -230,3 +230,62 @@ def test_topics_to_suggestions_and_outliers(spark, topics, tmp_path):
     stats = spark.read.parquet(f"{tmp_path}/outliers/state/stats")
     assert {r.feature_id for r in stats.select("feature_id").distinct().collect()} == set(range(6))
     assert not spark.read.parquet(f"{tmp_path}/outliers/state/daily").isEmpty()
+
+
+def test_a_topic_that_lags_holds_its_days_open(spark, tmp_path):
+    """Likes of seven days, then posts of the same days, then later events: no day is lost."""
+    day = 86_400_000
+    schema = "person_id string, feature_id int, ts_ms long, event_id string, num double, den long, item string"
+
+    def rows(feature: int, days) -> list[tuple]:
+        return [(f"p{d % 3}", feature, d * day + 5, f"{feature}-{d}", float(d), 1, None) for d in days]
+
+    batches = [rows(5, range(1, 8)), rows(0, range(1, 8)), rows(5, [20]), rows(0, [20]), rows(0, [2])]
+    sink = DailyOutliers(spark, str(tmp_path / "state"), Params(), inputs=({0, 1}, {5}))
+    for i, batch in enumerate(batches):
+        sink(spark.createDataFrame(batch, schema), i)
+    first = {r.feature_id: r.day for r in sink.stats.everything().groupBy("feature_id").agg(F.min("day_ms").alias("day")).collect()}
+    assert first == {0: 2 * day, 5: 2 * day}
+    people = {(r.feature_id, r.day_ms): r.n_people for r in sink.stats.everything().collect()}
+    assert people[0, 8 * day] == people[5, 8 * day] == 3
+    # What comes for a closed day is kept apart.
+    late = [(r.feature_id, r.ts_ms) for r in sink.late.everything().collect()]
+    assert late == [(0, 2 * day + 5)]
+    assert sink.landed.everything().count() == sum(map(len, batches))
+
+
+def test_a_slow_topic_loses_nothing_to_a_fast_one(spark, tmp_path):
+    from murmuration.streaming.affinity import slice_counts as slices
+    day = 86_400_000
+
+    def topic(name: str, days: list[int]):
+        rows = [(n, "like", d, f"t{d}", d * day) for n, d in enumerate(days)]
+        df = spark.createDataFrame(rows, "n long, kind string, person_id long, target string, ts_ms long")
+        df = df.withColumn("ts", as_timestamp(F.col("ts_ms")))
+        path = arriving(df, "n", tmp_path / name, 3)
+        return stream_of(spark, path).withWatermark("ts", f"{DELAY_S} seconds")
+
+    united = topic("fast", list(range(10, 21))).unionByName(topic("slow", [1, 2, 3, 4, 5, 6]))
+    run(slices(united.drop("n", "ts_ms"), Params(), watermarked=True), tmp_path)
+    got = {r.person_id for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert {1, 2, 3, 4, 5} <= got
+
+
+def test_rejects_and_events_are_all_that_was_sent(spark, tmp_path):
+    good = '{"personId": "1", "postId": "2", "timeMilisecond": 5}'
+    sent = [good, "{broken", '{"personId": "1", "postId": "2"}', good, "[]", ""]
+    for topic, lines in (("likes", sent), ("posts", []), ("comments", [])):
+        spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.text(str(tmp_path / "topics" / topic))
+    source, job = Topics({"path": str(tmp_path / "topics")}, "text"), Run(str(tmp_path), once=True)
+    start_rejects(spark, source, job).awaitTermination()
+    rejected = spark.read.parquet(f"{tmp_path}/rejects/state").collect()
+    kept = events_of(spark.read.text(str(tmp_path / "topics" / "likes")), "like").count()
+    assert kept + len(rejected) == len(sent) and kept == 2
+    assert {r.reason for r in rejected} == {"no JSON object", "no event time"}
+
+
+def test_sending_a_batch_again_adds_nothing(spark, tmp_path):
+    batch = spark.createDataFrame([("a",), ("b",)], "value string")
+    for _ in range(2):
+        publish(batch, "out", {"path": str(tmp_path)}, "text", batch_id=3)
+    assert spark.read.text(str(tmp_path / "out")).count() == 2
