@@ -12,6 +12,7 @@ from murmuration.functions import codec, text
 from murmuration.functions.timing import as_timestamp, epoch_ms, with_event_time
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import DAY_MS, HOUR_MS, MINUTE_MS, Params
+from murmuration.plans.streams import STREAMS
 from murmuration.runtime import materialize
 from murmuration.sources.star import LEXICON, SELECTED, EngagementTables, PeopleTables, TextTables, table
 
@@ -362,4 +363,4 @@ def _query(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: _query(name) for name in QUERY_NAMES}
+    return {name: _query(name) for name in QUERY_NAMES} | STREAMS

@@ -337,6 +337,12 @@ BODIES = {
     "outliers_daily_2s": _at_midnight(2),
     "encode_outliers": "SELECT '(' || concat_ws(',', day_ms, person_id, feature_id, "
     "CAST(value AS DECIMAL(20,6)), CAST(mean AS DECIMAL(20,6))) || ')' AS value FROM (" + _at_midnight(2) + ")",
+    "stream_sliding_counts": f"""SELECT window_end_ms, post_id, count(*) AS n FROM (
+        SELECT (ts_ms // {HOUR_MS} + {ENDS}) * {HOUR_MS} AS window_end_ms, post_id FROM likes)
+        WHERE window_end_ms <= (SELECT max(ts_ms) FROM likes) - 3000000 - 2 * {HOUR_MS} GROUP BY ALL""",
+    "stream_resolve_replies": "SELECT comment_id, post_id, depth FROM resolved",
+    "stream_completeness": """SELECT count(*) AS n_sent, count(*) FILTER (ts_ms % 97 <> 0) AS n_kept,
+        count(*) FILTER (ts_ms % 97 = 0) AS n_rejected FROM likes""",
     "aff_static_features": "SELECT selected_id, candidate_id, feature, amount FROM static_features",
     "aff_static_total": "SELECT selected_id, candidate_id, CAST(score AS DOUBLE) AS score FROM static_total",
     "aff_colike": _co("likedTheSame"),

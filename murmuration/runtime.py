@@ -57,6 +57,11 @@ def drop_intermediates(spark: SparkSession) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder of this application that nobody else uses."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as a Parquet table in the checkpoint folder; returns its path."""
     path = f"{_run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
