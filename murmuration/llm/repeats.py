@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,13 +109,14 @@ def repeated_starts(texts: list[bytes], span: int) -> list[list[tuple[int, int]]
     """For each text the (start, class) of its strings of ``span`` bytes; equal strings have
     one class, and a class of one string is negative."""
     values: list[int] = []
-    owners: list[int] = []
-    offsets: list[int] = []
     for i, text in enumerate(texts):
         values.extend(b + len(texts) for b in text)
         values.append(i)  # ends are all different and less than any byte
-        owners.extend([i] * (len(text) + 1))
-        offsets.extend(range(len(text) + 1))
+    sizes = np.array([len(t) + 1 for t in texts])
+    owners = np.repeat(np.arange(len(texts)), sizes)
+    offsets = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.array(suffix_array(values))
+    order = order[(offsets + span < sizes[owners])[order]]  # a whole string fits
     found: list[list[tuple[int, int]]] = [[] for _ in texts]
     last, held, number = None, [], 0
 
@@ -122,10 +124,7 @@ def repeated_starts(texts: list[bytes], span: int) -> list[list[tuple[int, int]]
         for i, start in held:
             found[i].append((start, number if len(held) > 1 else -number))
 
-    for place in suffix_array(values):
-        i, start = owners[place], offsets[place]
-        if start + span > len(texts[i]):
-            continue
+    for i, start in zip(owners[order].tolist(), offsets[order].tolist()):
         string = texts[i][start:start + span]
         if string == last:
             held.append((i, start))
@@ -226,23 +225,28 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, chunk: i
     return spans.groupBy("k1", "k2").agg(F.flatten(F.collect_list("runs")).alias("spans"))
 
 
-def cut(data: bytes, spans: list | None) -> tuple[bytes, int, int]:
+def cut(data: bytes, first: np.ndarray, past: np.ndarray) -> tuple[bytes, int, int]:
     """Kept bytes, removed bytes, and maximal removed runs."""
-    if not spans:
+    if not len(first):
         return data, 0, 0
-    kept, at, removed, runs = [], 0, 0, 0
-    first, past = None, None
-    for a, b in sorted((s["first"], s["past"]) for s in spans):
-        if past is not None and a <= past:
-            past = max(past, b)
-            continue
-        if past is not None:
-            kept.append(data[at:first])
-            removed, runs, at = removed + past - first, runs + 1, past
-        first, past = a, b
-    kept.append(data[at:first])
-    kept.append(data[past:])
-    return b"".join(kept), removed + past - first, runs + 1
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(past[order])
+    # A run begins where nothing before reaches.
+    begins = np.flatnonzero(np.concatenate([[True], first[1:] > reach[:-1]]))
+    starts, stops = first[begins], reach[np.concatenate([begins[1:] - 1, [len(reach) - 1]])]
+    edges = [0, *stops.tolist()], [*starts.tolist(), len(data)]
+    return b"".join(data[x:y] for x, y in zip(*edges)), int((stops - starts).sum()), len(begins)
+
+
+def _cut_batch(batch: pa.RecordBatch, text: str, spans: str) -> Iterator[tuple[str | None, bytes, tuple[bytes, int, int]]]:
+    """Each row's text, its bytes, and what ``cut`` makes of them."""
+    column = batch.column(spans)
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+    flat = column.flatten()
+    first, past = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("first", "past"))
+    for value, low, high in zip(batch.column(text).to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
+        data = (value or "").encode()
+        yield value, data, cut(data, first[low:high], past[low:high])
 
 
 def _with_spans(docs: DataFrame, text: str, span: int, gram: int, chunk: int) -> tuple[DataFrame, str]:
@@ -262,11 +266,8 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column(spans).to_pylist()):
-                data = (text or "").encode()
-                kept, removed, runs = cut(data, found)
-                rows.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest()))
+            rows = [(len(data), removed, runs, hashlib.sha256(kept).hexdigest())
+                    for _, data, (kept, removed, runs) in _cut_batch(batch, "text", spans)]
             columns = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.string())],
@@ -283,8 +284,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", span: int = SPAN, gram:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = to_arrow_schema(schema)
         for batch in batches:
-            texts = [t if t is None or not found else cut(t.encode(), found)[0].decode("utf-8", "ignore")
-                     for t, found in zip(batch.column(text).to_pylist(), batch.column(spans).to_pylist())]
+            texts = [value if value is None or not runs else kept.decode("utf-8", "ignore")
+                     for value, _, (kept, _, runs) in _cut_batch(batch, text, spans)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, kind.field(c).type) if c == text else batch.column(c) for c in kind.names], names=kind.names)
 
