@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,15 +139,17 @@ def _evidence(pos: pd.Series, neg: pd.Series, n_pos: int, n_neg: int) -> tuple[p
 
 def _counts(sample: DataFrame, of) -> DataFrame:
     """unit, pos, neg: texts of either label in which each unit occurs; ``of`` gives a text's units."""
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             pos, neg = Counter(), Counter()
-            for text, label in zip(frame["text"], frame["label"]):
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
                 (pos if label else neg).update(set(of(text)))
             keys = list(pos.keys() | neg.keys())
-            yield pd.DataFrame({"unit": keys, "pos": [pos[k] for k in keys], "neg": [neg[k] for k in keys]})
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (pos, neg))],
+                names=["unit", "pos", "neg"])
 
-    return sample.mapInPandas(count, "unit string, pos long, neg long").groupBy("unit").agg(
+    return sample.select("text", "label").mapInArrow(count, "unit string, pos long, neg long").groupBy("unit").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
@@ -223,11 +226,12 @@ def learn(docs: DataFrame, labels: DataFrame, limits: Limits = Limits()) -> Mode
         .orderBy(F.desc("neg"), "unit").limit(limits.phrases).toPandas()
     model = Model(lexicon, tuple(around["unit"]), ())
 
-    def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"x": [features(t, model) for t in frame["text"]], "y": frame["label"]})
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [features(t, model) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column("label")], names=["x", "y"])
 
-    fitted = sample.where("part = 1").mapInPandas(rows, "x array<double>, y int").toPandas()
+    fitted = sample.where("part = 1").select("text", "label").mapInArrow(rows, "x array<double>, y int").toPandas()
     if fitted.empty or fitted["y"].nunique() < 2:
         return model._replace(curve=(-4.0, 1.0, 1.0, 0.5))
     # A fixed order of the rows makes the sums the same in every run.
