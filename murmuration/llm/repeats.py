@@ -39,7 +39,7 @@ SPAN = 200
 #: Bytes of the grams whose least hash assigns a string.
 GRAM = 48
 #: Windows that are sorted together.
-CHUNK = 256
+CHUNK = 1024
 #: Bytes of a text that are looked at in one step.
 _STEP = 1 << 22
 
@@ -146,13 +146,15 @@ def _sorted_chunks(span: int):
         def finish() -> Iterator[pa.RecordBatch]:
             if not texts or (len(texts) < 2 and not key[2]):
                 return
-            rows = []
+            rows, shown = [], set()
             for content, text, starts in zip(contents, texts, repeated_starts(texts, span)):
                 if key[2]:
+                    # Strings that are alone in the chunk, and one of each that is not, meet those of other chunks.
                     for start, number in starts:
-                        digest = xxh3_128_intdigest(text[start:start + span])
-                        rows.append((content, start, start, number > 0, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)))
-                    continue
+                        if number < 0 or number not in shown:
+                            shown.add(number)
+                            digest = xxh3_128_intdigest(text[start:start + span])
+                            rows.append((content, start, start, number > 0, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)))
                 # Runs of repeated starts.
                 last = None
                 for start in sorted(at for at, number in starts if number > 0):
