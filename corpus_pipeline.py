@@ -13,13 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import decontaminate, packing, queries, repeats, simhash, toxicity
+from murmuration.llm import decontaminate, packing, queries, repeats, similar, toxicity
 from murmuration.llm.common import crc32_mod, free_names, ship_package, table
 from murmuration.runtime import materialize
 
-#: Near-duplicates: words of a shingle, lanes of 64 fingerprint bits, and bits in which texts
-#: with a shingle similarity of 0.8 differ (0.152 of them, and a deviation's slack).
-SHINGLE, LANES, RADIUS = 5, 4, 44
+#: Near-duplicates: words of a shingle, and the Jaccard similarity of two texts' sets of them.
+SHINGLE, SIMILAR = 5, 0.8
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -44,14 +43,13 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_stage
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near-duplicates: texts that
-    links of a similarity of about 0.8 or more on five-word shingles connect. Texts without
+    links of a Jaccard similarity of 0.8 or more on five-word shingles connect. Texts without
     words are copies of each other."""
     (row,) = free_names(docs, "row_of_stage")
     # The stage's input is a stored table, so rows keep their numbers when it is read again.
     docs = docs.withColumn(row, F.monotonically_increasing_id())
     name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
-    groups = simhash.near_groups(docs.select(name.alias("doc_id"), F.col("text").cast("string").alias("text")),
-                                 SHINGLE, RADIUS, LANES, distinct=True)
+    groups = similar.groups(docs.select(name.alias("doc_id"), F.col("text").cast("string").alias("text")), SHINGLE, SIMILAR)
     stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias(row))
     return docs.join(stay, row, "left_semi").drop(row)
 

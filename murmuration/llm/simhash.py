@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import functools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -158,10 +158,22 @@ def _expand(blocks: Blocks, lanes: int):
     return run
 
 
-def _spanning(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (node, least node of its part) of the pairs of equal group within the radius."""
-    n = len(nodes)
-    firsts, seconds = [], []
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least row of each row's part in the graph of the links (a, b)."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, b, label[a])
+        np.minimum.at(label, a, label[b])
+        label = label[label]
+        if (label == before).all():
+            return label
+
+
+def _parts(prints: np.ndarray, groups: np.ndarray, radius: int) -> np.ndarray:
+    """The least row of each row's part, by the pairs of equal group within the radius."""
+    n = len(prints)
+    firsts, seconds = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     rows = np.arange(n)
     shift = 1
     while True:
@@ -176,50 +188,86 @@ def _spanning(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius:
             firsts.append(near)
             seconds.append(near + shift)
         shift += 1
-    if not firsts:
-        return nodes[:0], nodes[:0]
-    a, b = np.concatenate(firsts), np.concatenate(seconds)
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, b, label[a])
-        np.minimum.at(label, a, label[b])
-        label = label[label]
-        if (label == before).all():
-            break
-    moved = np.flatnonzero(label != np.arange(n))
+    return _labels(n, np.concatenate(firsts), np.concatenate(seconds))
+
+
+def _spanning(nodes: np.ndarray, prints: np.ndarray, groups: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, least node of its part) of the pairs of equal group within the radius."""
+    label = _parts(prints, groups, radius)
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[moved], nodes[label[moved]]
 
 
-def _verify(radius: int, lanes: int):
-    """Links of sorted rows (path, key, node, print); a group may go over batches."""
+def by_groups(keys: list[str], run_groups: Callable[[pa.Table, np.ndarray], pa.RecordBatch]):
+    """For ``mapInArrow`` on rows sorted by ``keys``: ``run_groups`` takes whole groups and their
+    numbers. A group may go over batches; groups are bounded, and so is what is held."""
+    def starts(table: pa.Table) -> np.ndarray:
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for key in keys:
+            column = table.column(key).to_numpy()
+            new[1:] |= column[1:] != column[:-1]
+        return new
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-
-        def links(table: pa.Table) -> pa.RecordBatch:
-            path, key = table.column("path").to_numpy(), table.column("key").to_numpy()
-            new = np.concatenate([[True], (path[1:] != path[:-1]) | (key[1:] != key[:-1])]) if len(path) else np.empty(0, bool)
-            a, b = _spanning(table.column("node").to_numpy(), _matrix(table, lanes), np.cumsum(new), radius)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
             table = pa.Table.from_batches([*held, batch])
-            path, key = table.column("path").to_numpy(), table.column("key").to_numpy()
-            last = int(np.argmax((path == path[-1]) & (key == key[-1])))
-            # The batch's last group may go on; groups are bounded, and so is what is held.
+            new = starts(table)
+            last = int(np.flatnonzero(new)[-1])
             held = table.slice(last).to_batches()
             if last:
-                yield links(table.slice(0, last))
+                yield run_groups(table.slice(0, last), np.cumsum(new[:last]))
         if held:
-            yield links(pa.Table.from_batches(held))
+            table = pa.Table.from_batches(held)
+            yield run_groups(table, np.cumsum(starts(table)))
     return run
 
 
+def _verify(radius: int, lanes: int):
+    """Links of sorted rows (path, key, node, print)."""
+    def links(table: pa.Table, groups: np.ndarray) -> pa.RecordBatch:
+        a, b = _spanning(table.column("node").to_numpy(), _matrix(table, lanes), groups, radius)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return by_groups(["path", "key"], links)
+
+
+def clusters(nodes: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    """cluster, node: the parts of several rows, named by a hash of their nodes, so that the same
+    part of another block has the same name."""
+    order = np.argsort(label, kind="stable")
+    _, first, size = np.unique(label[order], return_index=True, return_counts=True)
+    inside = order[np.repeat(size > 1, size)]
+    first, size = np.cumsum(size[size > 1]) - size[size > 1], size[size > 1]
+    hashes = _mix((nodes[inside].astype(np.uint64) + np.uint64(1)) * _LANE)
+    name = np.add.reduceat(hashes, first) if len(first) else np.empty(0, np.uint64)
+    name = np.repeat(_mix(name + size.astype(np.uint64)), size)
+    return pa.RecordBatch.from_arrays([pa.array(name.view(np.int64)), pa.array(nodes[inside])], names=["cluster", "node"])
+
+
+def _gather(radius: int, lanes: int):
+    """Parts of sorted rows (path, key, node, print)."""
+    def parts(table: pa.Table, groups: np.ndarray) -> pa.RecordBatch:
+        return clusters(table.column("node").to_numpy(), _parts(_matrix(table, lanes), groups, radius))
+
+    return by_groups(["path", "key"], parts)
+
+
 def near_links(nodes: DataFrame, blocks: Blocks, radius: int, lanes: int = 1, group: int = GROUP) -> DataFrame:
     """a, b: links that span the groups of near fingerprints. ``nodes`` has node (long) and
     print (array of ``lanes`` longs), distinct prints, and is read several times."""
+    return _by_blocks(nodes, blocks, lanes, group, _verify(radius, lanes), "a long, b long")
+
+
+def near_clusters(nodes: DataFrame, blocks: Blocks, radius: int, lanes: int = 1, group: int = GROUP) -> DataFrame:
+    """cluster, node: at most ``group`` nodes of a block that links within the radius connect."""
+    return _by_blocks(nodes, blocks, lanes, group, _gather(radius, lanes), "cluster long, node long")
+
+
+def _by_blocks(nodes: DataFrame, blocks: Blocks, lanes: int, group: int, compare, schema: str) -> DataFrame:
     keyed_schema = "path long, key long, node long, print array<long>"
     found = []
     going = nodes.select(F.lit(0).cast("long").alias("path"), "node", "print")
@@ -230,7 +278,7 @@ def near_links(nodes: DataFrame, blocks: Blocks, radius: int, lanes: int = 1, gr
         small = keyed if none else keyed.join(crowded, ["path", "key"], "left_anti")
         found.append(materialize(
             small.repartition("path", "key").sortWithinPartitions("path", "key", "node")
-            .mapInArrow(_verify(radius, lanes), "a long, b long").distinct(), "links"))
+            .mapInArrow(compare, schema).distinct(), "links"))
         if none:
             return functools.reduce(DataFrame.unionAll, found)
         going = materialize(keyed.join(crowded, ["path", "key"], "left_semi").select("path", "node", "print"), "crowd")
