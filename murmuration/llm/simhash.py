@@ -7,10 +7,13 @@ joined on blocks, and the pairs of a block are verified by their Hamming distanc
 * ``ExactBlocks``: 64 bits in radius + 1 parts, so every pair within the radius shares one
   (pigeonhole).
 * ``SampledBlocks``: for wide fingerprints and large radii, many sampled blocks, so that a
-  pair at the radius shares one with a stated probability.
+  pair at the stated share of different bits shares one with a stated probability.
 
 A block that too many different fingerprints share is cut further by blocks of its remaining
-bits, by the same argument, so no group of any size is compared whole. Exact copies share a
+bits, so no group of any size is compared whole: by the same pigeonhole argument, or by as many
+sampled blocks as keep the probability; where that sends more rows, the block is dealt into
+pages, and each two pages are compared. Sampled blocks may lose a pair in half as many cases on each
+level as on the one above, so all levels together lose less than twice what the first may. Exact copies share a
 fingerprint and count once. Of each group only links that span it are kept.
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other,
@@ -22,6 +25,7 @@ gives an empty result, other columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
@@ -94,6 +98,9 @@ class ExactBlocks(NamedTuple):
 
     radius: int = 3
 
+    def most_pages(self, level: int) -> int:
+        return 0
+
     @functools.lru_cache(maxsize=1 << 14)
     def children(self, path: int) -> list[tuple[int, np.ndarray]]:
         """The blocks below a path (0 is the root): child path and bit mask, with the parent's bits."""
@@ -104,27 +111,44 @@ class ExactBlocks(NamedTuple):
 
 
 class SampledBlocks(NamedTuple):
-    """``tables`` blocks of ``bits`` sampled bits; a full block is refined by a few more of its own."""
+    """Blocks of ``bits`` sampled bits, as many as give ``recall`` at ``distance_share``; a full
+    block is refined by blocks of its own."""
 
     lanes: int
     bits: int
-    tables: int
+    distance_share: float = 0.15
+    recall: float = 0.97
     refined_bits: int = 8
-    refined_tables: int = 4
     seed: int = 7
 
+    def tables(self, level: int) -> int:
+        """Blocks on a level; below the first each level loses half of what the one above may."""
+        bits = self.refined_bits if level else self.bits
+        return tables_needed(self.distance_share, min(bits, 64 * self.lanes), 1 - (1 - self.recall) / 2 ** level)
+
+    def most_pages(self, level: int) -> int:
+        """Pages up to which comparing each two of them sends no more rows than refining."""
+        return self.tables(level + 1)
+
     @functools.lru_cache(maxsize=1 << 14)
     def children(self, path: int) -> list[tuple[int, np.ndarray]]:
-        fan = max(self.tables, self.refined_tables)
-        parent = self.children((path - 1) // fan)[(path - 1) % fan][1] if path else np.zeros(self.lanes, np.uint64)
+        """The blocks below a path, numbered level by level."""
+        level, before, wide = 0, 0, 1  # paths above the level, and on it
+        while path >= before + wide:
+            level, before, wide = level + 1, before + wide, wide * self.tables(level)
+        fan, place = self.tables(level), path - before
+        parent = np.zeros(self.lanes, np.uint64)
+        if level:
+            above = self.tables(level - 1)
+            parent = self.children(before - wide // above + place // above)[place % above][1]
         draw = np.random.default_rng([self.seed, path])
         left = np.array([b for b in range(64 * self.lanes) if not int(parent[b // 64]) >> (b % 64) & 1])
         out = []
-        for i in range(self.refined_tables if path else self.tables):
+        for i in range(fan):
             mask = parent.copy()
-            for b in draw.choice(left, min(len(left), self.refined_bits if path else self.bits), replace=False):
+            for b in draw.choice(left, min(len(left), self.refined_bits if level else self.bits), replace=False):
                 mask[b // 64] |= np.uint64(1 << int(b % 64))
-            out.append((path * fan + i + 1, mask))
+            out.append((before + wide + place * fan + i, mask))
         return out
 
 
@@ -269,26 +293,40 @@ def near_clusters(nodes: DataFrame, blocks: Blocks, radius: int, lanes: int = 1,
 
 def _by_blocks(nodes: DataFrame, blocks: Blocks, lanes: int, group: int, compare, schema: str) -> DataFrame:
     keyed_schema = "path long, key long, node long, print array<long>"
+    half = max(1, group // 2)
     found = []
     going = nodes.select(F.lit(0).cast("long").alias("path"), "node", "print")
-    while True:
+    for level in itertools.count():
         keyed = going.mapInArrow(_expand(blocks, lanes), keyed_schema)
-        crowded = materialize(keyed.groupBy("path", "key").count().where(F.col("count") > group).drop("count"), "crowded")
+        crowded = materialize(keyed.groupBy("path", "key").count().where(F.col("count") > group)
+                              .select("path", "key", F.ceil(F.col("count") / half).cast("long").alias("pages")), "crowded")
         none = crowded.isEmpty()
         small = keyed if none else keyed.join(crowded, ["path", "key"], "left_anti")
+        few = F.col("pages") <= blocks.most_pages(level)
+        if not none and blocks.most_pages(level):
+            small = small.unionAll(_paged(keyed.join(crowded.where(few), ["path", "key"])))
         found.append(materialize(
             small.repartition("path", "key").sortWithinPartitions("path", "key", "node")
             .mapInArrow(compare, schema).distinct(), "links"))
-        if none:
+        if none or crowded.where(~few).isEmpty():
             return functools.reduce(DataFrame.unionAll, found)
-        going = materialize(keyed.join(crowded, ["path", "key"], "left_semi").select("path", "node", "print"), "crowd")
+        going = materialize(keyed.join(crowded.where(~few), ["path", "key"], "left_semi").select("path", "node", "print"), "crowd")
+
+
+def _paged(keyed: DataFrame) -> DataFrame:
+    """A block for each two of its pages, and for each page alone with itself."""
+    page = F.pmod(F.xxhash64("node"), F.col("pages"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pages") - 1))
+    key = F.xxhash64("key", F.least("page", "other"), F.greatest("page", "other"))
+    return keyed.withColumn("page", page).withColumn("other", other).select("path", key.alias("key"), "node", "print")
 
 
 def wide_blocks(prints: int, lanes: int = 4, distance_share: float = 0.15, recall: float = 0.97) -> SampledBlocks:
     """Blocks for so many different fingerprints: some four of them share a block by chance, and a
     pair that differs in ``distance_share`` of its bits shares one with probability ``recall``."""
     bits = max(14, math.ceil(math.log2(max(1, prints) / 4)))
-    return SampledBlocks(lanes, bits, tables_needed(distance_share, bits, recall))
+    # All levels together lose less than twice what the first does.
+    return SampledBlocks(lanes, bits, distance_share, (1 + recall) / 2)
 
 
 def near_groups(docs: DataFrame, width: int = 3, radius: int = 3, lanes: int = 1, distinct: bool = False,

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
-from murmuration.llm import similar
+from murmuration.llm import similar, simhash
 from murmuration.llm.common import ship_package
+from murmuration.llm.components import components
 
 SCHEMA = "doc_id long, text string"
 
@@ -70,3 +72,24 @@ def test_stage_keeps_one_of_each_group(spark, rows):
     docs = spark.createDataFrame(rows, SCHEMA)
     kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "").collect()
     assert sorted(r.doc_id for r in kept) == sorted(set(_groups(rows).values()))
+
+
+def test_crowded_blocks_keep_the_recall(spark):
+    """300 pairs at the distance share, in one family whose blocks are crowded at a small bound."""
+    ship_package(spark)
+    draw = np.random.default_rng(5)
+
+    def flipped(print_, bits):
+        out = print_.copy()
+        out[draw.choice(256, bits, replace=False)] ^= True
+        return out
+
+    base = draw.random(256) < 0.5
+    firsts = [flipped(base, 40) for _ in range(300)]
+    prints = [p for first in firsts for p in (first, flipped(first, 38))]
+    rows = [(i, np.packbits(p, bitorder="little").view("<i8").tolist()) for i, p in enumerate(prints)]
+    nodes = spark.createDataFrame(rows, "node long, print array<long>").repartition(3)
+    for group in (2, 8):  # blocks are refined; blocks are compared by pages
+        links = simhash.near_links(nodes, simhash.wide_blocks(len(rows)), 44, 4, group)
+        part = {r.node: r.component for r in components(links).collect()}
+        assert sum(part.get(i, -1) == part.get(i + 1, -2) for i in range(0, 600, 2)) >= 0.97 * 300
