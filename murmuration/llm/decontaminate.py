@@ -17,6 +17,7 @@ document id keeps its rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -185,19 +186,24 @@ def indexes(items: DataFrame, limits: Limits, item_id: str = "item_id", text: st
         yield rows.column("item_id").to_pylist(), rows.column("chars").to_pylist()
 
 
-_indexes: dict[int, Index] = {}
+#: Indexes that a worker keeps: those of the blocks that one stage searches in turn.
+KEPT = 4
+_indexes: dict[str, Index] = {}
+
+
+def named(block: tuple[list, list[str]]) -> tuple[str, list, list[str]]:
+    """A block as it is sent: with a name that no other block of any run has."""
+    return (uuid.uuid4().hex, *block)
 
 
 def _index(shared, limits: Limits) -> Index:
-    """The index of a broadcast block, made once per worker."""
-    if shared.value is None:
-        raise ValueError("the block was not sent")
-    key = id(shared.value)
-    if key not in _indexes:
-        _indexes.clear()
-        ids, chars = shared.value
-        _indexes[key] = Index([np.frombuffer(c.encode("utf-32-le"), np.uint32) for c in chars], ids, limits)
-    return _indexes[key]
+    """The index of a broadcast block of ``named``, made once per worker."""
+    name, ids, chars = shared.value
+    if name not in _indexes:
+        while len(_indexes) >= KEPT:
+            del _indexes[next(iter(_indexes))]
+        _indexes[name] = Index([np.frombuffer(c.encode("utf-32-le"), np.uint32) for c in chars], ids, limits)
+    return _indexes[name]
 
 
 def leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -212,7 +218,7 @@ def leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), doc_id:
         *(T.StructField(c, T.LongType()) for c in ("start", "end", "edits"))])
     found = []
     for block in indexes(items, limits):
-        shared = docs.sparkSession.sparkContext.broadcast(block)
+        shared = docs.sparkSession.sparkContext.broadcast(named(block))
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -231,7 +237,7 @@ def leaks(docs: DataFrame, items: DataFrame, limits: Limits = Limits(), doc_id:
 
 def leak_column(text: Column, block: tuple[list, list[str]], context, limits: Limits = Limits()) -> Column:
     """Whether each text holds a window of a block of ``indexes``."""
-    shared = context.broadcast(block)
+    shared = context.broadcast(named(block))
 
     @F.pandas_udf("boolean")
     def leaked(texts: pd.Series) -> pd.Series:

@@ -31,19 +31,24 @@ from murmuration.runtime import materialize
 
 #: Texts are encoded in parts of about so many characters, so that memory stays bounded.
 ENCODE_CHARS = 1 << 17
+# Fixed value: the special token of the vocabulary; its string in a text is that token.
+SPECIAL = "<|endoftext|>"
 #: Pieces that one partition packs.
 GROUP_ROWS = 1 << 16
 
 
 @functools.cache
 def encoder(ranks_path: str):
-    """Byte-level BPE from a file of ranks (the fast reader of the same vocabulary)."""
+    """Byte-level BPE from a file of ranks (the fast reader of the same vocabulary).
+
+    Its one special token has the id after the ranks; only ``token_ids`` looks for it in texts."""
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                             special_tokens={SPECIAL: len(ranks)})
 
 
 _SAFE_CUT = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
@@ -62,7 +67,7 @@ def text_parts(text: str, size: int = ENCODE_CHARS) -> Iterator[str]:
 
 
 def token_ids(text: str | None, ranks_path: str) -> np.ndarray:
-    encode = encoder(ranks_path).encode_ordinary
+    encode = functools.partial(encoder(ranks_path).encode, allowed_special={SPECIAL}, disallowed_special=())
     parts = [np.array(encode(part), dtype="<u4") for part in text_parts(text or "")]
     return np.concatenate(parts)
 

@@ -64,8 +64,9 @@ def test_ids_equal_those_of_the_other_library(rows):
     import public_tokenizers
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    for _, text in rows + [(0, "<|endoftext|> it's 12,5 €  two   spaces\n\n\tend ")]:
+    special = ["<|endoftext|> it's 12,5 €  two   spaces\n\n\tend ", "a<|endoftext|><|endoftext|> hi", "<|endoftext|", " <|endoftext|>\n\nb"]
+    assert packing.token_ids("<|endoftext|> hi", queries.ranks_path()).tolist() == [50256, 23105]
+    for _, text in rows + [(0, t) for t in special]:
         assert packing.token_ids(text, queries.ranks_path()).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -416,6 +417,24 @@ def test_no_region_within_the_budget_is_lost():
         assert (min(found) == best) if best <= index.edits[0] else not found
 
 
+def test_many_blocks_in_one_worker():
+    """Values that come and go at the same places in memory do not get each other's index."""
+    for i in range(50):
+        class Sent:
+            value = decontaminate.named(([i], [f"passage number {i} of the benchmark, told at some length"]))
+        assert decontaminate._index(Sent, decontaminate.Limits()).items == [i]
+        del Sent
+
+
+def test_leaks_over_several_blocks(spark):
+    words = [f"{a}{b}" for a in ("red", "oak", "sun", "tin", "fog") for b in ("fish", "road", "bell", "lamp", "seed")]
+    draw = random.Random(4)
+    items = [(i, " ".join(draw.choice(words) for _ in range(30))) for i in range(12)]
+    docs = spark.createDataFrame([(i, f"so it began {t} and ended") for i, t in items], "doc_id long, text string").repartition(2)
+    found = decontaminate.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), decontaminate.Limits(block=8))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i, _ in items}
+
+
 # op9
 
 def test_suffix_arrays():

@@ -5,11 +5,14 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from murmuration.llm import queries
 
 SF = "/root/testdata/sf0.001"
+#: Large enough to learn from.
+LABELLED = "/root/testdata/sf0.01"
 STAGES = dict(corpus_pipeline.STAGES)
 
 
@@ -63,8 +66,43 @@ def test_leaks(spark, docs):
 
 
 def test_toxic_documents_go(spark, docs):
-    after = _ids(STAGES["toxicity"](spark, docs, SF))
-    assert {(22, None), (23, ""), (24, None)} <= after <= _ids(docs)
+    given = spark.read.parquet(f"{LABELLED}/documents.parquet").select("doc_id", "text")
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{LABELLED}/labels.parquet").where("toxic is not null").collect()}
+    kept = {r.doc_id for r in STAGES["toxicity"](spark, given, LABELLED).collect()}
+    toxic, clean = {i for i, t in labels.items() if t}, {i for i, t in labels.items() if not t}
+    # From some forty toxic texts not all words can be learnt.
+    assert len(toxic & kept) < 0.5 * len(toxic) and len(clean & kept) >= 0.98 * len(clean)
+    empty = docs.where("coalesce(text, '') = ''")
+    after = _ids(STAGES["toxicity"](spark, given.unionAll(empty.select("doc_id", "text")), LABELLED))
+    assert {(22, None), (23, ""), (24, None)} <= after
+
+
+def test_texts_without_characters_stay_where_most_texts_are_toxic(spark, tmp_path):
+    spark.read.parquet(f"{LABELLED}/labels.parquet").withColumn("toxic", 1 - F.col("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    given = spark.read.parquet(f"{LABELLED}/documents.parquet").select("doc_id", "text").unionAll(
+        spark.createDataFrame([(-5, None), (-6, "")], "doc_id long, text string"))
+    assert {(-5, None), (-6, "")} <= _ids(STAGES["toxicity"](spark, given, str(tmp_path)))
+
+
+def test_near_duplicates_do_not_depend_on_the_executors_alive(spark, tmp_path, monkeypatch):
+    """Parallelism, which decides how files become partitions, changes between the stage's reads."""
+    path = f"{tmp_path}/docs"
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(13).write.parquet(path)
+    expected = sorted(r.doc_id for r in STAGES["simhash_near_dedup"](spark, spark.read.parquet(path), SF).collect())
+    groups = corpus_pipeline.similar.groups
+
+    def then_more(*args):
+        found = groups(*args)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", 9)
+        return found
+
+    monkeypatch.setattr(corpus_pipeline.similar, "groups", then_more)
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", 2)
+    try:
+        found = sorted(r.doc_id for r in STAGES["simhash_near_dedup"](spark, spark.read.parquet(path), SF).collect())
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert found == expected
 
 
 def test_run_packs_what_is_left(spark):
