@@ -37,7 +37,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     model = toxicity.learn(docs.select("doc_id", F.col("text").cast("string").alias("text")),
                            labels.where(crc32_mod("doc_id", 5) != 0))
-    return docs.where(toxicity.score_column(F.col("text"), model) < 0.5)
+    nothing = F.coalesce(F.length(F.col("text").cast("string")), F.lit(0)) == 0
+    return docs.where(nothing | (toxicity.score_column(F.col("text"), model) < 0.5))
 
 
 @_stage
@@ -46,8 +47,8 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     links of a Jaccard similarity of 0.8 or more on five-word shingles connect. Texts without
     words are copies of each other."""
     (row,) = free_names(docs, "row_of_stage")
-    # The stage's input is a stored table, so rows keep their numbers when it is read again.
-    docs = docs.withColumn(row, F.monotonically_increasing_id())
+    # Written out: how rows are dealt into partitions, and with it their numbers, changes with the executors.
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
     groups = similar.groups(docs.select(name.alias("doc_id"), F.col("text").cast("string").alias("text")), SHINGLE, SIMILAR)
     stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id.row").alias(row))
