@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmuration.llm import attention_lm, chat, decontaminate, lempel_ziv, licenses, packing, repeats, sharding, simhash, toxicity
+from murmuration.llm import (
+    attention_lm, chat, collocations, decontaminate, lempel_ziv, licenses, packing, repeats,
+    sharding, simhash, toxicity,
+)
 from murmuration.llm.common import ship_package, table
 
 #: Tokens per sequence, and the id that ends a document.
@@ -77,10 +80,14 @@ def op10_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
              op5_lempel_ziv_prints,
              op6_self_attention, op7_simhash_blocks, op8_qgram_leaks, op9_suffix_array_repeats,
-             op10_license_signatures)
+             op10_license_signatures, op11_son_collocations)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
