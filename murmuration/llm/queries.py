@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmuration.llm import (
-    attention_lm, chat, collocations, decontaminate, lempel_ziv, licenses, packing, quality_votes, repeats,
+    attention_lm, chat, collocations, conversation_repair, decontaminate, lempel_ziv, licenses, packing, quality_votes, repeats,
     sharding, simhash, toxicity,
 )
 from murmuration.llm.common import ship_package, table
@@ -88,10 +88,15 @@ def op12_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.judge(table(spark, sf_dir, "documents"))
 
 
+def op13_lightest_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
 OPERATORS = (op1_best_fit_packing, op2_two_pass_shuffle, op3_event_sourced_chat, op4_weighted_lexicon,
              op5_lempel_ziv_prints,
              op6_self_attention, op7_simhash_blocks, op8_qgram_leaks, op9_suffix_array_repeats,
-             op10_license_signatures, op11_son_collocations, op12_weak_supervision)
+             op10_license_signatures, op11_son_collocations, op12_weak_supervision,
+             op13_lightest_repair)
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
