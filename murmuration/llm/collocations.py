@@ -1,21 +1,21 @@
 """Phrases whose words come together more often than chance, by SON partitioning.
 
-A phrase is a run of words inside a piece of text. Each shard of the corpus (what one task
-reads, cut at ``Limits.shard_words`` words) is mined completely at a support that is lowered in
-proportion to its share of its language's words: a phrase that reaches the support in the whole
-corpus reaches the lowered one in at least one shard. The union of the shards' frequent phrases
-is then counted exactly over all shards. Lengths are taken in steps, and each step looks only at
-phrases whose parts of the step before are frequent in the whole corpus. Where shards are so
-many that the lowered support is one, mining has counted all there is, and its counts are added
-up instead of counting again.
-
-What is sent to all tasks are two bitmaps of hashes of at most ``Limits.filter_bits`` bits:
-they let some phrases through that are not frequent, never the other way round, and the exact
-counts by the phrases' own text leave those out.
+A phrase is a run of words inside a piece of text. The corpus is dealt into a few shards; a shard is
+mined completely at a support that is lowered in proportion to its share of its language's words: a
+phrase that reaches the support in the whole corpus reaches the lowered one in at least one shard.
+The union of the shards' frequent phrases is then counted exactly, by the phrases' own text, over all
+shards. Lengths come one after the other, and only phrases whose shorter parts are frequent in the
+whole corpus are looked at.
+
+The number of shards does not grow with the corpus, so that the lowered support stays above one; a
+shard is spread over many tasks, whose counts of hashed phrases are added up. Texts are taken apart
+once, into blocks of numbered words. What is sent to all tasks are bitmaps of hashes of at most
+``Limits.filter_bits`` bits: they may let through phrases that are not frequent, never the other way
+round, and the exact counts leave those out.
 
 Defined cases: a null text is an empty one, a null language is ``und``, repeated rows count one by
 one, an empty table gives an empty result, other columns are ignored. A text may be longer than
-a shard: it is cut, and phrases across the cut are counted once.
+a block: it is cut, and phrases across the cut are counted once.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,23 +39,23 @@ from murmuration.runtime import materialize, write_counting
 # The bytes that end a piece, those between words, and one that no UTF-8 text holds.
 ENDS, BLANKS, MARK = b".,;:!?\n\x0b\x0c\r", b" \t", b"\xff"
 _TABLE = bytes.maketrans(ENDS + BLANKS, MARK * len(ENDS) + b" " * len(BLANKS))
-_SCHEMA = "lang string, k int, phrase string, h long, n long, support long"
+_BLOCKS = "lang string, shard int, known int, own long, tokens array<int>, words array<string>, hashes array<long>, counts array<long>"
+_MINED = "lang string, shard int, h long, n long"
+_COUNTED = "lang string, phrase string, h long, n long"
 
 
 class Limits(NamedTuple):
-    """``support``: least count of a phrase. ``steps``: lengths that are mined together.
-    ``shard_words``, ``filter_bits``, ``chunk_bytes``: bounds of memory."""
+    """``support``: least count of a phrase; ``longest``: its words; ``shards``: parts of the corpus.
+    The others bound the memory of a task."""
 
     support: int = 100
-    steps: tuple[tuple[int, ...], ...] = ((2,), (3, 4, 5))
-    shard_words: int = 1 << 21
+    longest: int = 5
+    shards: int = 8
+    block_words: int = 1 << 16
+    waiting: int = 1 << 22
     filter_bits: int = 1 << 27
     chunk_bytes: int = 1 << 20
 
-    @property
-    def longest(self) -> int:
-        return self.steps[-1][-1]
-
 
 class Sieve:
     """Hashes of phrases as a bitmap of a power of two of bits."""
@@ -63,11 +64,11 @@ class Sieve:
         self.bits, self.mask = bits, np.uint64(8 * len(bits) - 1)
 
     @classmethod
-    def of(cls, phrases: DataFrame, count: int, limits: Limits) -> "Sieve":
-        """The bitmap has 16 bits for each phrase, up to the bound; it comes in rows of 4 KB."""
+    def of(cls, hashed: DataFrame, count: int, limits: Limits) -> "Sieve":
+        """Of a column ``h``: 16 bits for each of ``count`` rows, up to the bound, fetched in pieces of 4 KB."""
         size = max(1 << 15, min(limits.filter_bits, 1 << (16 * count).bit_length()))
         place = F.col("h").bitwiseAND(F.lit(size - 1)) + 1
-        rows = phrases.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
+        rows = hashed.groupBy(F.bitmap_bucket_number(place).alias("part")).agg(
             F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
         bits = np.zeros(size // 8, np.uint8)
         for row in rows:
@@ -79,56 +80,105 @@ class Sieve:
         return (self.bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
-class Words:
-    """Words of one language in a shard, as numbers from 1; 0 stands between pieces."""
+class Block:
+    """Words of one language as numbers from 1, in order of appearance; 0 stands between pieces."""
 
-    def __init__(self, lang: str, total: int | None) -> None:
-        self.lang, self.total = lang, total
-        self.seed = xxhash.xxh64_intdigest(lang)
+    def __init__(self, lang: str, carried: list[bytes] = []) -> None:
+        self.lang = lang
         numbers = itertools.count()
         self.number: defaultdict[bytes, int] = defaultdict(lambda: next(numbers))
         self.number[MARK]
-        self.runs: list[np.ndarray] = []
-        self.size, self.known = 0, 0
-
-    def add(self, data: bytes, limits: Limits) -> Iterator["Words"]:
-        """Append a text; gives itself away whenever it is full and goes on with its last words."""
-        self._push([0])
-        at = 0
-        while at < len(data):
-            end = at + limits.chunk_bytes
-            cut = data.find(b" ", end) if end < len(data) else len(data)
-            part = data[at:len(data) if cut < 0 else cut]
-            at += len(part)
-            tokens = part.lower().translate(_TABLE).replace(MARK, b" \xff ").split()
-            # No run is longer than a shard, whatever the text.
-            for i in range(0, len(tokens), limits.shard_words):
-                self._push(np.fromiter(map(self.number.__getitem__, tokens[i:i + limits.shard_words]), np.int32))
-                if self.size >= limits.shard_words:
-                    tail = self._tail(limits.longest - 1)
-                    yield self
-                    self._restart(tail)
-        self._push([0])
-
-    def _push(self, ids) -> None:
-        run = np.asarray(ids, np.int32)
-        self.runs.append(run)
-        self.size += len(run)
-
-    def _tail(self, length: int) -> list[bytes]:
-        last = np.concatenate(self.runs)[-length:] if length else np.empty(0, np.int32)
+        self.known = len(carried)
+        self.runs = [np.array([self.number[w] for w in carried], np.int32)]
+        self.size = self.known
+
+    def push(self, ids: np.ndarray) -> None:
+        self.runs.append(ids)
+        self.size += len(ids)
+
+    def tail(self, length: int) -> list[bytes]:
+        """The last words, as far as they belong to one piece."""
+        last = np.concatenate(self.runs)[-length:]
         ends = np.flatnonzero(last == 0)
-        last = last[ends[-1] + 1:] if len(ends) else last
         names = list(self.number)
-        return [names[i] for i in last]
+        return [names[i] for i in (last[ends[-1] + 1:] if len(ends) else last)]
+
+    def row(self, shard: int) -> tuple:
+        """The block as a row of ``_BLOCKS``; words carried over are not its own."""
+        tokens = np.concatenate(self.runs)
+        counts = np.bincount(tokens[self.known:], minlength=len(self.number))
+        counts[0] = 0
+        words = list(self.number)
+        words[0] = b""
+        seed = xxhash.xxh64_intdigest(self.lang)
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+        return self.lang, shard, self.known, int(counts.sum()), tokens, words, hashes.view(np.int64), counts
+
+
+_END = np.zeros(1, np.int32)
+
+
+def _add(block: Block, data: bytes, limits: Limits) -> Iterator[Block]:
+    """Append a text; the blocks that are left, all but the last of them full."""
+    block.push(_END)
+    at = 0
+    while at < len(data):
+        end = at + limits.chunk_bytes
+        cut = data.find(b" ", end) if end < len(data) else len(data)
+        part = data[at:len(data) if cut < 0 else cut]
+        at += len(part)
+        tokens = part.lower().translate(_TABLE).replace(MARK, b" \xff ").split()
+        i = 0
+        while i < len(tokens):
+            some = tokens[i:i + max(1, limits.block_words - block.size)]
+            i += len(some)
+            block.push(np.fromiter(map(block.number.__getitem__, some), np.int32, len(some)))
+            if block.size >= limits.block_words:
+                yield block
+                block = Block(block.lang, block.tail(limits.longest - 1))
+    block.push(_END)
+    yield block
+
+
+def _listed(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows), kind))
+
+
+def _texts(values: list[bytes]) -> pa.Array:
+    return pc.cast(pa.array(values, pa.binary()), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
+
+
+def _block_batch(row: tuple) -> pa.RecordBatch:
+    lang, shard, known, own, tokens, words, hashes, counts = row
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([known], pa.int32()), pa.array([own], pa.int64()),
+         _listed([tokens], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), _texts(words)),
+         _listed([hashes], pa.int64()), _listed([counts], pa.int64())],
+        names=["lang", "shard", "known", "own", "tokens", "words", "hashes", "counts"])
 
-    def _restart(self, tail: list[bytes]) -> None:
-        self.__init__(self.lang, self.total)
-        self._push([self.number[w] for w in tail])
-        self.known = len(tail)
 
-    def ids(self) -> np.ndarray:
-        return np.concatenate(self.runs) if self.runs else np.empty(0, np.int32)
+def blocks(docs: DataFrame, limits: Limits) -> DataFrame:
+    """The (lang, text) rows as blocks of words, each in the shard of the task that read it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = TaskContext.get().partitionId() % limits.shards
+        waiting: dict[str, Block] = {}
+        size = 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                block = waiting.pop(lang, None) or Block(lang)
+                size -= block.size
+                *full, last = _add(block, text.as_py(), limits)
+                for block in full:
+                    yield _block_batch(block.row(shard))
+                waiting[lang] = last
+                size += last.size
+                if size >= limits.waiting:
+                    yield from (_block_batch(b.row(shard)) for b in waiting.values())
+                    waiting, size = {}, 0
+        yield from (_block_batch(b.row(shard)) for b in waiting.values())
+
+    return materialize(docs.mapInArrow(run, _BLOCKS), "blocks")
 
 
 def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -137,134 +187,126 @@ def _mixed(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def count_words(shard: Words) -> Iterator[tuple]:
-    """k, phrase, hash, count, support: each word of the shard."""
-    ids = shard.ids()
-    counts = np.bincount(ids[shard.known:], minlength=len(shard.number))
-    for i, word in enumerate(shard.number):
-        if i and counts[i]:
-            yield 1, word, xxhash.xxh64_intdigest(word, shard.seed), int(counts[i]), 1
+def phrases_at(tokens: np.ndarray, hashes: np.ndarray, known: int, k: int, frequent: Sieve) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a block where phrases of k words start whose shorter parts are frequent, and their hashes.
 
-
-def count_phrases(shard: Words, lengths: tuple[int, ...], limits: Limits, frequent: Sieve,
-                  candidates: Sieve | None) -> Iterator[tuple]:
-    """k, phrase, hash, count, support of the phrases of these lengths in a shard.
-
-    ``frequent`` has the phrases, up to the lengths of the step before, that the whole corpus has
-    often enough. With ``candidates`` those are counted, whatever their number; without, what
-    reaches the shard's support is found.
+    Phrases within the ``known`` words that a longer text carries over were the last block's.
     """
-    ids = shard.ids()
-    # The words that the shard has of itself: the corpus' total is that of all shards.
-    own = int(np.count_nonzero(ids[shard.known:]))
-    support = max(1, -(-limits.support * own // max(1, shard.total)))
-    if candidates is None:
-        yield 0, b"", 0, 0, support
-    names = list(shard.number)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, shard.seed) for w in names), np.uint64, len(names))
     fine = frequent.has(hashes)
     fine[0] = False
-    # group[i]: number of the phrase that starts at place i, or -1.
-    group = np.where(fine[ids], ids, -1).astype(np.int64)
-    phrase_hash = hashes
-    for k in range(2, lengths[-1] + 1):
-        at = np.flatnonzero((group[:-1] >= 0) & (group[1:] >= 0))
-        if not len(at):
-            return
-        key, first, inverse, count = np.unique(group[at] << 32 | group[at + 1], return_index=True, return_inverse=True, return_counts=True)
-        place = at[first]
-        phrase_hash = _mixed(phrase_hash[group[place]], hashes[ids[place + k - 1]])
-        if k < lengths[0]:
-            keep = frequent.has(phrase_hash)
-        else:
-            # Places within the words carried over count for what they begin here, but were counted before.
-            keep = candidates.has(phrase_hash) if candidates else count >= support
-            old = max(0, np.searchsorted(at, shard.known - k + 1))
-            new = count - np.bincount(inverse[:old], minlength=len(key))
-            for g in np.flatnonzero(keep):
-                words = b" ".join([names[i] for i in ids[place[g]:place[g] + k]])
-                yield k, words, int(phrase_hash[g]), int(new[g]), support
-        number = np.cumsum(keep) - 1
-        phrase_hash = phrase_hash[keep]
-        group = np.full(len(ids), -1, np.int64)
-        alive = keep[inverse]
-        group[at[alive]] = number[inverse[alive]]
-
-
-def _shards(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[Words]:
-    """The words of (lang, text[, total]) rows, cut into shards of about ``limits.shard_words``."""
-    waiting: dict[str, Words] = {}
-    size = 0
-    for batch in batches:
-        totals = batch.column(2).to_pylist() if batch.num_columns > 2 else itertools.repeat(None)
-        for lang, text, total in zip(batch.column(0).to_pylist(), batch.column(1), totals):
-            words = waiting.setdefault(lang, Words(lang, total))
-            size -= words.size
-            yield from words.add(text.as_py(), limits)
-            size += words.size
-            if size >= limits.shard_words:
-                yield from waiting.values()
-                waiting.clear()
-                size = 0
-    yield from waiting.values()
-
-
-def _batch(lang: str, rows: list[tuple]) -> pa.RecordBatch:
-    k, phrase, h, n, support = zip(*rows)
-    as_text = pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True)
+    at = np.flatnonzero(fine[tokens])
+    h = hashes[tokens[at]]
+    for length in range(2, k + 1):
+        # A phrase needs the one that starts a word later, too.
+        both = np.flatnonzero(np.diff(at) == 1)
+        at, h = at[both], _mixed(h[both], hashes[tokens[at[both] + length - 1]])
+        if length < k:
+            keep = frequent.has(h)
+            at, h = at[keep], h[keep]
+    new = at + k > known
+    return at[new], h[new]
+
+
+def _mined_batch(key: tuple[str, int], parts: list[np.ndarray]) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(parts), return_counts=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(rows), pa.string()), pa.array(k, pa.int32()), pc.cast(pa.array(phrase, pa.binary()), options=as_text),
-         pa.array(np.array(h, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(support, pa.int64())],
-        names=["lang", "k", "phrase", "h", "n", "support"])
+        [pa.array([key[0]] * len(h), pa.string()), pa.array(np.full(len(h), key[1], np.int32)), pa.array(h.view(np.int64)),
+         pa.array(n.astype(np.int64))], names=["lang", "shard", "h", "n"])
 
 
-def _mine(docs: DataFrame, limits: Limits, count, name: str) -> tuple[DataFrame, int]:
-    """What ``count`` finds in each shard, written out, and the largest support that was used."""
+def _mine(made: DataFrame, k: int, frequent, limits: Limits) -> DataFrame:
+    """lang, shard, h, n: the hashed phrases of k words of each shard, counted in parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, limits):
-            found = count(shard)
-            while rows := list(itertools.islice(found, 1 << 16)):
-                yield _batch(shard.lang, rows)
-
-    path, lowered = write_counting(docs.mapInArrow(run, _SCHEMA), name, F.col("support") > 1)
-    return docs.sparkSession.read.schema(_SCHEMA).parquet(path), lowered
+        waiting: defaultdict[tuple[str, int], list[np.ndarray]] = defaultdict(list)
+        size = 0
+        for batch in batches:
+            for lang, shard, known, tokens, hashes in zip(*batch.columns):
+                _, h = phrases_at(tokens.values.to_numpy(), hashes.values.to_numpy().view(np.uint64), known.as_py(), k, frequent.value)
+                waiting[lang.as_py(), shard.as_py()].append(h)
+                size += len(h)
+                if size >= limits.waiting:
+                    yield from itertools.starmap(_mined_batch, waiting.items())
+                    waiting.clear()
+                    size = 0
+        yield from itertools.starmap(_mined_batch, waiting.items())
+
+    return made.select("lang", "shard", "known", "tokens", "hashes").mapInArrow(run, _MINED)
+
+
+def _in_block(tokens: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct phrase among those at these places, and its count, by the words' numbers."""
+    key = tokens[at].astype(np.int64)
+    for i in range(1, k):
+        # Numbers of words are below 2**31; those of phrases so far, as they come from ``unique``, too.
+        key = np.unique(key, return_inverse=True)[1] << 31 | tokens[at + i]
+    _, first, count = np.unique(key, return_index=True, return_counts=True)
+    return first, count
+
+
+def _counted_batch(lang: str, found: dict[bytes, list[int]]) -> pa.RecordBatch:
+    h, n = zip(*found.values())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * len(found), pa.string()), _texts(list(found)), pa.array(np.array(h, np.uint64).view(np.int64)),
+         pa.array(n, pa.int64())], names=["lang", "phrase", "h", "n"])
 
 
-def _frequent(counted: DataFrame, limits: Limits, name: str) -> tuple[DataFrame, int]:
-    """lang, k, phrase, h, f of the phrases that the whole corpus has often enough, and their number."""
-    sums = counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("f"), F.first("h").alias("h"))
-    path, count = write_counting(sums.where(F.col("f") >= limits.support), name, F.lit(True))
-    return counted.sparkSession.read.schema("lang string, k int, phrase string, f long, h long").parquet(path), count
+def _count(made: DataFrame, k: int, frequent, candidates, limits: Limits) -> DataFrame:
+    """lang, phrase, h, n: the candidates of k words, counted by their text in parts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: defaultdict[str, dict[bytes, list[int]]] = defaultdict(dict)
+        for batch in batches:
+            for lang, known, tokens, hashes, words in zip(*batch.columns):
+                tokens = tokens.values.to_numpy()
+                at, h = phrases_at(tokens, hashes.values.to_numpy().view(np.uint64), known.as_py(), k, frequent.value)
+                keep = candidates.value.has(h)
+                at, h = at[keep], h[keep]
+                if not len(at):
+                    continue
+                names = words.values.cast(pa.binary()).to_pylist()
+                found = waiting[lang.as_py()]
+                first, count = _in_block(tokens, at, k)
+                for place, phrase_hash, n in zip(at[first].tolist(), h[first].tolist(), count.tolist()):
+                    phrase = b" ".join([names[i] for i in tokens[place:place + k]])
+                    if phrase in found:
+                        found[phrase][1] += n
+                    else:
+                        found[phrase] = [phrase_hash, n]
+                if sum(map(len, waiting.values())) >= limits.waiting >> 3:
+                    yield from itertools.starmap(_counted_batch, waiting.items())
+                    waiting.clear()
+        yield from itertools.starmap(_counted_batch, waiting.items())
+
+    return made.select("lang", "known", "tokens", "hashes", "words").mapInArrow(run, _COUNTED)
+
+
+def _frequent(counted: DataFrame, k: int, limits: Limits) -> tuple[DataFrame, int]:
+    """lang, phrase, f, h, k of the phrases that the whole corpus has often enough, and their number."""
+    sums = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("f"), F.first("h").alias("h")).where(F.col("f") >= limits.support)
+    path, count = write_counting(sums.withColumn("k", F.lit(k)), f"frequent-{k}", F.lit(True))
+    return counted.sparkSession.read.schema("lang string, phrase string, f long, h long, k int").parquet(path), count
 
 
 def frequent_phrases(docs: DataFrame, limits: Limits = Limits(), lang: str = "lang", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(lang, k, phrase, f): all phrases of 1 to ``limits.longest`` words that occur ``limits.support``
+    """(lang, phrase, f, h, k): all phrases of 1 to ``limits.longest`` words that occur ``limits.support``
     times in their language; (lang, total): its number of words."""
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
-    words, _ = _mine(rows, limits, count_words, "words")
-    totals = materialize(words.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-    found, count = _frequent(words, limits, "frequent-words")
-    # As many rows as there are languages with words: Spark sends them along if they are few.
-    rows = rows.join(totals, "lang").select("lang", "text", "total")
-    context = docs.sparkSession.sparkContext
-    for lengths in limits.steps:
-        frequent = context.broadcast(Sieve.of(found, count, limits))
-
-        def mined(shard: Words, lengths=lengths, frequent=frequent) -> Iterator[tuple]:
-            return count_phrases(shard, lengths, limits, frequent.value, None)
-
-        local, lowered = _mine(rows, limits, mined, "mined")
-        if lowered:
-            union = materialize(local.where("k > 0").select("lang", "k", "phrase", "h").distinct(), "candidates")
-            candidates = context.broadcast(Sieve.of(union, union.count(), limits))
-
-            def counted(shard: Words, lengths=lengths, frequent=frequent, candidates=candidates) -> Iterator[tuple]:
-                return count_phrases(shard, lengths, limits, frequent.value, candidates.value)
-
-            # Phrases that only the bitmap lets through are counted whole too, and are below the support.
-            local, _ = _mine(rows, limits, counted, "counted")
-        longer, more = _frequent(local.where("k > 0"), limits, "frequent-phrases")
+    spark = docs.sparkSession
+    made = blocks(docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+                              F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text")), limits)
+    sizes = materialize(made.groupBy("lang", "shard").agg(F.sum("own").alias("own")), "shards")
+    totals = sizes.groupBy("lang").agg(F.sum("own").alias("total")).where("total > 0")
+    lowered = sizes.join(totals, "lang").select("lang", "shard", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support"))
+    words = made.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).where("w.counts > 0") \
+        .select("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"), F.col("w.counts").alias("n"))
+    found, count = _frequent(words, 1, limits)
+    for k in range(2, limits.longest + 1):
+        frequent = spark.sparkContext.broadcast(Sieve.of(found, count, limits))
+        mined = _mine(made, k, frequent, limits).groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+        # As many rows of supports as there are shards and languages: Spark sends them along if they are few.
+        union = mined.join(lowered, ["lang", "shard"]).where(F.col("n") >= F.col("support")).select("h")
+        path, size = write_counting(union, f"candidates-{k}", F.lit(True))
+        candidates = spark.sparkContext.broadcast(Sieve.of(spark.read.schema("h long").parquet(path), size, limits))
+        # What only the bitmap lets through is counted whole, too, and stays below the support.
+        longer, more = _frequent(_count(made, k, frequent, candidates, limits), k, limits)
         found, count = found.unionByName(longer), count + more
     return found, totals
 
