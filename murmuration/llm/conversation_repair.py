@@ -30,7 +30,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -197,13 +197,10 @@ def in_order(turns: DataFrame) -> DataFrame:
                         F.coalesce(F.col("text").cast("string"), space).alias("text"), copies.cast("long").alias("copies"))
     counted = rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies")) \
         .withColumn("text_sha", F.sha2("text", 256))
-    at = F.struct(F.col("turn").isNotNull().alias("known"), F.col("turn").alias("turn"))
-    first = counted.where("copies > 0").groupBy(F.col("conv_id").alias("c"), F.col("role").alias("r"), F.col("text_sha").alias("s")) \
-        .agg(F.min(at).alias("first"))
-    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("role") == F.col("r")) & (F.col("text_sha") == F.col("s"))
-    marked = counted.join(first, same, "left").select(
-        "conv_id", "turn", "role", "text", "copies", F.coalesce(F.col("turn").eqNullSafe(F.col("first.turn")), F.lit(False)).alias("is_first"))
-    return marked.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    # One task reads a conversation in any case; copies were added up before.
+    same = Window.partitionBy("conv_id", "role", "text_sha").orderBy(F.expr("copies = 0"), "turn")
+    marked = counted.repartition("conv_id").withColumn("is_first", (F.row_number().over(same) == 1) & (F.col("copies") > 0))
+    return marked.select("conv_id", "turn", "role", "text", "copies", "is_first").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
 def _streamed(batches: Iterator[pa.RecordBatch], limits: Limits) -> Iterator[tuple]:
