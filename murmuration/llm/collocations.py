@@ -39,8 +39,8 @@ from murmuration.runtime import materialize, write_counting
 # The bytes that end a piece, those between words, and one that no UTF-8 text holds.
 ENDS, BLANKS, MARK = b".,;:!?\n\x0b\x0c\r", b" \t", b"\xff"
 _TABLE = bytes.maketrans(ENDS + BLANKS, MARK * len(ENDS) + b" " * len(BLANKS))
-_BLOCKS = "lang string, shard int, known int, own long, tokens array<int>, words array<string>, hashes array<long>, counts array<long>"
-_MINED = "lang string, shard int, h long, n long"
+_BLOCKS = "lang string, part long, known int, own long, tokens array<int>, words array<string>, hashes array<long>, counts array<long>"
+_MINED = "part long, h long, n long"
 _COUNTED = "lang string, phrase string, h long, n long"
 
 
@@ -51,8 +51,8 @@ class Limits(NamedTuple):
     support: int = 100
     longest: int = 5
     shards: int = 8
-    block_words: int = 1 << 16
-    waiting: int = 1 << 22
+    block_words: int = 1 << 18
+    waiting: int = 1 << 21
     filter_bits: int = 1 << 27
     chunk_bytes: int = 1 << 20
 
@@ -104,7 +104,8 @@ class Block:
         return [names[i] for i in (last[ends[-1] + 1:] if len(ends) else last)]
 
     def row(self, shard: int) -> tuple:
-        """The block as a row of ``_BLOCKS``; words carried over are not its own."""
+        """The block as a row of ``_BLOCKS``; words carried over are not its own. ``part`` stands
+        for the language and the shard."""
         tokens = np.concatenate(self.runs)
         counts = np.bincount(tokens[self.known:], minlength=len(self.number))
         counts[0] = 0
@@ -112,7 +113,8 @@ class Block:
         words[0] = b""
         seed = xxhash.xxh64_intdigest(self.lang)
         hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
-        return self.lang, shard, self.known, int(counts.sum()), tokens, words, hashes.view(np.int64), counts
+        part = xxhash.xxh64_intdigest(self.lang, shard) >> 1
+        return self.lang, part, self.known, int(counts.sum()), tokens, words, hashes.view(np.int64), counts
 
 
 _END = np.zeros(1, np.int32)
@@ -150,12 +152,12 @@ def _texts(values: list[bytes]) -> pa.Array:
 
 
 def _block_batch(row: tuple) -> pa.RecordBatch:
-    lang, shard, known, own, tokens, words, hashes, counts = row
+    lang, part, known, own, tokens, words, hashes, counts = row
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang]), pa.array([shard], pa.int32()), pa.array([known], pa.int32()), pa.array([own], pa.int64()),
+        [pa.array([lang]), pa.array([part], pa.int64()), pa.array([known], pa.int32()), pa.array([own], pa.int64()),
          _listed([tokens], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), _texts(words)),
          _listed([hashes], pa.int64()), _listed([counts], pa.int64())],
-        names=["lang", "shard", "known", "own", "tokens", "words", "hashes", "counts"])
+        names=["lang", "part", "known", "own", "tokens", "words", "hashes", "counts"])
 
 
 def blocks(docs: DataFrame, limits: Limits) -> DataFrame:
@@ -207,22 +209,21 @@ def phrases_at(tokens: np.ndarray, hashes: np.ndarray, known: int, k: int, frequ
     return at[new], h[new]
 
 
-def _mined_batch(key: tuple[str, int], parts: list[np.ndarray]) -> pa.RecordBatch:
-    h, n = np.unique(np.concatenate(parts), return_counts=True)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([key[0]] * len(h), pa.string()), pa.array(np.full(len(h), key[1], np.int32)), pa.array(h.view(np.int64)),
-         pa.array(n.astype(np.int64))], names=["lang", "shard", "h", "n"])
+def _mined_batch(part: int, found: list[np.ndarray]) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(found), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), part, np.int64)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))],
+                                      names=["part", "h", "n"])
 
 
 def _mine(made: DataFrame, k: int, frequent, limits: Limits) -> DataFrame:
-    """lang, shard, h, n: the hashed phrases of k words of each shard, counted in parts."""
+    """part, h, n: the hashed phrases of k words of each shard, counted in pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: defaultdict[tuple[str, int], list[np.ndarray]] = defaultdict(list)
+        waiting: defaultdict[int, list[np.ndarray]] = defaultdict(list)
         size = 0
         for batch in batches:
-            for lang, shard, known, tokens, hashes in zip(*batch.columns):
+            for part, known, tokens, hashes in zip(*batch.columns):
                 _, h = phrases_at(tokens.values.to_numpy(), hashes.values.to_numpy().view(np.uint64), known.as_py(), k, frequent.value)
-                waiting[lang.as_py(), shard.as_py()].append(h)
+                waiting[part.as_py()].append(h)
                 size += len(h)
                 if size >= limits.waiting:
                     yield from itertools.starmap(_mined_batch, waiting.items())
@@ -230,15 +231,15 @@ def _mine(made: DataFrame, k: int, frequent, limits: Limits) -> DataFrame:
                     size = 0
         yield from itertools.starmap(_mined_batch, waiting.items())
 
-    return made.select("lang", "shard", "known", "tokens", "hashes").mapInArrow(run, _MINED)
+    return made.select("part", "known", "tokens", "hashes").mapInArrow(run, _MINED)
 
 
 def _in_block(tokens: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """A place of each distinct phrase among those at these places, and its count, by the words' numbers."""
     key = tokens[at].astype(np.int64)
     for i in range(1, k):
-        # Numbers of words are below 2**31; those of phrases so far, as they come from ``unique``, too.
-        key = np.unique(key, return_inverse=True)[1] << 31 | tokens[at + i]
+        # Numbers of words are below 2**31; from the second word on phrases get such numbers, too.
+        key = (key if i == 1 else np.unique(key, return_inverse=True)[1]) << 31 | tokens[at + i]
     _, first, count = np.unique(key, return_index=True, return_counts=True)
     return first, count
 
@@ -271,7 +272,7 @@ def _count(made: DataFrame, k: int, frequent, candidates, limits: Limits) -> Dat
                         found[phrase][1] += n
                     else:
                         found[phrase] = [phrase_hash, n]
-                if sum(map(len, waiting.values())) >= limits.waiting >> 3:
+                if sum(map(len, waiting.values())) >= limits.waiting >> 4:
                     yield from itertools.starmap(_counted_batch, waiting.items())
                     waiting.clear()
         yield from itertools.starmap(_counted_batch, waiting.items())
@@ -292,17 +293,17 @@ def frequent_phrases(docs: DataFrame, limits: Limits = Limits(), lang: str = "la
     spark = docs.sparkSession
     made = blocks(docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                               F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text")), limits)
-    sizes = materialize(made.groupBy("lang", "shard").agg(F.sum("own").alias("own")), "shards")
+    sizes = materialize(made.groupBy("lang", "part").agg(F.sum("own").alias("own")), "shards")
     totals = sizes.groupBy("lang").agg(F.sum("own").alias("total")).where("total > 0")
-    lowered = sizes.join(totals, "lang").select("lang", "shard", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support"))
+    lowered = sizes.join(totals, "lang").select("part", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support"))
     words = made.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).where("w.counts > 0") \
         .select("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"), F.col("w.counts").alias("n"))
     found, count = _frequent(words, 1, limits)
     for k in range(2, limits.longest + 1):
         frequent = spark.sparkContext.broadcast(Sieve.of(found, count, limits))
-        mined = _mine(made, k, frequent, limits).groupBy("lang", "shard", "h").agg(F.sum("n").alias("n"))
+        mined = _mine(made, k, frequent, limits).groupBy("part", "h").agg(F.sum("n").alias("n"))
         # As many rows of supports as there are shards and languages: Spark sends them along if they are few.
-        union = mined.join(lowered, ["lang", "shard"]).where(F.col("n") >= F.col("support")).select("h")
+        union = mined.join(lowered, "part").where(F.col("n") >= F.col("support")).select("h")
         path, size = write_counting(union, f"candidates-{k}", F.lit(True))
         candidates = spark.sparkContext.broadcast(Sieve.of(spark.read.schema("h long").parquet(path), size, limits))
         # What only the bitmap lets through is counted whole, too, and stays below the support.

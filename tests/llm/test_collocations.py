@@ -77,16 +77,17 @@ def test_every_frequent_phrase_is_frequent_in_a_shard(spark, rows):
     limits = Limits(support=24, shards=3)
     docs = spark.createDataFrame([("xx" if lang is None else lang, (text or "").encode()) for lang, text in rows], "lang string, text binary").repartition(3)
     made = collocations.blocks(docs, limits)
-    own = {(r.lang, r.shard): r.own for r in made.groupBy("lang", "shard").agg(F.sum("own").alias("own")).collect()}
+    own = {r.part: (r.lang, r.own) for r in made.groupBy("lang", "part").agg(F.sum("own").alias("own")).collect()}
     total = Counter()
-    for (lang, _), n in own.items():
+    for lang, n in own.values():
         total[lang] += n
+    assert 2 * len(total) < len(own) <= 3 * len(total)
 
     class All:
         value = collocations.Sieve(np.full(1 << 12, 255, np.uint8))
 
-    mined = collocations._mine(made, 2, All, limits).groupBy("lang", "shard", "h").agg(F.sum("n").alias("n")).collect()
-    found = {(r.lang, r.h) for r in mined if r.n * total[r.lang] >= 24 * own[r.lang, r.shard]}
+    mined = collocations._mine(made, 2, All, limits).groupBy("part", "h").agg(F.sum("n").alias("n")).collect()
+    found = {(own[r.part][0], r.h) for r in mined if r.n * total[own[r.part][0]] >= 24 * own[r.part][1]}
     exact = collocations._count(made, 2, All, All, limits).groupBy("lang", "h").agg(F.sum("n").alias("n")).collect()
     often = {(r.lang, r.h) for r in exact if r.n >= 24}
     assert often and often <= found and len(found) < len(exact)
