@@ -28,7 +28,11 @@ from murmuration.runtime import materialize
 
 # White space and symbols of the base measures, and the marks that end a sentence.
 SPACE, SYMBOLS, ENDINGS = " \t\n\x0b\f\r", "#*$%&|<>", ".!?"
+CLOSING = "\"')]»”"
 WORD = r"[^\x20\x09-\x0D]+"
+# Words without a letter, and words of letters with the marks that prose puts around them.
+LETTERLESS = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+PLAIN = r"(?<![^\x20\x09-\x0D])[\"'(\[¿¡«„]?+\p{L}[\p{L}\p{M}'’-]*+[\"')\]»“.,;:!?]*+(?![^\x20\x09-\x0D])"
 # Frequent words of English, German, French and Spanish.
 STOP_WORDS = ("the of and to in is that it for was on with as are be "
               "der die das und ist nicht ein eine zu den von mit "
@@ -119,19 +123,17 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.filter(F.split(t, "\n"), lambda line: F.char_length(_without(line, SPACE)) > 0).alias("lines"),
         F.char_length(F.regexp_replace(t, r"\P{L}+", "")).alias("letters"),
         F.char_length(F.regexp_replace(t, r"\P{Lu}+", "")).alias("uppers"),
-        (F.char_length(t) - F.char_length(_without(t, ENDINGS))).alias("n_endings"))
+        (F.char_length(t) - F.char_length(_without(t, ENDINGS))).alias("n_endings"),
+        F.regexp_count(t, F.lit(LETTERLESS)).alias("n_letterless"), F.regexp_count(t, F.lit(PLAIN)).alias("n_plain"))
     w, n = F.col("w"), F.size("w")
     # Each window of three words as (hash, place); equal ones lie side by side after sorting.
     windows = F.transform(F.slice(w, F.lit(1), F.greatest(n - 2, F.lit(0))),
                           lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
     counted = split.select(
-        "doc_id", n.alias("n_words"), "word_chars", "n_symbols", "letters", "uppers", "n_endings",
+        "doc_id", n.alias("n_words"), "word_chars", "n_symbols", "letters", "uppers", "n_endings", "n_letterless", "n_plain",
         F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
-        F.size(F.filter("lines", lambda line: F.rtrim(line).rlike(r"[.!?][\"')\]]?\s*$"))).alias("n_ended"),
+        F.size(F.filter("lines", lambda line: F.substring(F.rtrim(line, F.lit(SPACE + CLOSING)), -1, 1).isin(list(ENDINGS)))).alias("n_ended"),
         F.size(F.array_distinct(w)).alias("n_unique"), F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop"),
-        
-        F.size(F.filter(w, lambda x: x.rlike(r"\p{L}"))).alias("n_lettered"),
-        F.size(F.filter(w, lambda x: x.rlike(r"^[\"'(\[¿¡«„]?\p{L}[\p{L}\p{M}'’-]*[\"')\]»“.,;:!?]*$"))).alias("n_plain"),
         F.sort_array(windows).alias("s"))
     s = F.col("s")
     repeated = F.filter(s, lambda x, i: (F.get(s, i + 1)["h"] == x["h"]) | ((i > 0) & (F.get(s, F.greatest(i - 1, F.lit(0)))["h"] == x["h"])))
@@ -149,7 +151,7 @@ def votes(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     derived = measured.withColumns({
         "word_length": share("word_chars", "n_words"), "symbols_per_word": share("n_symbols", "n_words"),
         "letter_share": share("letters", "word_chars"),
-        "lettered_share": share("n_lettered", "n_words"), "plain_share": share("n_plain", "n_words"), "upper_share": share("uppers", "letters"),
+        "lettered_share": 1 - share("n_letterless", "n_words"), "plain_share": share("n_plain", "n_words"), "upper_share": share("uppers", "letters"),
         "dup_line_share": share("n_dup_lines", "n_lines"), "repeat_share": share("n_repeat_words", "n_words"),
         # Distinct words grow ever more slowly with length.
         "unique_share": F.when(F.col("n_words") <= 2000, share("n_unique", "n_words")),
