@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmuration.llm.common import free_names
+from murmuration.llm.common import arrow_batches, free_names
 from murmuration.runtime import materialize, write_counting
 
 # The bytes that end a piece, those between words, and one that no UTF-8 text holds.
@@ -44,6 +44,10 @@ _MINED = "part long, h long, n long"
 _COUNTED = "lang string, phrase string, h long, n long"
 
 
+#: A block is large for a row: so few go to Python at once.
+BATCH = "8m"
+
+
 class Limits(NamedTuple):
     """``support``: least count of a phrase; ``longest``: its words; ``shards``: parts of the corpus.
     The others bound the memory of a task."""
@@ -51,7 +55,7 @@ class Limits(NamedTuple):
     support: int = 100
     longest: int = 5
     shards: int = 8
-    block_words: int = 1 << 18
+    block_words: int = 1 << 17
     waiting: int = 1 << 21
     filter_bits: int = 1 << 27
     chunk_bytes: int = 1 << 20
@@ -334,7 +338,8 @@ def collocations(docs: DataFrame, limits: Limits = Limits(), top: int = 2000, ab
     ``absorb_percent`` of its places is left out; as counts fall with length, one word more is
     enough to look at.
     """
-    found, totals = frequent_phrases(docs, limits, lang, text)
+    with arrow_batches(docs.sparkSession, BATCH):
+        found, totals = frequent_phrases(docs, limits, lang, text)
     phrases = found.where("k > 1").select("lang", "k", "phrase", F.col("f").alias("a"))
     longer = phrases.where("k > 2").select("lang", F.explode(F.array_distinct(_inner(F.col("phrase"), F.col("k")))).alias("phrase"), "a") \
         .groupBy("lang", "phrase").agg(F.max("a").alias("of_longer"))

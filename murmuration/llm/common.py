@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +57,18 @@ def crc32_mod(column: Column | str, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
+    """Bound of the batches that jobs of this block exchange with Python, for rows that are large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 _shipped: set[str] = set()
 
 
