@@ -66,12 +66,18 @@ def encode_events(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def encode_events_of(df: DataFrame, kind: str) -> DataFrame:
-    """JSON events with the derived fields topicName, timestamp and userId."""
-    return encode_events(df.select(
+def event_json(kind: str) -> Column:
+    """One JSON event from its fields, with the derived ones topicName, timestamp and userId."""
+    fields = F.struct(
         *[n for n, _ in EVENT_FIELDS[kind]], F.lit(TOPICS[kind]).alias("topicName"),
         F.col("timeMilisecond").alias("timestamp"), F.col("personId").alias("userId"),
-    ))
+    )
+    return F.to_json(fields, {"ignoreNullFields": "false"})
+
+
+def encode_events_of(df: DataFrame, kind: str) -> DataFrame:
+    """JSON events with the derived fields."""
+    return df.select(event_json(kind).alias("value"))
 
 
 def tuple_text(*cols: Column) -> Column:
@@ -102,6 +108,25 @@ def encode_digest(digest: DataFrame) -> DataFrame:
     ).alias("value"))
 
 
+def encode_digest_pages(digest: DataFrame) -> DataFrame:
+    """Digest messages that say their place: ``(window_end,[(post,metric,n), ...],page,pages)``.
+
+    A reader has a tick's whole digest when it has ``pages`` of them, numbered from 0.
+    """
+    pages = digest.groupBy(F.col("as_of_ms").alias("_tick")).agg(F.count("*").alias("pages"))
+    return digest.join(pages, F.col("as_of_ms") == F.col("_tick")).select(tuple_text(
+        F.col("window_end_ms"), tuple_list_text(F.col("updates"), "post_id", "metric", "n"), F.col("page"), F.col("pages"),
+    ).alias("value"))
+
+
+def decode_suggestions(df: DataFrame, top_k: int = 5, col: str = "value", id_type: str = "long") -> DataFrame:
+    """Rows (window_end_ms, selected_id, c1 .. ck) of suggestion messages; empty places are null."""
+    parts = F.split(F.regexp_extract(col, r"^\((.*)\)$", 1), ",", -1)
+    names = [F.nullif(parts[i], F.lit("")).cast(id_type) for i in range(1, top_k + 2)]
+    return df.select(parts[0].cast("long").alias("window_end_ms"), names[0].alias("selected_id"),
+                     *[c.alias(f"c{i}") for i, c in enumerate(names[1:], 1)])
+
+
 def decode_tuple(df: DataFrame, col: str = "value") -> DataFrame:
     """Rows (window_end_ms, post_id, metric, n) of digest messages written as text."""
     update = F.explode(F.regexp_extract_all(col, F.lit(r"\d+,\w+,\d+"), F.lit(0))).alias("update")

@@ -340,6 +340,18 @@ BODIES = {
     "stream_sliding_counts": f"""SELECT window_end_ms, post_id, count(*) AS n FROM (
         SELECT (ts_ms // {HOUR_MS} + {ENDS}) * {HOUR_MS} AS window_end_ms, post_id FROM likes)
         WHERE window_end_ms <= (SELECT max(ts_ms) FROM likes) - 3000000 - 2 * {HOUR_MS} GROUP BY ALL""",
+    "stream_post_activity": """SELECT as_of_ms, post_id, metric, n FROM activity WHERE as_of_ms <=
+        (SELECT least((SELECT max(ts_ms) FROM comments), (SELECT max(ts_ms) FROM likes)) - 3000000)""",
+    "stream_suggestions": "SELECT window_end_ms, CAST(selected_id AS BIGINT) AS selected_id, " + ", ".join(
+        f"max(CASE WHEN rank = {i} THEN candidate_id END) AS c{i}" for i in range(1, 6)
+    ) + """ FROM top5 WHERE window_end_ms <= (SELECT least((SELECT max(ts_ms) FROM comments), (SELECT max(ts_ms) FROM likes),
+        (SELECT max(ts_ms) FROM raw_posts)) - 3000000) GROUP BY ALL""",
+    "stream_outliers_daily": """SELECT day_ms, person_id, feature_id, round(value, 6) AS value, round(mean, 6) AS mean
+        FROM s_daily JOIN s_stats USING (feature_id, day_ms) WHERE abs(value - mean) > 2 * sd AND abs(value - mean) > 1e-12 * abs(mean)""",
+    "stream_late": """SELECT kind, CAST(count(*) AS BIGINT) AS n_sent, count(*) FILTER (NOT broken AND NOT late) AS n_kept,
+            count(*) FILTER (NOT broken AND late) AS n_late, count(*) FILTER (broken) AS n_rejected
+        FROM (SELECT m.kind, m.broken, coalesce(m.ts_ms < w.passed, false) AS late
+              FROM sent_at m LEFT JOIN passed_at w ON w.step = m.step) GROUP BY kind""",
     "stream_resolve_replies": "SELECT comment_id, post_id, depth FROM resolved",
     "stream_completeness": """SELECT count(*) AS n_sent, count(*) FILTER (ts_ms % 97 <> 0) AS n_kept,
         count(*) FILTER (ts_ms % 97 = 0) AS n_rejected FROM likes""",
@@ -364,6 +376,50 @@ BODIES = {
         f"coalesce(CAST(max(CASE WHEN rank = {i} THEN candidate_id END) AS VARCHAR), '')" for i in range(1, 6)
     ) + ") || ')' AS value FROM top5 GROUP BY window_end_ms, selected_id",
 }
+# Topics of which some events come days late, in four equal spans of arrival.
+PARTS["sent_raw"] = """SELECT kind, ts_ms, ts_ms % 97 = 0 AS broken,
+        ts_ms + (300 + id * 7919 % 2700) * 1000 + CASE WHEN id % 50 = 0 THEN 172800000 ELSE 0 END AS arrival_ms
+    FROM (SELECT 'post' AS kind, post_id AS id, ts_ms FROM raw_posts UNION ALL SELECT 'like', like_id, ts_ms FROM likes
+          UNION ALL SELECT 'comment', comment_id, ts_ms FROM comments)"""
+PARTS["sent_at"] = """SELECT *, (arrival_ms - (SELECT min(arrival_ms) FROM sent_raw))
+        // ((SELECT max(arrival_ms) - min(arrival_ms) FROM sent_raw) // 4 + 1) AS step FROM sent_raw"""
+PARTS["newest_at"] = """SELECT s.step, m.kind, max(m.ts_ms) AS newest FROM (SELECT unnest([1, 2, 3]) AS step) s
+    JOIN sent_at m ON m.step < s.step AND NOT m.broken GROUP BY ALL"""
+PARTS["passed_at"] = """SELECT step, min(newest) - 3000000 AS passed FROM newest_at GROUP BY step HAVING count(*) = 3"""
+# Texts spread over a month; a like counts for an author from the time at which like and post are there.
+_SPREAD = f"{START_MS} + {{0}} * 7919 % 43200 * 60000"
+PARTS["s_posts"] = f"""SELECT CAST(doc_id AS VARCHAR) AS event_id, doc_id, doc_id % 50 AS person_id,
+    {_SPREAD.format("doc_id")} AS ts_ms, t FROM doc_tokens"""
+PARTS["s_comments"] = f"""SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS event_id, conv_id % 50 AS person_id,
+    {_SPREAD.format("(conv_id * 1000 + turn)")} AS ts_ms, t FROM turn_tokens"""
+PARTS["s_likes"] = """SELECT CAST(person_id AS VARCHAR) || ':' || post_id || ':' || ts_ms AS event_id, person_id, post_id, ts_ms
+    FROM (SELECT person_id % 50 AS person_id, post_id, ts_ms FROM likes)"""
+PARTS["s_liked"] = """SELECT l.event_id, l.person_id, greatest(l.ts_ms, p.ts_ms) AS ts_ms, p.person_id AS author
+    FROM s_likes l JOIN s_posts p ON p.doc_id = l.post_id"""
+for _side, _first in (("post", 0), ("comment", 2)):
+    PARTS[f"sm_{_side}s"] = f"SELECT *, {_UNIQ} AS uniq, {_HAS} AS has, {_BAD} AS bad FROM s_{_side}s"
+    _ratio_feature(f"sf{_first}", f"sm_{_side}s", _first, "uniq", "has")
+    _ratio_feature(f"sf{_first + 1}", f"sm_{_side}s", _first + 1, "bad", "1")
+PARTS["s_vocab"] = """SELECT event_id, count(*) AS new FROM (
+        SELECT w.*, row_number() OVER (PARTITION BY person_id, word ORDER BY ts_ms, event_id) AS nth
+        FROM (SELECT person_id, event_id, ts_ms, unnest(t) AS word FROM s_comments) w) WHERE nth = 1 GROUP BY event_id"""
+PARTS["sm_vocab"] = """SELECT c.person_id, c.event_id, c.ts_ms, CAST(coalesce(new, 0) AS DOUBLE) AS new
+        FROM s_comments c LEFT JOIN s_vocab USING (event_id)"""
+_ratio_feature("sf4", "sm_vocab", 4, "new", "1")
+PARTS["sm_likes"] = """SELECT person_id, ts_ms, event_id, CAST(sum(num) AS DOUBLE) AS num, sum(den) AS den FROM (
+        SELECT person_id, ts_ms, event_id, 0 AS num, 1 AS den FROM s_likes
+        UNION ALL SELECT person_id, (min((ts_ms, event_id)))[1], (min((ts_ms, event_id)))[2], 1, 0 FROM s_liked GROUP BY person_id, author)
+    GROUP BY ALL"""
+_ratio_feature("sf5", "sm_likes", 5, "num", "den")
+PARTS["s_long"] = " UNION ALL ".join(f"SELECT * FROM sf{i}" for i in range(6))
+PARTS["s_valued"] = "SELECT * FROM s_long WHERE value IS NOT NULL"
+PARTS["s_closed"] = f"""SELECT (least((SELECT max(ts_ms) FROM s_posts), (SELECT max(ts_ms) FROM s_comments),
+    (SELECT max(ts_ms) FROM s_likes)) - 3000000) // {DAY_MS} * {DAY_MS} AS closed_ms"""
+PARTS["s_days"] = f"""SELECT feature_id, unnest(range((min(ts_ms) // {DAY_MS} + 1) * {DAY_MS}, (SELECT closed_ms FROM s_closed) + 1, {DAY_MS})) AS day_ms
+    FROM s_valued GROUP BY feature_id"""
+PARTS["s_daily"] = """SELECT d.feature_id, d.day_ms, v.person_id, arg_max(v.value, (v.ts_ms, v.event_id)) AS value
+    FROM s_days d JOIN s_valued v ON v.feature_id = d.feature_id AND v.ts_ms < d.day_ms GROUP BY ALL"""
+PARTS["s_stats"] = """SELECT feature_id, day_ms, count(*) AS n_people, avg(value) AS mean, stddev_pop(value) AS sd FROM s_daily GROUP BY ALL"""
 PARTS["unit_counts"] = """SELECT post_id, metric, ts_ms, max(n) AS n FROM (SELECT post_id, metric, ts_ms, count(*) OVER
         (PARTITION BY post_id, metric ORDER BY ts_ms) AS n FROM units) GROUP BY ALL"""
 

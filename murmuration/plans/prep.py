@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmuration.functions.codec import TOPICS, encode_events_of
@@ -51,8 +51,8 @@ def prepare(spark: SparkSession, in_dir: str, out_dir: str, fmt: str = "parquet"
     return {table: read_clean(spark, out_dir, table, fmt) for table in INPUTS}
 
 
-def event_fields(df: DataFrame, kind: str) -> DataFrame:
-    """Cleaned stream rows under the field names of the JSON events."""
+def event_columns(names: list[str], kind: str) -> dict[str, Column]:
+    """The fields of the JSON events that cleaned stream rows with these columns have."""
     date = F.timestamp_millis("ts_ms")
     parts = F.array(*[part(date).cast("int") for part in (F.year, F.month, F.day, F.hour, F.minute, F.second)])
     columns = {
@@ -62,8 +62,12 @@ def event_fields(df: DataFrame, kind: str) -> DataFrame:
         "reply_to_commentId": "reply_to_comment",
         **({"postId": "post_id"} if kind == "like" else {"id": f"{kind}_id"}),
     }
-    present = {f: c for f, c in columns.items() if c in df.columns}
-    return df.select(*[F.col(c).alias(f) for f, c in present.items()], parts.alias("creationDate"))
+    return {f: F.col(c) for f, c in columns.items() if c in names} | {"creationDate": parts}
+
+
+def event_fields(df: DataFrame, kind: str) -> DataFrame:
+    """Cleaned stream rows under the field names of the JSON events."""
+    return df.select(*[c.alias(f) for f, c in event_columns(df.columns, kind).items()])
 
 
 def publish_clean(clean: dict[str, DataFrame], options: dict[str, str], fmt: str = "kafka") -> None:

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +56,7 @@ def _run_folder(spark: SparkSession) -> str:
 def drop_intermediates(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application. Results that still read from
     them must have been written out before."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    Files(spark).delete(_run_folder(spark))
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -62,13 +64,76 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread writes in the block are deleted at its end.
+
+    For work that goes on for ever, such as a micro-batch; what the block returns must not
+    read from them.
+    """
+    outer, _scratch.paths = getattr(_scratch, "paths", None), []
+    try:
+        yield
+    finally:
+        files = Files(spark)
+        for path in _scratch.paths:
+            files.delete(path)
+        _scratch.paths = outer
+
+
 def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` as a Parquet table in the checkpoint folder; returns its path."""
-    path = f"{_run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
+    if getattr(_scratch, "paths", None) is not None:
+        _scratch.paths.append(path)
     df.write.parquet(path)
     return path
 
 
+class Files:
+    """Small files and folders in any store that Spark reads."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm, self._conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self._gateway = spark.sparkContext._gateway
+
+    def _open(self, path: str):
+        place = self._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(self._conf)
+
+    def names(self, folder: str) -> list[str]:
+        place, fs = self._open(folder)
+        return sorted(status.getPath().getName() for status in fs.listStatus(place)) if fs.exists(place) else []
+
+    def read(self, path: str) -> str:
+        place, fs = self._open(path)
+        stream = fs.open(place)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write(self, path: str, text: str) -> None:
+        """Replace a file as a whole: readers see the old text or the new one."""
+        place, fs = self._open(path)
+        fresh = self._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        stream = fs.create(fresh)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), self._conf).rename(
+            fs.makeQualified(fresh), fs.makeQualified(place), options)
+
+    def delete(self, path: str) -> None:
+        place, fs = self._open(path)
+        fs.delete(place, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` out and read it back.
 

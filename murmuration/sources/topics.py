@@ -7,11 +7,14 @@ text files, one sub-folder per topic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from murmuration.functions.codec import decode_events
+from murmuration.runtime import Files
 
 
 def read_topic(spark: SparkSession, topic: str, options: dict[str, str], fmt: str = "kafka") -> DataFrame:
@@ -52,6 +55,42 @@ def publish(
         df.select("value").write.format(fmt).mode("append").save(f"{options['path']}/{topic}")
 
 
+class Outbox:
+    """Sends each batch of a topic once, and says which batches are there.
+
+    A batch is entered in ``folder`` when all its messages are written. One that runs again after
+    that sends nothing; one that failed before that is sent again: in file topics it takes the place
+    of its first try, in Kafka its messages have the same key and text and are repeats for
+    ``sent_messages``.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, options: dict[str, str], fmt: str = "kafka"):
+        self.spark, self.folder, self.options, self.fmt, self.files = spark, folder, options, fmt, Files(spark)
+
+    def batches(self, topic: str) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in self.files.names(f"{self.folder}/{topic}") if n.endswith(".json"))
+
+    def send(self, df: DataFrame, topic: str, batch_id: int) -> None:
+        entry = f"{self.folder}/{topic}/{batch_id}.json"
+        if f"{batch_id}.json" in self.files.names(f"{self.folder}/{topic}"):
+            return
+        seen = Observation()
+        publish(df.observe(seen, F.count("*").alias("n")), topic, self.options, self.fmt, batch_id)
+        self.files.write(entry, json.dumps({"topic": topic, "batch": batch_id, "messages": seen.get["n"]}))
+
+    def sent_messages(self, topic: str) -> DataFrame:
+        """The messages of the batches that were sent whole, each once."""
+        batches = self.batches(topic)
+        if self.fmt == "kafka":
+            rows = self.spark.read.format("kafka").option("subscribe", topic).options(**self.options).load()
+            keyed = rows.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+            return keyed.filter(F.col("key").isin([str(b) for b in batches])).distinct().select("value")
+        paths = [f"{self.options['path']}/{topic}/batch={b}" for b in batches]
+        if not paths:
+            return self.spark.createDataFrame([], "value string")
+        return self.spark.read.format(self.fmt).schema("value string").load(paths)
+
+
 def rejects_of(values: DataFrame, kind: str) -> DataFrame:
     """(kind, value, reason) of the messages that ``events_of`` leaves out."""
     raw = values.withColumn("message", F.col("value"))

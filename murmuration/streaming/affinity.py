@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmuration.functions.timing import floor_to
 from murmuration.operators import affinity
 from murmuration.params import Params
-from murmuration.streaming.state import BatchTable
+from murmuration.runtime import materialize, scratch
+from murmuration.streaming.activity import newest_of
+from murmuration.streaming.state import BatchTable, Clock, Kept, State
 
 
 def slice_counts(
@@ -64,3 +69,53 @@ class SuggestionWriter:
         )
         self.suggestions.write(affinity.suggest(closed, self.static, self.knows, p), batch_id)
         self.done.write(self.done.spark.createDataFrame([(upto,)], self.done.schema), batch_id)
+
+
+class SuggestionJob:
+    """``foreachBatch`` body for rows (topic, kind, person_id, target, ts_ms): ranks closed windows.
+
+    Each batch becomes counts per slide of time; a window is complete when every topic is past its
+    end, so a topic that lags holds it. Counts that no open window reaches are dropped. Rows behind
+    the last ranked window are kept in ``late``.
+    """
+
+    def __init__(self, spark: SparkSession, state_dir: str, static: DataFrame, knows: DataFrame, p: Params = Params(),
+                 inputs: tuple[str, ...] = ("post", "like", "comment"), id_type: str = "long",
+                 on_ranked: Callable[[DataFrame, int], None] | None = None, idle_s: float | None = None):
+        self.spark, self.p, self.on_ranked = spark, p, on_ranked
+        # The static side stays the same for all batches: it is computed once.
+        self.static, self.knows = materialize(static, "static"), materialize(knows, "knows")
+        self.clock = Clock(inputs, 1000 * p.max_delay_s, idle_s)
+        self.state = State(spark, f"{state_dir}/kept", {
+            "slices": Kept(f"ts_ms long, kind string, target string, person_id {id_type}, n long")})
+        self.late = BatchTable(spark, f"{state_dir}/late", f"topic string, kind string, target string, person_id {id_type}, ts_ms long")
+        self.suggestions = BatchTable(spark, f"{state_dir}/suggestions",
+                                      f"window_end_ms long, selected_id {id_type}, rank long, candidate_id {id_type}, score long")
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with scratch(self.spark):
+            self._step(materialize(batch, "acts"), batch_id)
+
+    def _step(self, batch: DataFrame, batch_id: int) -> None:
+        p, state = self.p, self.state
+        state.begin(batch_id)
+        passed, done = self.clock.advance(state.notes, newest_of(batch)), state.notes.get("done")
+        is_late = F.col("ts_ms") < F.lit(done) if done is not None else F.lit(False)
+        self.late.write(batch.filter(is_late), batch_id)
+        state.add("slices", batch.filter(~is_late).groupBy(
+            floor_to(F.col("ts_ms"), p.slide_ms).alias("ts_ms"), "kind", "target", "person_id").agg(F.count("*").alias("n")))
+        closed = None if passed is None else passed // p.slide_ms * p.slide_ms
+        if closed is None or (done is not None and closed <= done):
+            self.suggestions.write(self.suggestions.empty(), batch_id)
+        else:
+            reach = 2 * p.window_ms - p.slide_ms
+            slices = state.read("slices")
+            past = slices.filter(F.col("ts_ms") < closed)
+            scores = affinity.activity_scores(past, p).filter(
+                (F.col("window_end_ms") > F.lit(done or 0)) & (F.col("window_end_ms") <= closed))
+            self.suggestions.write(affinity.suggest(scores, self.static, self.knows, p), batch_id)
+            state.replace("slices", slices.filter(F.col("ts_ms") >= closed + p.slide_ms - reach))
+            state.notes["done"] = closed
+        state.commit()
+        if self.on_ranked is not None:
+            self.on_ranked(self.suggestions.of(batch_id), batch_id)

@@ -10,15 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from murmuration.functions.codec import TOPICS, encode_digest
-from murmuration.operators import activity, affinity, features
+from murmuration.functions.codec import TOPICS, encode_digest_pages, encode_suggestions, encode_tuple
+from murmuration.operators import activity, affinity
 from murmuration.params import Params
-from murmuration.sources.topics import events_of, publish, read_topic, rejects_of
-from murmuration.streaming.activity import stream_activity
-from murmuration.streaming.affinity import SuggestionWriter, slice_counts
-from murmuration.streaming.outliers import DailyOutliers, feature_rows
-from murmuration.streaming.state import BatchTable
-from murmuration.streaming.threads import ThreadResolver, liked_author_stream
+from murmuration.runtime import materialize, scratch
+from murmuration.sources.topics import Outbox, events_of, read_topic, rejects_of
+from murmuration.streaming.activity import ThreadedActivity, newest_of
+from murmuration.streaming.affinity import SuggestionJob
+from murmuration.streaming.outliers import OutlierJob
+from murmuration.streaming.state import BatchTable, Clock, State
+from murmuration.streaming.threads import ThreadResolver
 
 
 @dataclass(frozen=True)
@@ -34,10 +35,12 @@ class Topics:
 
 @dataclass(frozen=True)
 class Run:
-    """Parameters of a running job. ``once`` stops when the available input is worked off."""
+    """Parameters of a running job. ``once`` stops when the available input is worked off; a topic
+    that is silent for ``idle_s`` seconds does not hold the others (off by default)."""
 
     work_dir: str
     once: bool = False
+    idle_s: float | None = None
     params: Params = field(default_factory=Params)
 
     def start(self, df: DataFrame, name: str, body) -> StreamingQuery:
@@ -68,61 +71,102 @@ def resolved_stream(spark: SparkSession, run: Run) -> DataFrame:
     )
 
 
+def _topics(source: Topics, spark: SparkSession, *kinds: str) -> DataFrame:
+    """Events of several topics in one stream, with the topic they come from."""
+    parts = [source.events(spark, k).withColumn("topic", F.lit(k)) for k in kinds]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def start_activity(
-    spark: SparkSession, source: Topics, run: Run, sink: Topics | None = None, topic: str = "activity"
+    spark: SparkSession, source: Topics, run: Run, sink: Topics | None = None, topic: str = "activity",
+    max_age_ms: int | None = None,
 ) -> StreamingQuery:
-    """Activity messages, one or more per tick, as text to ``topic`` of ``sink``."""
-    comments = activity.comment_kinds(resolved_stream(spark, run)).select("post_id", "kind", "person_id", "ts")
-    likes = source.events(spark, "like").select(
-        "post_id", F.lit(activity.KIND_LIKE).alias("kind"), "person_id", "ts"
-    ).withWatermark("ts", f"{run.params.max_delay_s} seconds")
-    counts = stream_activity(comments.unionByName(likes), run.params, watermarked=True)
+    """Activity messages, one or more pages per tick, as text to ``topic`` of ``sink``.
+
+    Replies are attached to their posts in the same batches; one that is resolved late counts
+    from the current tick on.
+    """
     target = sink or source
+    outbox = Outbox(spark, f"{run.work_dir}/activity/sent", target.options, target.fmt)
 
-    def send(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(F.unix_millis("as_of").alias("as_of_ms"), "post_id", "metric", "n")
-        publish(encode_digest(activity.activity_digest(rows, run.params)), topic, target.options, target.fmt, batch_id)
+    def send(counts: DataFrame, batch_id: int) -> None:
+        outbox.send(encode_digest_pages(activity.activity_digest(counts, run.params)), topic, batch_id)
 
-    return run.start(counts, "activity", send)
+    body = ThreadedActivity(spark, f"{run.work_dir}/activity/state", run.params, on_counts=send, max_age_ms=max_age_ms, idle_s=run.idle_s)
+    return run.start(_topics(source, spark, "comment", "like"), "activity", body)
 
 
 def start_suggestions(
-    spark: SparkSession, source: Topics, run: Run, static: DataFrame, knows: DataFrame
+    spark: SparkSession, source: Topics, run: Run, static: DataFrame, knows: DataFrame,
+    sink: Topics | None = None, topic: str = "suggestions", id_type: str = "long",
 ) -> StreamingQuery:
-    """Suggestions per closed window in ``work_dir/suggestions/state/suggestions``."""
-    # One watermark for each topic before the union, so that the slowest decides what is complete.
-    kinds = [source.events(spark, k).withWatermark("ts", f"{run.params.max_delay_s} seconds")
-             for k in ("post", "like", "comment")]
-    rows = affinity.activity_rows(*kinds, "ts").withColumn("person_id", F.col("person_id").cast("long"))
-    writer = SuggestionWriter(spark, f"{run.work_dir}/suggestions/state", static, knows, run.params)
-    return run.start(slice_counts(rows, run.params, watermarked=True), "suggestions", writer)
+    """Suggestions per closed window in ``work_dir/suggestions/state/suggestions``, and as text to
+    ``topic`` of ``sink``. Ids that are no numbers need ``id_type`` string."""
+    target = sink or source
+    outbox = Outbox(spark, f"{run.work_dir}/suggestions/sent", target.options, target.fmt)
+
+    def send(ranked: DataFrame, batch_id: int) -> None:
+        outbox.send(encode_suggestions(affinity.suggest_wide(ranked, run.params), run.params.top_k), topic, batch_id)
+
+    kinds = [source.events(spark, k).withColumn("topic", F.lit(k)) for k in ("post", "like", "comment")]
+    rows = affinity.activity_rows(*kinds, "topic").withColumn("person_id", F.col("person_id").cast(id_type))
+    body = SuggestionJob(spark, f"{run.work_dir}/suggestions/state", static, knows, run.params, id_type=id_type,
+                         on_ranked=send, idle_s=run.idle_s)
+    return run.start(rows, "suggestions", body)
 
 
 def start_outliers(
-    spark: SparkSession, source: Topics, run: Run, lexicon: Collection[str], horizon: str = "90 days"
+    spark: SparkSession, source: Topics, run: Run, lexicon: Collection[str],
+    sink: Topics | None = None, topic: str = "outliers",
 ) -> StreamingQuery:
-    """Statistics and outliers per closed day in ``work_dir/outliers/state``.
+    """Statistics and outliers per closed day in ``work_dir/outliers/state``, and as text: those at
+    new values to ``topic`` of ``sink``, those at midnight to ``topic``-daily."""
+    target = sink or source
+    outbox = Outbox(spark, f"{run.work_dir}/outliers/sent", target.options, target.fmt)
+
+    def send(on_update: DataFrame, daily: DataFrame, batch_id: int) -> None:
+        outbox.send(encode_tuple(on_update, ["person_id", "feature_id", "value", "mean", "ts_ms"]), topic, batch_id)
+        outbox.send(encode_tuple(daily, ["day_ms", "person_id", "feature_id", "value", "mean"]), f"{topic}-daily", batch_id)
 
-    ``horizon`` is how long after a post its likes are still matched with its author.
+    body = OutlierJob(spark, f"{run.work_dir}/outliers/state", lexicon, run.params, on_closed=send, idle_s=run.idle_s)
+    return run.start(_topics(source, spark, "post", "comment", "like"), "outliers", body)
+
+
+class LateGate:
+    """``foreachBatch`` body that parts events into those in time and those behind the watermark.
+
+    The watermark is that of the slowest topic, as far as earlier batches have seen it. A side
+    output in front of any job; what it keeps, what is late and what ``rejects_of`` finds are
+    together all that was sent.
     """
-    def with_text(df: DataFrame) -> DataFrame:
-        return df.withColumn("content", F.coalesce("content", F.lit("")))
-
-    posts, comments = with_text(source.events(spark, "post")), with_text(source.events(spark, "comment"))
-    likes = source.events(spark, "like")
-    matched = liked_author_stream(likes, source.events(spark, "post"), run.params.max_delay_s, horizon)
-    rows = feature_rows(
-        [features.post_steps(posts, lexicon), features.comment_text_steps(comments, lexicon),
-         features.comment_units(comments), features.like_units(likes)],
-        [features.word_items(comments), features.author_items(matched)],
-    )
-    # The features of posts, comments and likes: a day is complete when all three topics are past it.
-    inputs = ({0, 1}, {2, 3, 4}, {5})
-    return run.start(rows, "outliers", DailyOutliers(spark, f"{run.work_dir}/outliers/state", run.params, inputs=inputs))
+
+    def __init__(self, spark: SparkSession, state_dir: str, inputs: Collection[str], p: Params = Params(), idle_s: float | None = None):
+        self.state = State(spark, f"{state_dir}/kept-notes", {})
+        event = "topic string, person_id string, ts_ms long"
+        self.kept, self.late = (BatchTable(spark, f"{state_dir}/{name}", event) for name in ("kept", "late"))
+        self.clock, self.spark = Clock(list(inputs), 1000 * p.max_delay_s, idle_s), spark
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        with scratch(self.spark):
+            batch = materialize(batch.select(*self.kept.schema.names), "events")
+            self.state.begin(batch_id)
+            passed = self.state.notes.get("passed")
+            is_late = F.col("ts_ms") < F.lit(passed) if passed is not None else F.lit(False)
+            self.late.write(batch.filter(is_late), batch_id)
+            self.kept.write(batch.filter(~is_late), batch_id)
+            now = self.clock.advance(self.state.notes, newest_of(batch))
+            self.state.notes["passed"] = max((t for t in (passed, now) if t is not None), default=None)
+            self.state.commit()
+
+
+def start_gate(spark: SparkSession, source: Topics, run: Run) -> StreamingQuery:
+    """Events in time and late ones, in ``work_dir/gate/state``."""
+    kinds = ("post", "like", "comment")
+    return run.start(_topics(source, spark, *kinds), "gate", LateGate(spark, f"{run.work_dir}/gate/state", kinds, run.params, run.idle_s))
 
 
-def start_rejects(spark: SparkSession, source: Topics, run: Run) -> StreamingQuery:
+def start_rejects(spark: SparkSession, source: Topics, run: Run, kinds: Collection[str] = ("post", "like", "comment")) -> StreamingQuery:
     """Messages that are no events, with the reason, in ``work_dir/rejects/state``."""
-    parts = [rejects_of(read_topic(spark, TOPICS[k], source.options, source.fmt), k) for k in ("post", "like", "comment")]
+    parts = [rejects_of(read_topic(spark, TOPICS[k], source.options, source.fmt), k) for k in kinds]
     table = BatchTable(spark, f"{run.work_dir}/rejects/state", "kind string, value string, reason string")
     return run.start(reduce(DataFrame.unionByName, parts), "rejects", table.write)

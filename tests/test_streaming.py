@@ -4,19 +4,22 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from murmuration import runtime
 from murmuration.functions.codec import EVENT_FIELDS, TOPICS, decode_tuple, encode_events_of
 from murmuration.functions.timing import as_timestamp
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import Params
 from murmuration.plans import prep
 from murmuration.plans.catalog import Jobs
+from murmuration.runtime import Files
 from murmuration.sources.star import LEXICON, EngagementTables
 from murmuration.sources.topics import events_of, publish, read_topic
 from murmuration.streaming.activity import stream_activity
 from murmuration.streaming.affinity import SuggestionWriter, slice_counts
 from murmuration.streaming.jobs import Run, Topics, start_activity, start_outliers, start_rejects, start_suggestions, start_threads
 from murmuration.streaming.outliers import DailyOutliers, feature_rows
-from murmuration.streaming.threads import ThreadResolver, liked_author_stream
+from murmuration.streaming.state import Clock, Kept, State
+from murmuration.streaming.threads import LikedAuthors, ThreadResolver, liked_author_stream
 
 SF = "/root/testdata/sf0.001"
 DELAY_S = 3000
@@ -251,7 +254,9 @@ def test_a_topic_that_lags_holds_its_days_open(spark, tmp_path):
     # What comes for a closed day is kept apart.
     late = [(r.feature_id, r.ts_ms) for r in sink.late.everything().collect()]
     assert late == [(0, 2 * day + 5)]
-    assert sink.landed.everything().count() == sum(map(len, batches))
+    # What was sent is in the totals, waits for its day, or is late.
+    counted = sink.state.newest("totals").agg(F.sum("den")).first()[0]
+    assert counted + sink.state.newest("open").count() + len(late) == sum(map(len, batches))
 
 
 def test_a_slow_topic_loses_nothing_to_a_fast_one(spark, tmp_path):
@@ -289,3 +294,86 @@ def test_sending_a_batch_again_adds_nothing(spark, tmp_path):
     for _ in range(2):
         publish(batch, "out", {"path": str(tmp_path)}, "text", batch_id=3)
     assert spark.read.text(str(tmp_path / "out")).count() == 2
+
+
+def test_state_keeps_few_segments_and_survives_reruns(spark, tmp_path):
+    kept = {"seen": Kept("k long, v string", keys=("k",), buckets=4), "last": Kept("k long, n long", keys=("k",), latest=True, buckets=2),
+            "open": Kept("k long")}
+    state, files = State(spark, str(tmp_path / "s"), kept, fanout=3), []
+
+    def batch(i, fail=False):
+        state.begin(i)
+        state.add("seen", spark.createDataFrame([(i, f"v{i}"), (1000 + i, None)], "k long, v string"))
+        state.add("last", spark.createDataFrame([(i % 7, i), (100, i)], "k long, n long"))
+        state.replace("open", state.read("open").filter("k % 2 = 0").unionByName(spark.createDataFrame([(i,)], "k long")))
+        state.notes["done"] = i
+        if not fail:
+            state.commit()
+
+    for i in range(30):
+        if i in (0, 9, 10, 20):
+            batch(i, fail=True)  # ended before its manifest was switched
+        batch(i)
+        if i == 14:
+            batch(i)  # committed, but run again
+        files.append([len(state._segments[n]) for n in kept])
+    assert max(map(sum, files)) <= 2 * (2 * 4) + 1 and sum(files[-1]) <= 16
+    fresh = State(spark, str(tmp_path / "s"), kept, fanout=3)
+    fresh.begin(30)
+    assert sorted(r.k for r in fresh.read("seen").collect()) == sorted([*range(30), *range(1000, 1030)])
+    assert {r.k: r.n for r in fresh.read("last").collect()} == {100: 29, **{i % 7: i for i in range(30)}}
+    assert sorted(r.k for r in fresh.read("open").collect()) == [*range(0, 30, 2), 29] and fresh.notes == {"done": 29}
+    asked = spark.createDataFrame([(3,), (1004,), (77,)], "k long")
+    assert {(r.k, r.v) for r in fresh.lookup("seen", asked).collect()} == {(3, "v3"), (1004, None)}
+    # What is on the disk belongs to the last manifests.
+    names = {s["name"] for i in fresh._manifests() for s in fresh._load(i)["segments"]["seen"]}
+    assert set(fresh.files.names(f"{tmp_path}/s/seen")) == names and len(fresh._manifests()) == State.HISTORY
+
+
+def test_resolver_reads_a_level_number_of_files(spark, tmp_path):
+    """Fifty batches: the files of the state and the intermediate tables do not grow with them."""
+    schema = "comment_id long, person_id long, ts_ms long, reply_to_post long, reply_to_comment long"
+    resolver, counts = ThreadResolver(spark, str(tmp_path / "state"), "long"), []
+    files = Files(spark)
+    before = len(files.names(runtime._run_folder(spark)))
+    for i in range(50):
+        rows = [(10 * i, 1, i, i, None), (10 * i + 1, 2, i, None, 10 * (i - 3)), (10 * i + 2, 2, i, None, 10 * (i + 2))]
+        resolver(spark.createDataFrame(rows, schema).coalesce(1), i)
+        counts.append(len(resolver.state._segments["index"]))
+    assert max(counts) <= 9 and max(counts[40:]) <= 9
+    assert len(files.names(runtime._run_folder(spark))) == before
+    got = {r.comment_id: (r.post_id, r.depth) for r in resolver.resolved.everything().collect()}
+    assert got == {**{10 * i: (i, 0) for i in range(50)}, **{10 * i + 1: (i - 3, 1) for i in range(3, 50)},
+                   **{10 * i + 2: (i + 2, 1) for i in range(48)}}
+    assert {r.comment_id for r in resolver.waiting.everything().collect()} == {1, 11, 21, 482, 492}
+
+
+def test_likes_find_old_and_later_posts(spark, tmp_path):
+    day = 86_400_000
+    authors = LikedAuthors(spark, str(tmp_path / "a"))
+    like, post = "post_id string, person_id string, ts_ms long, like_id string", "post_id string, person_id string, ts_ms long"
+
+    def step(i, likes, posts):
+        found = authors.step(spark.createDataFrame(likes, like), spark.createDataFrame(posts, post), i)
+        return {(r.like_id, r.author_id, r.ts_ms) for r in found.collect()}
+
+    assert step(0, [("p", "x", 5, "1"), ("q", "x", 6, "2")], [("p", "ann", 4)]) == {("1", "ann", 5)}
+    assert step(1, [("q", "y", 7, "3")], []) == set()
+    assert step(2, [("p", "y", 9000 * day, "4")], [("q", "bob", 70)]) == {("2", "bob", 70), ("3", "bob", 70), ("4", "ann", 9000 * day)}
+    assert step(2, [("p", "y", 9000 * day, "4")], [("q", "bob", 70)]) == {("2", "bob", 70), ("3", "bob", 70), ("4", "ann", 9000 * day)}
+    for i in range(3, 12):
+        assert step(i, [(f"none{i}", "z", 1, f"n{i}")], []) == set()
+    # Matched likes are dropped when segments are merged, the others wait on.
+    parked = {r.like_id for r in authors.state.newest("parked").collect()}
+    assert parked >= {f"n{i}" for i in range(3, 12)} and not parked & {"1", "4"}
+
+
+def test_the_slowest_input_and_an_idle_one():
+    at = [0.0]
+    clock, notes = Clock(["a", "b"], 10, idle_s=60, now=lambda: at[0]), {}
+    assert clock.advance(notes, {"a": 500}) is None
+    assert clock.advance(notes, {"b": 100}) == 90
+    assert clock.advance(notes, {"a": 900, "b": 50}) == 90
+    at[0] = 61.0
+    assert clock.advance(notes, {"a": 1000}) == 990
+    assert clock.advance(notes, {"b": 300}) == 290
