@@ -42,6 +42,20 @@ def bad_words(text: Column, lexicon: Collection[str]) -> Column:
     return bad_words_of(tokens(text), lexicon)
 
 
+def bad_word_counts(df: DataFrame, id_col: str, text_col: str, lexicon: DataFrame) -> DataFrame:
+    """(id, n_bad) by a table of words (``word``), of any size; a text without bad words has 0.
+
+    A text's words are counted before they meet the lexicon, so a frequent word is one row a text;
+    Spark sends the smaller side to the other or shuffles both, by their size.
+    """
+    listed = lexicon.select(F.lower("word").alias("word")).distinct()
+    lowered = df.select(id_col, F.transform(tokens(F.col(text_col)), F.lower).alias("_words"))
+    counted = lowered.select(id_col, F.explode("_words").alias("word")).groupBy(id_col, "word").agg(F.count("*").alias("n_bad"))
+    none = df.select(id_col, F.lit(0).cast("long").alias("n_bad"))
+    return counted.join(listed, "word", "left_semi").select(id_col, "n_bad").unionByName(none).groupBy(id_col).agg(
+        F.sum("n_bad").alias("n_bad"))
+
+
 def word_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, word, n) for each distinct word of each text."""
     return (

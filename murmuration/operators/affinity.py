@@ -1,8 +1,9 @@
 """Friend suggestions: static similarity, windowed co-activity, scores, ranking.
 
-``selected`` is the tuple of people to suggest for; its length is bounded by
-``params.MAX_SELECTED``. One side of every co-occurrence join belongs to selected people,
-so results grow with rows times selected people, never with pairs of people.
+The people to suggest for are a table ``selected`` (selected_id), of any number, or the tuple
+``Params.selected``. One side of every co-occurrence join belongs to selected people,
+so results grow with rows times selected people, never with pairs of people. Ids are numbers or texts;
+ties go to the smaller number, and to texts behind numbers.
 """
 
 from __future__ import annotations
@@ -31,6 +32,26 @@ SHARED_FEATURES = {
 }
 
 
+def chosen(like: DataFrame, p: Params, selected: DataFrame | None) -> DataFrame:
+    """(selected_id): the people to suggest for, each once."""
+    if selected is not None:
+        return selected.select("selected_id").distinct()
+    # A literal table, so Spark knows how small it is.
+    ids = F.array(*[F.lit(s if isinstance(s, str) else int(s)) for s in p.selected])
+    return like.sparkSession.range(1).select(F.explode(F.array_distinct(ids)).alias("selected_id")).select(
+        F.col("selected_id") if any(isinstance(s, str) for s in p.selected) else F.col("selected_id").cast("long").alias("selected_id"))
+
+
+def _of(people: DataFrame, df: DataFrame, column: str = "person_id") -> DataFrame:
+    """Rows of selected people: Spark sends the selected ones to the rows if they are few."""
+    return df.join(people.withColumnRenamed("selected_id", column), column, "left_semi")
+
+
+def id_order(column: str) -> list[Column]:
+    """Numbers by size, then texts."""
+    return [F.col(column).try_cast("long").asc_nulls_last(), F.col(column)]
+
+
 def weight_of(weights: dict[str, Decimal], feature: Column) -> Column:
     """Weight of a feature name in score units; an unknown name is an error, not a silent zero."""
     (first, weight), *rest = ((name, int(w * UNITS)) for name, w in weights.items())
@@ -47,7 +68,7 @@ def as_points(df: DataFrame) -> DataFrame:
 
 def static_units(
     person: DataFrame, member: DataFrame, moderator: DataFrame,
-    interest: DataFrame, language: DataFrame, p: Params = Params(),
+    interest: DataFrame, language: DataFrame, p: Params = Params(), selected: DataFrame | None = None,
 ) -> DataFrame:
     """(selected_id, candidate_id, feature, amount = 1) for each shared attribute.
 
@@ -56,10 +77,10 @@ def static_units(
     scanned once and joined with it by equality; the age band becomes an equality too, as
     the selected side lists all years of its band.
     """
-    ids = list(p.selected)
+    people = chosen(person, p, selected)
 
     def traits(df: DataFrame, kind: str, key: Column) -> DataFrame:
-        return df.filter(F.col("person_id").isin(ids)).select(
+        return _of(people, df).select(
             F.lit(kind).alias("kind"), F.col("person_id").alias("selected_id"),
             key.cast("string").alias("key"),
         )
@@ -149,7 +170,7 @@ def _windows(slices: DataFrame, keys: list[str], p: Params) -> DataFrame:
     ).groupBy("window_end_ms", *keys).agg(F.sum("n").alias("n"))
 
 
-def _shared(rows: DataFrame, target: list[str], p: Params) -> DataFrame:
+def _shared(rows: DataFrame, target: list[str], p: Params, selected: DataFrame | None = None) -> DataFrame:
     """(window_end_ms, selected_id, candidate_id, amount) and all but the last of ``target``.
 
     Only targets that a selected person ever touches can count, so all other rows are
@@ -157,7 +178,7 @@ def _shared(rows: DataFrame, target: list[str], p: Params) -> DataFrame:
     """
     narrow = _keep_n(rows.filter(F.col(target[-1]).isNotNull()), *target, "person_id", "ts_ms")
     keys = [*target, "person_id"]
-    mine = narrow.filter(F.col("person_id").isin(list(p.selected)))
+    mine = _of(chosen(rows, p, selected), narrow)
     near = _slices(narrow, keys, p).join(mine.select(*target).distinct(), target, "left_semi")
     theirs = _windows(near, keys, p).withColumnRenamed("person_id", "candidate_id")
     ours = _windows(_slices(mine, keys, p), keys, p).select(
@@ -172,17 +193,17 @@ def _shared(rows: DataFrame, target: list[str], p: Params) -> DataFrame:
     )
 
 
-def co_activity(rows: DataFrame, target: str, p: Params = Params()) -> DataFrame:
+def co_activity(rows: DataFrame, target: str, p: Params = Params(), selected: DataFrame | None = None) -> DataFrame:
     """(window_end_ms, selected_id, candidate_id, amount): rows of a candidate on targets
     that a selected person also has a row on in the same window."""
-    return _shared(rows, [target], p)
+    return _shared(rows, [target], p, selected)
 
 
-def shared_features(rows: DataFrame, p: Params = Params()) -> DataFrame:
+def shared_features(rows: DataFrame, p: Params = Params(), selected: DataFrame | None = None) -> DataFrame:
     """Co-activity of every kind at once: (window_end_ms, selected_id, candidate_id, feature, amount)."""
     kind = F.col("kind")
     feature = F.coalesce(*[F.when(kind == k, name) for k, name in SHARED_FEATURES.items()])
-    return _shared(rows, ["kind", "target"], p).withColumn("feature", feature).drop("kind")
+    return _shared(rows, ["kind", "target"], p, selected).withColumn("feature", feature).drop("kind")
 
 
 def active_people(events: DataFrame, p: Params = Params()) -> DataFrame:
@@ -237,13 +258,13 @@ def candidate_scores(own: DataFrame, shared: DataFrame, p: Params = Params()) ->
     # At most one entry per selected person goes into each map.
     co = _windowed_again(shared, ["candidate_id", "selected_id"], p).groupBy(
         "window_end_ms", "candidate_id"
-    ).agg(F.map_from_entries(F.collect_list(F.struct(F.col("selected_id").cast("long"), "score"))).alias("co"))
+    ).agg(F.map_from_entries(F.collect_list(F.struct("selected_id", "score"))).alias("co"))
     return base.join(co, ["window_end_ms", "candidate_id"], "full_outer").select(
         "window_end_ms", "candidate_id", F.coalesce("base", F.lit(0).cast("long")).alias("base"), "co"
     )
 
 
-def activity_scores(rows: DataFrame, p: Params = Params()) -> DataFrame:
+def activity_scores(rows: DataFrame, p: Params = Params(), selected: DataFrame | None = None) -> DataFrame:
     """``candidate_scores`` of activity rows.
 
     All features come from the same counts per slide of time, made and written once.
@@ -251,47 +272,44 @@ def activity_scores(rows: DataFrame, p: Params = Params()) -> DataFrame:
     slices = materialize(
         _slices(rows, ["kind", "target", "person_id"], p).withColumnRenamed("slice_ms", "ts_ms"), "activity-slices"
     )
-    return candidate_scores(own_features(slices, p), shared_features(slices, p), p)
+    return candidate_scores(own_features(slices, p), shared_features(slices, p, selected), p)
 
 
 def static_by_candidate(static: DataFrame) -> DataFrame:
     """(candidate_id, static): map from selected person to static score."""
     return static.groupBy("candidate_id").agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col("selected_id").cast("long"), "score"))).alias("static")
+        F.map_from_entries(F.collect_list(F.struct("selected_id", "score"))).alias("static")
     )
 
 
-def _spread(rows: DataFrame, p: Params) -> DataFrame:
+def _spread(rows: DataFrame, people: DataFrame) -> DataFrame:
     """One row per selected person, with the score for that person."""
     zero = F.lit(0).cast("long")
 
     def entry(name: str) -> Column:
         return F.coalesce(F.try_element_at(F.col(name), F.col("selected_id")), zero)
 
-    selected = F.array(*[F.lit(int(s)).cast("long") for s in p.selected])
-    return rows.select("*", F.explode(selected).alias("selected_id")).withColumn(
+    # Every candidate has a score for every selected person: one array of them, made once.
+    everyone = people.agg(F.collect_list("selected_id")).scalar()
+    return rows.select("*", F.explode(everyone).alias("selected_id")).withColumn(
         "score", F.col("base") + entry("co") + entry("static")
     )
 
 
-def window_scores(candidates: DataFrame, static: DataFrame, p: Params = Params()) -> DataFrame:
+def window_scores(candidates: DataFrame, static: DataFrame, p: Params = Params(), selected: DataFrame | None = None) -> DataFrame:
     """(window_end_ms, selected_id, candidate_id, score) of candidates with window activity."""
     rows = candidates.join(static_by_candidate(static), "candidate_id", "left")
-    return _spread(rows, p).select("window_end_ms", "selected_id", "candidate_id", "score")
+    return _spread(rows, chosen(rows, p, selected)).select("window_end_ms", "selected_id", "candidate_id", "score")
 
 
-def friends_of_selected(knows: DataFrame, p: Params = Params()) -> DataFrame:
+def friends_of_selected(knows: DataFrame, p: Params = Params(), selected: DataFrame | None = None) -> DataFrame:
     """(candidate_id, friend_of): for each person, the selected people they are friends with."""
-    ids = list(p.selected)
     pair = F.explode(F.array(
         F.struct(F.col("person1_id").alias("s"), F.col("person2_id").alias("c")),
         F.struct(F.col("person2_id").alias("s"), F.col("person1_id").alias("c")),
     ))
-    return knows.filter(F.col("person1_id").isin(ids) | F.col("person2_id").isin(ids)).select(
-        pair.alias("e")
-    ).filter(F.col("e.s").isin(ids)).groupBy(F.col("e.c").alias("candidate_id")).agg(
-        F.collect_set(F.col("e.s").cast("long")).alias("friend_of")
-    )
+    pairs = knows.select(pair.alias("e")).select("e.s", F.col("e.c").alias("candidate_id"))
+    return _of(chosen(knows, p, selected), pairs, "s").groupBy("candidate_id").agg(F.collect_set("s").alias("friend_of"))
 
 
 def _eligible() -> Column:
@@ -301,19 +319,19 @@ def _eligible() -> Column:
 
 
 def suggestion_candidates(
-    candidates: DataFrame, static: DataFrame, knows: DataFrame, p: Params = Params()
+    candidates: DataFrame, static: DataFrame, knows: DataFrame, p: Params = Params(), selected: DataFrame | None = None
 ) -> DataFrame:
     """Window scores without the selected people themselves and their friends."""
     rows = candidates.join(static_by_candidate(static), "candidate_id", "left").join(
-        friends_of_selected(knows, p), "candidate_id", "left"
+        friends_of_selected(knows, p, selected), "candidate_id", "left"
     )
-    return _spread(rows, p).filter(_eligible()).select(
+    return _spread(rows, chosen(rows, p, selected)).filter(_eligible()).select(
         "window_end_ms", "selected_id", "candidate_id", "score"
     )
 
 
 def suggest(
-    candidates: DataFrame, static: DataFrame, knows: DataFrame, p: Params = Params()
+    candidates: DataFrame, static: DataFrame, knows: DataFrame, p: Params = Params(), selected: DataFrame | None = None
 ) -> DataFrame:
     """(window_end_ms, selected_id, rank, candidate_id, score): the best ``top_k``.
 
@@ -323,12 +341,12 @@ def suggest(
     weights are not negative. So only those are added to each window.
     """
     by_candidate = materialize(
-        static_by_candidate(static).join(friends_of_selected(knows, p), "candidate_id", "full_outer"),
+        static_by_candidate(static).join(friends_of_selected(knows, p, selected), "candidate_id", "full_outer"),
         "static-scores",
     )
     acting = materialize(candidates, "window-scores")
 
-    best = Window.partitionBy("selected_id").orderBy(F.desc("score"), "candidate_id")
+    best = Window.partitionBy("selected_id").orderBy(F.desc("score"), *id_order("candidate_id"))
     static_top = (
         by_candidate.select("candidate_id", "friend_of", F.explode("static").alias("selected_id", "score"))
         .filter(_eligible())
@@ -342,7 +360,7 @@ def suggest(
         "window_end_ms",
         F.explode(static_top.agg(F.collect_list("candidate_id")).scalar()).alias("candidate_id"),
     ).join(
-        acting.join(F.broadcast(static_top), "candidate_id", "left_semi"),
+        acting.join(static_top, "candidate_id", "left_semi"),
         ["window_end_ms", "candidate_id"], "left_anti",
     )
     rows = acting.withColumn("acted", F.lit(True)).unionByName(
@@ -350,9 +368,9 @@ def suggest(
         allowMissingColumns=True,
     ).join(by_candidate, "candidate_id", "left")
     qualifies = F.col("acted") | F.coalesce(F.map_contains_key("static", F.col("selected_id")), F.lit(False))
-    person = Window.partitionBy("window_end_ms", "selected_id").orderBy(F.desc("score"), "candidate_id")
+    person = Window.partitionBy("window_end_ms", "selected_id").orderBy(F.desc("score"), *id_order("candidate_id"))
     return (
-        _spread(rows, p)
+        _spread(rows, chosen(rows, p, selected))
         .filter(_eligible() & qualifies)
         .select("window_end_ms", "selected_id", "candidate_id", "score")
         .withColumn("rank", F.row_number().over(person))

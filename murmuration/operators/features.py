@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmuration.functions.text import bad_words_of, tokens, uniq_ratio_of
+from murmuration.functions.text import bad_word_counts, bad_words_of, tokens, uniq_ratio_of
 from murmuration.operators.scan import prefix_scan
 from murmuration.runtime import materialize
 
@@ -21,12 +21,18 @@ from murmuration.runtime import materialize
 POST_UNIQ, POST_BAD, COMMENT_UNIQ, COMMENT_BAD, COMMENT_VOCAB, LIKE_SPREAD = range(6)
 
 
-def _text_steps(df: DataFrame, id_col: str, lexicon: Collection[str], uniq: int, bad: int) -> DataFrame:
+def _text_steps(df: DataFrame, id_col: str, lexicon: Collection[str] | DataFrame, uniq: int, bad: int) -> DataFrame:
+    """``lexicon``: a list of words that goes into the expression, or a table (word) that is joined."""
     split = df.select("person_id", "ts_ms", F.col(id_col).alias("event_id"), tokens(F.col("content")).alias("words"))
-    measured = split.select(
-        "person_id", "ts_ms", "event_id",
-        uniq_ratio_of(F.col("words")).alias("uniq"), bad_words_of(F.col("words"), lexicon).alias("bad"),
-    )
+    if isinstance(lexicon, DataFrame):
+        found = bad_word_counts(df.withColumnRenamed(id_col, "event_id"), "event_id", "content", lexicon)
+        measured = split.join(found, "event_id").select(
+            "person_id", "ts_ms", "event_id", uniq_ratio_of(F.col("words")).alias("uniq"), F.col("n_bad").alias("bad"))
+    else:
+        measured = split.select(
+            "person_id", "ts_ms", "event_id",
+            uniq_ratio_of(F.col("words")).alias("uniq"), bad_words_of(F.col("words"), lexicon).alias("bad"),
+        )
     one = F.lit(1).cast("long")
     step = F.explode(F.array(
         F.struct(
@@ -65,11 +71,11 @@ def _novelty_steps(units: DataFrame, items: DataFrame) -> DataFrame:
     return units.unionByName(new).groupBy(*key).agg(F.sum("num").alias("num"), F.sum("den").alias("den"))
 
 
-def post_steps(posts: DataFrame, lexicon: Collection[str]) -> DataFrame:
+def post_steps(posts: DataFrame, lexicon: Collection[str] | DataFrame) -> DataFrame:
     return _text_steps(posts, "post_id", lexicon, POST_UNIQ, POST_BAD)
 
 
-def comment_text_steps(comments: DataFrame, lexicon: Collection[str]) -> DataFrame:
+def comment_text_steps(comments: DataFrame, lexicon: Collection[str] | DataFrame) -> DataFrame:
     return _text_steps(comments, "comment_id", lexicon, COMMENT_UNIQ, COMMENT_BAD)
 
 
@@ -89,7 +95,7 @@ def comment_vocab_steps(comments: DataFrame) -> DataFrame:
     return _novelty_steps(comment_units(comments), word_items(comments))
 
 
-def comment_steps(comments: DataFrame, lexicon: Collection[str]) -> DataFrame:
+def comment_steps(comments: DataFrame, lexicon: Collection[str] | DataFrame) -> DataFrame:
     return comment_text_steps(comments, lexicon).unionByName(comment_vocab_steps(comments))
 
 
@@ -133,11 +139,11 @@ def running_features(*steps: DataFrame) -> DataFrame:
     )
 
 
-def post_features(posts: DataFrame, lexicon: Collection[str]) -> DataFrame:
+def post_features(posts: DataFrame, lexicon: Collection[str] | DataFrame) -> DataFrame:
     return running_features(post_steps(posts, lexicon))
 
 
-def comment_features(comments: DataFrame, lexicon: Collection[str]) -> DataFrame:
+def comment_features(comments: DataFrame, lexicon: Collection[str] | DataFrame) -> DataFrame:
     return running_features(comment_steps(comments, lexicon))
 
 

@@ -37,12 +37,6 @@ COMMENT, REPLY, ENGAGEMENT = "comment", "reply", "userEngagement"
 # Kinds of engagement events.
 KIND_REPLY, KIND_COMMENT, KIND_LIKE = 0, 1, 2
 
-# Upper limit on the number of selected people. Per-candidate maps and arrays hold one
-# entry per selected person, and sets keyed by selected person are broadcast on the
-# strength of it.
-MAX_SELECTED = 100
-
-
 def _decimals(weights: dict[str, str]) -> dict[str, Decimal]:
     return {name: Decimal(w) for name, w in weights.items()}
 
@@ -67,8 +61,8 @@ class Params:
     )
 
     def __post_init__(self):
-        if not 0 < len(self.selected) <= MAX_SELECTED:
-            raise ValueError(f"between 1 and {MAX_SELECTED} selected people are supported")
+        if not self.selected:
+            raise ValueError("somebody must be selected")
         if any(w < 0 for w in self.weights.values()):
             # The exact pruning of suggestion candidates relies on it.
             raise ValueError("weights must not be negative")
@@ -81,7 +75,7 @@ class Params:
     def from_properties(cls, props: dict[str, str], **overrides) -> "Params":
         """Build from the keys of a properties file (friendId0.., weight names, delays)."""
         selected = tuple(
-                int(props[k])
+            int(props[k]) if props[k].strip().isdigit() else props[k].strip()
             for k in sorted((k for k in props if k.startswith("friendId")), key=lambda k: int(k[8:]))
         )
         weights = _decimals(STATIC_WEIGHTS | WINDOW_WEIGHTS)

@@ -28,31 +28,32 @@ def activity_messages(clean: Tables, p: Params = Params()) -> DataFrame:
     return activity.activity_digest(post_activity(clean, p), p)
 
 
-def _numeric(df: DataFrame, *ids: str) -> DataFrame:
-    """Ids as numbers, so that ties go to the smaller number."""
-    return df.withColumns({c: F.col(c).cast("long") for c in ids})
+def _typed(df: DataFrame, id_type: str, *ids: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast(id_type) for c in ids})
 
 
-def static_scores(clean: Tables, p: Params = Params()) -> DataFrame:
-    person = _numeric(clean["person"], "person_id").select(
+def static_scores(clean: Tables, p: Params = Params(), selected: DataFrame | None = None, id_type: str = "long") -> DataFrame:
+    person = _typed(clean["person"], id_type, "person_id").select(
         "person_id", "browser", F.substring("birthday", 1, 4).try_cast("int").alias("birth_year")
     )
-    tables = [_numeric(clean[t], "person_id") for t in ("member", "moderator", "interest", "language")]
-    return affinity.static_total(affinity.static_units(person, *tables, p), p)
+    tables = [_typed(clean[t], id_type, "person_id") for t in ("member", "moderator", "interest", "language")]
+    return affinity.static_total(affinity.static_units(person, *tables, p, selected), p)
 
 
-def friendships(clean: Tables) -> DataFrame:
-    return _numeric(clean["knows"], "person1_id", "person2_id")
+def friendships(clean: Tables, id_type: str = "long") -> DataFrame:
+    return _typed(clean["knows"], id_type, "person1_id", "person2_id")
 
 
-def friend_suggestions(clean: Tables, p: Params = Params()) -> DataFrame:
-    """(window_end_ms, selected_id, rank, candidate_id, score)."""
-    rows = affinity.activity_rows(*[_numeric(clean[t], "person_id") for t in ("post", "like", "comment")])
-    scores = affinity.activity_scores(rows, p)
-    return affinity.as_points(affinity.suggest(scores, static_scores(clean, p), friendships(clean), p))
+def friend_suggestions(clean: Tables, p: Params = Params(), selected: DataFrame | None = None, id_type: str = "long") -> DataFrame:
+    """(window_end_ms, selected_id, rank, candidate_id, score). ``selected`` (selected_id) takes the place of
+    ``p.selected``; ids that are no numbers need ``id_type`` string."""
+    rows = affinity.activity_rows(*[_typed(clean[t], id_type, "person_id") for t in ("post", "like", "comment")])
+    scores = affinity.activity_scores(rows, p, selected)
+    static = static_scores(clean, p, selected, id_type)
+    return affinity.as_points(affinity.suggest(scores, static, friendships(clean, id_type), p, selected))
 
 
-def behaviour_features(clean: Tables, lexicon: Collection[str]) -> DataFrame:
+def behaviour_features(clean: Tables, lexicon: Collection[str] | DataFrame) -> DataFrame:
     """(person_id, feature_id, event_id, ts_ms, value) of all six features."""
     # A null text is an empty one in the files.
     posts, comments = (
@@ -65,7 +66,7 @@ def behaviour_features(clean: Tables, lexicon: Collection[str]) -> DataFrame:
     )
 
 
-def unusual_people(clean: Tables, lexicon: Collection[str], p: Params = Params()) -> tuple[DataFrame, DataFrame]:
+def unusual_people(clean: Tables, lexicon: Collection[str] | DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame]:
     """Outliers at each new value, and at each midnight."""
     values = behaviour_features(clean, lexicon)
     daily = outliers.feature_daily(values)

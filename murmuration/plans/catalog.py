@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,11 @@ from murmuration.functions import codec, text
 from murmuration.functions.timing import as_timestamp, epoch_ms, with_event_time
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import DAY_MS, HOUR_MS, MINUTE_MS, Params
+from murmuration.plans import prep
 from murmuration.plans.streams import STREAMS
-from murmuration.runtime import materialize
-from murmuration.sources.star import LEXICON, SELECTED, EngagementTables, PeopleTables, TextTables, table
+from murmuration.runtime import materialize, new_folder
+from murmuration.sources.files import lexicon_table, write_raw
+from murmuration.sources.star import LEXICON, SELECTED, EngagementTables, PeopleTables, TextTables, raw_inputs, table
 
 PARAMS = Params(selected=SELECTED)
 FILE_ORDER = ["arrival_ms", "event_no"]
@@ -56,6 +59,10 @@ class Jobs:
     def encode_tuple(self) -> DataFrame:
         return codec.encode_digest(self._digest())
 
+    def encode_digest_pages(self) -> DataFrame:
+        """Digest messages with their page and the number of pages."""
+        return codec.encode_digest_pages(self._digest())
+
     def decode_tuple(self) -> DataFrame:
         return codec.decode_tuple(codec.encode_digest(self._digest()))
 
@@ -105,9 +112,6 @@ class Jobs:
     def _all_events(self) -> DataFrame:
         return _arriving(self.a.events().select("event_id", "ts_ms"), "event_id")
 
-    def arrival_order(self) -> DataFrame:
-        return self._all_events().orderBy("arrival_ms", "event_id").drop("event_no")
-
     def late_rows(self) -> DataFrame:
         return quality.late_rows(self._all_events(), FILE_ORDER, 600).drop("event_no")
 
@@ -193,6 +197,14 @@ class Jobs:
     def bad_words(self) -> DataFrame:
         return self.b.documents.select("doc_id", text.bad_words(F.col("text"), LEXICON).alias("n_bad"))
 
+    def bad_words_lexicon(self) -> DataFrame:
+        """Bad words by a lexicon of several hundred words, written to and read from its JSON file."""
+        path = f"{new_folder(self.spark, 'lexicon')}/words.json"
+        words = table(self.spark, self.sf_dir, "benchmark").select(F.explode(text.tokens(F.col("text"))).alias("w"))
+        listed = words.filter("w <> ''").agg(F.sort_array(F.collect_set("w")).alias("BAD_WORDS"))
+        listed.select(F.to_json(F.struct("BAD_WORDS"))).write.text(path)
+        return text.bad_word_counts(self.b.documents, "doc_id", "text", lexicon_table(self.spark, path))
+
     def word_counts(self) -> DataFrame:
         return text.word_counts(self.b.documents, "doc_id", "text")
 
@@ -282,6 +294,26 @@ class Jobs:
     def _exact(df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.col(c).cast("decimal(20,6)") for c in ("value", "mean")})
 
+    # -- raw files ----------------------------------------------------------------------
+
+    def prep_roundtrip(self) -> DataFrame:
+        """(source, row): the cleaned tables and rejects after writing all nine raw files and preparing them."""
+        raw, clean = (new_folder(self.spark, name) for name in ("raw", "clean"))
+        for name, df in raw_inputs(self.a, self.c).items():
+            write_raw(df, raw, name)
+        tables = prep.prepare(self.spark, raw, clean)
+        tables["reject"] = self.spark.read.schema("kind string, id string, reason string").parquet(f"{clean}/rejects")
+
+        def shown(name: str, df: DataFrame) -> DataFrame:
+            # Times as numbers, tags as text, birth years from the birthday's text.
+            fields = [F.concat_ws(",", c) if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c).cast("string")
+                      for c in df.columns if c not in ("like_id", "creation_date")]
+            if name == "person":
+                fields.append(F.substring("birthday", 1, 4).try_cast("int").cast("string"))
+            return df.select(F.lit(name).alias("source"), F.concat_ws("|", *[F.coalesce(f, F.lit("-")) for f in fields]).alias("row"))
+
+        return reduce(DataFrame.unionAll, [shown(name, df) for name, df in tables.items()])
+
     # -- affinity ---------------------------------------------------------------------
 
     def _static_units(self) -> DataFrame:
@@ -342,6 +374,21 @@ class Jobs:
     def aff_top5(self) -> DataFrame:
         return affinity.as_points(self._top5())
 
+    def aff_top5_many(self) -> DataFrame:
+        """Suggestions for all people of one market segment, a table of a fifth of the people, with text ids."""
+        def named(df: DataFrame, *ids: str) -> DataFrame:
+            return df.withColumns({c: F.concat(F.lit("p"), F.col(c)) for c in ids})
+
+        c = self.c
+        tables = [named(t, "person_id") for t in (c.person(), c.member(), c.moderator(), c.interest(), c.language())]
+        selected = materialize(named(c.person().filter("browser = 'BUILDING'"), "person_id").select(
+            F.col("person_id").alias("selected_id")), "selected")
+        static = affinity.static_total(affinity.static_units(*tables, self.p, selected), self.p)
+        rows = affinity.activity_rows(*[named(df, "person_id") for df in (self.a.raw_posts(), self.a.likes(), self.a.direct_comments())])
+        daily = self.p.__class__(selected=self.p.selected, window_ms=DAY_MS, slide_ms=DAY_MS)
+        scores = affinity.activity_scores(rows, daily, selected)
+        return affinity.as_points(affinity.suggest(scores, static, named(c.knows(), "person1_id", "person2_id"), daily, selected))
+
     def aff_top5_wide(self) -> DataFrame:
         return affinity.suggest_wide(self._top5(), self.p)
 

@@ -212,7 +212,7 @@ PARTS |= {
         FROM daily GROUP BY ALL""",
 }
 
-_RECURSIVE = ("resolved", "kept")
+_RECURSIVE = ("resolved", "kept", "raw_kept")
 
 
 def sql(body: str) -> str:
@@ -257,6 +257,8 @@ BODIES = {
         'postId', CAST(post_id AS VARCHAR), 'creationDate', NULL, 'topicName', 'likes', 'timestamp', ts_ms,
         'userId', CAST(person_id AS VARCHAR)) AS VARCHAR) AS value FROM likes""",
     "encode_tuple": "SELECT '(' || window_end_ms || ',' || updates || ')' AS value FROM digest",
+    "encode_digest_pages": """SELECT '(' || window_end_ms || ',' || updates || ',' || page || ',' ||
+        count(*) OVER (PARTITION BY as_of_ms) || ')' AS value FROM digest""",
     "decode_tuple": "SELECT as_of_ms + 1800000 AS window_end_ms, post_id, metric, n FROM activity",
     "epoch_ms": """SELECT event_id, epoch_ms(date_trunc('second', ts)) AS second_ms,
         epoch_ms(date_trunc('millisecond', ts)) AS milli_ms, CAST(NULL AS BIGINT) AS wrong_form_ms FROM events""",
@@ -279,7 +281,6 @@ BODIES = {
             WHERE reply_to_post IS NULL AND comment_id NOT IN (SELECT comment_id FROM kept)""",
     "parse_tags": """SELECT page_id, CAST(len(t) AS BIGINT) AS n_tags, array_to_string(t, ',') AS tags
         FROM (SELECT page_id, regexp_extract_all(url, '[0-9]+', 0) AS t FROM pages)""",
-    "arrival_order": "SELECT event_id, ts_ms, arrival_ms FROM all_arrivals ORDER BY arrival_ms, event_id",
     "late_rows": """SELECT event_id, ts_ms, arrival_ms, latest - 600000 AS watermark_ms,
             latest - 600000 - ts_ms AS lateness_ms
         FROM (SELECT *, max(ts_ms) OVER (ORDER BY arrival_ms, event_id
@@ -320,6 +321,27 @@ BODIES = {
         FROM doc_tokens""",
     "bad_words": f"""SELECT doc_id, CAST(len(list_filter(t, lambda x: lower(x) IN ({WORDS}))) AS BIGINT) AS n_bad
         FROM doc_tokens""",
+    "bad_words_lexicon": """SELECT doc_id, CAST(len(list_filter(t, lambda x: list_contains(words, lower(x)))) AS BIGINT) AS n_bad
+        FROM doc_tokens, (SELECT list(DISTINCT lower(w)) AS words FROM (SELECT unnest(t) AS w FROM bench_tokens) WHERE w <> '')""",
+    "prep_roundtrip": """SELECT 'post' AS source, concat_ws('|', ts_ms, post_id, person_id, '-', '10.0.0.' || post_id, 'Firefox', 'fr',
+            '  Où ça? „' || post_id || '“ ', post_id || ',' || (post_id + 1), post_id % 10, '-') AS row FROM raw_kept_posts
+        UNION ALL SELECT 'comment', concat_ws('|', ts_ms, comment_id, person_id, '-', 'Chrome', 'ja: ''né'' "x" \\ ' || comment_id,
+            coalesce(CAST(reply_to_post AS VARCHAR), '-'), coalesce(CAST(reply_to_comment AS VARCHAR), '-'), 7) FROM raw_kept
+        UNION ALL SELECT 'like', concat_ws('|', ts_ms, person_id, post_id) FROM raw_likes_seen WHERE reason IS NULL
+        UNION ALL SELECT 'member', concat_ws('|', forum_id, person_id, '2010-03-11T08:00:00Z') FROM member
+        UNION ALL SELECT 'moderator', concat_ws('|', forum_id, person_id) FROM moderator
+        UNION ALL SELECT 'person', concat_ws('|', person_id, 'Zoë ' || person_id, 'Müller', 'x', birth_year || '-04-01', '-', browser,
+            birth_year) FROM person
+        UNION ALL SELECT 'interest', concat_ws('|', person_id, tag) FROM interest
+        UNION ALL SELECT 'language', concat_ws('|', person_id, language) FROM lang
+        UNION ALL SELECT 'knows', concat_ws('|', a, b) FROM knows
+        UNION ALL SELECT 'reject', concat_ws('|', 'post', post_id, 'order_broken') FROM raw_posts_seen WHERE ts_ms < latest
+        UNION ALL SELECT 'reject', concat_ws('|', 'like', person_id || ':' || post_id || ':' || ts_ms, reason) FROM raw_likes_seen
+            WHERE reason IS NOT NULL
+        UNION ALL SELECT 'reject', concat_ws('|', 'comment', comment_id, CASE WHEN reply_to_post IS NULL THEN 'missing_parent'
+            WHEN post_ms IS NULL THEN 'missing_post' ELSE 'post_after_child' END) FROM raw_comments_in
+            WHERE comment_id NOT IN (SELECT comment_id FROM raw_kept)""",
+    "aff_top5_many": """SELECT window_end_ms, selected_id, rank, candidate_id, CAST(score AS DOUBLE) AS score FROM m_top""",
     "word_counts": """SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(t) AS word FROM doc_tokens)
         GROUP BY ALL""",
     "feat_post_uniq": _features("f0"),
@@ -420,6 +442,64 @@ PARTS["s_days"] = f"""SELECT feature_id, unnest(range((min(ts_ms) // {DAY_MS} +
 PARTS["s_daily"] = """SELECT d.feature_id, d.day_ms, v.person_id, arg_max(v.value, (v.ts_ms, v.event_id)) AS value
     FROM s_days d JOIN s_valued v ON v.feature_id = d.feature_id AND v.ts_ms < d.day_ms GROUP BY ALL"""
 PARTS["s_stats"] = """SELECT feature_id, day_ms, count(*) AS n_people, avg(value) AS mean, stddev_pop(value) AS sd FROM s_daily GROUP BY ALL"""
+PARTS["bench_tokens"] = PARTS["doc_tokens"].replace("doc_id, ", "").replace("FROM doc_body", """FROM
+    (SELECT text, rtrim(text, E' \\t\\n\\x0B\\f\\r') AS body FROM benchmark)""")
+# Raw files keep whole seconds of posts and comments.
+PARTS["raw_posts_at"] = """SELECT post_id, person_id, ts_ms // 1000 * 1000 AS ts_ms,
+    ts_ms + (300 + post_id * 7919 % 2700) * 1000 AS arrival_ms FROM posts"""
+PARTS["raw_posts_seen"] = """SELECT *, max(ts_ms) OVER (ORDER BY arrival_ms, post_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM raw_posts_at"""
+PARTS["raw_kept_posts"] = "SELECT * FROM raw_posts_seen WHERE latest IS NULL OR ts_ms >= latest"
+PARTS["raw_likes_in"] = """SELECT l.*, ts_ms + (300 + like_id * 7919 % 2700) * 1000 AS arrival_ms,
+    (SELECT p.ts_ms FROM raw_kept_posts p WHERE p.post_id = l.post_id) AS post_ms FROM likes l"""
+PARTS["raw_likes_seen"] = """SELECT *, CASE WHEN ts_ms < latest THEN 'order_broken' WHEN post_ms IS NULL THEN 'missing_post'
+        WHEN post_ms >= ts_ms THEN 'post_after_child' END AS reason
+    FROM (SELECT *, max(CASE WHEN post_ms < ts_ms THEN ts_ms END) OVER (ORDER BY arrival_ms, like_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM raw_likes_in)"""
+PARTS["raw_comments_in"] = """SELECT c.comment_id, c.person_id, ts_ms // 1000 * 1000 AS ts_ms, reply_to_post, reply_to_comment,
+    ts_ms + (300 + comment_id * 7919 % 2700) * 1000 AS arrival_ms,
+    (SELECT p.ts_ms FROM raw_kept_posts p WHERE p.post_id = c.reply_to_post) AS post_ms FROM comments c"""
+PARTS["raw_kept"] = """SELECT comment_id, person_id, ts_ms, reply_to_post, reply_to_comment, arrival_ms FROM raw_comments_in
+        WHERE reply_to_post IS NOT NULL AND post_ms < ts_ms
+    UNION ALL
+    SELECT c.comment_id, c.person_id, c.ts_ms, c.reply_to_post, c.reply_to_comment, c.arrival_ms
+    FROM raw_comments_in c JOIN raw_kept k ON c.reply_to_comment = k.comment_id
+    WHERE c.reply_to_post IS NULL
+      AND (k.arrival_ms < c.arrival_ms OR (k.arrival_ms = c.arrival_ms AND k.comment_id < c.comment_id))"""
+# Suggestions for a market segment, with ids that are texts, over windows of a day.
+PARTS["m_sel"] = "SELECT person_id AS s FROM person WHERE browser = 'BUILDING'"
+PARTS["m_units"] = """SELECT a.person_id AS s, b.person_id AS c, 'sameForumMember' AS feature FROM member a
+        JOIN m_sel ON a.person_id = s JOIN member b USING (forum_id)
+    UNION ALL SELECT a.person_id, b.person_id, 'sameForumModerator' FROM (SELECT DISTINCT * FROM moderator) a
+        JOIN m_sel ON a.person_id = s JOIN moderator b USING (forum_id)
+    UNION ALL SELECT a.person_id, b.person_id, 'sameForumMemberModerator' FROM (SELECT DISTINCT * FROM moderator) a
+        JOIN m_sel ON a.person_id = s JOIN member b USING (forum_id)
+    UNION ALL SELECT a.person_id, b.person_id, 'sameForumMemberModerator' FROM member a
+        JOIN m_sel ON a.person_id = s JOIN moderator b USING (forum_id)
+    UNION ALL SELECT a.person_id, b.person_id, 'sameAge' FROM person a JOIN m_sel ON a.person_id = s
+        JOIN person b ON abs(a.birth_year - b.birth_year) <= 5
+    UNION ALL SELECT a.person_id, b.person_id, 'sameBrowser' FROM person a JOIN m_sel ON a.person_id = s JOIN person b ON a.browser = b.browser
+    UNION ALL SELECT a.person_id, b.person_id, 'sameInterestTag' FROM interest a JOIN m_sel ON a.person_id = s JOIN interest b USING (tag)
+    UNION ALL SELECT a.person_id, b.person_id, 'sameLanguage' FROM (SELECT DISTINCT * FROM lang) a
+        JOIN m_sel ON a.person_id = s JOIN lang b USING (language)"""
+PARTS["m_static"] = """SELECT s, c, sum(n * weight) AS score FROM (SELECT s, c, feature, count(*) AS n FROM m_units GROUP BY ALL)
+    JOIN weights USING (feature) GROUP BY ALL"""
+PARTS["m_acts"] = f"""SELECT feature, p, target, (ts_ms // {DAY_MS} + 1) * {DAY_MS} AS window_end_ms FROM (
+    SELECT feature, p, target, ts_ms FROM acts WHERE feature <> 'commentedSameComment')"""
+PARTS["m_co"] = """SELECT a.window_end_ms, b.s, a.p AS c, sum(weight) AS score FROM m_acts a
+    JOIN (SELECT DISTINCT feature, p AS s, target, window_end_ms FROM m_acts WHERE p IN (SELECT s FROM m_sel)) b
+        USING (feature, target, window_end_ms) JOIN weights USING (feature) WHERE a.p <> b.s GROUP BY ALL"""
+PARTS["m_own"] = f"""SELECT window_end_ms, p AS c, max(active) + sum(post) * any_value(author) AS base FROM (
+        SELECT (ts_ms // {DAY_MS} + 1) * {DAY_MS} AS window_end_ms, user_id AS p, CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS post,
+            (SELECT weight FROM weights WHERE feature = 'active') AS active, (SELECT weight FROM weights WHERE feature = 'authorActive') AS author
+        FROM ev WHERE event_type IN ('signup', 'click', 'purchase')) GROUP BY ALL"""
+PARTS["m_scored"] = """SELECT window_end_ms, s, c, sum(score) AS score, bool_or(acted) AS acted FROM (
+        SELECT window_end_ms, s, c, base AS score, true AS acted FROM m_own, m_sel
+        UNION ALL SELECT window_end_ms, s, c, score, true FROM m_co
+        UNION ALL SELECT window_end_ms, s, c, score, false FROM m_static, (SELECT DISTINCT window_end_ms FROM m_own)) GROUP BY ALL"""
+PARTS["m_top"] = """SELECT window_end_ms, 'p' || s AS selected_id, rank, 'p' || c AS candidate_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY window_end_ms, s ORDER BY score DESC, 'p' || c) AS rank FROM m_scored x
+    WHERE s <> c AND NOT EXISTS (SELECT 1 FROM friend f WHERE f.s = x.s AND f.c = x.c)) WHERE rank <= 5"""
 PARTS["unit_counts"] = """SELECT post_id, metric, ts_ms, max(n) AS n FROM (SELECT post_id, metric, ts_ms, count(*) OVER
         (PARTITION BY post_id, metric ORDER BY ts_ms) AS n FROM units) GROUP BY ALL"""
 

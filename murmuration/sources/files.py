@@ -69,6 +69,33 @@ def _csv(spark: SparkSession, encoding: str, header: bool):
     )
 
 
+# Header names of the input files where they differ from the columns' own; friendships
+# name both columns alike.
+HEADERS = {
+    "like": ("Person.id", "Post.id", "creationDate"), "member": ("Forum.id", "Person.id", "joinDate"),
+    "moderator": ("Forum.id", "Person.id"), "interest": ("Person.id", "Tag.id"), "language": ("Person.id", "language"),
+    "knows": ("Person.id", "Person.id"),
+}
+
+
+def write_raw(df: DataFrame, out_dir: str, table: str) -> None:
+    """Write a table in the layout of the raw input: header, ``|`` between fields, the file's encoding.
+
+    Rows of ``df`` lie in the files in its order, so sort it first where that matters. Fields are
+    written as they are; a text with ``|`` or line ends cannot be told apart and is refused.
+    """
+    spec = INPUTS[table]
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in spec.columns]
+    line = F.concat_ws("|", *fields)
+    unfit = F.exists(F.array(*fields), lambda x: x.rlike(r"[|\n\r]"))
+    checked = F.when(unfit, F.raise_error(F.concat(F.lit("field with a separator in "), line)).cast("string")).otherwise(line)
+    # One text column whose name is the header line: a CSV header may name two columns alike.
+    header = "|".join(HEADERS.get(table, spec.columns))
+    df.select(checked.alias(header)).write.option("header", "true").option("sep", "\x01").option("quote", "").option("escape", "") \
+        .option("emptyValue", "").option("encoding", spec.encoding).option("ignoreLeadingWhiteSpace", "false") \
+        .option("ignoreTrailingWhiteSpace", "false").csv(f"{out_dir}/{spec.path}")
+
+
 def read_raw(spark: SparkSession, in_dir: str, table: str, file_order: bool = False) -> DataFrame:
     """A raw input file; empty fields become null.
 
@@ -87,11 +114,6 @@ def read_raw(spark: SparkSession, in_dir: str, table: str, file_order: bool = Fa
     )
 
 
-def read_knows(spark: SparkSession, in_dir: str) -> DataFrame:
-    """Friendships. The file names both columns alike, so they are bound by position."""
-    return read_raw(spark, in_dir, "knows")
-
-
 def clean_columns(table: str) -> list[str]:
     spec = INPUTS[table]
     return (["ts_ms"] if spec.is_stream else []) + list(spec.columns)
@@ -140,14 +162,18 @@ def with_like_id(likes: DataFrame) -> DataFrame:
     return likes.withColumn("like_id", F.concat_ws(":", "person_id", "post_id", "ts_ms"))
 
 
+def lexicon_table(spark: SparkSession, path: str, key: str = "BAD_WORDS") -> DataFrame:
+    """The words of such a file as a table (word), for lexicons of any size."""
+    words = spark.read.option("multiLine", "true").schema(f"{key} array<string>").json(path)
+    return words.select(F.explode(key).alias("word")).select(F.lower("word").alias("word")).distinct()
+
+
 def read_lexicon(spark: SparkSession, path: str, key: str = "BAD_WORDS") -> list[str]:
     """Word list from a JSON file ``{"BAD_WORDS": [...]}``, lower-cased, without repeats.
 
     The list is a setting that goes into expressions, so it is brought to the driver.
     """
-    words = spark.read.option("multiLine", "true").schema(f"{key} array<string>").json(path)
-    listed = words.select(F.explode(key).alias("w")).select(F.lower("w").alias("w")).distinct()
-    return sorted(r.w for r in listed.collect())
+    return sorted(r.word for r in lexicon_table(spark, path, key).collect())
 
 
 def read_properties(path: str) -> dict[str, str]:

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmuration.functions.timing import epoch_ms
+from murmuration.operators.quality import with_arrival
 from murmuration.operators.scan import prefix_scan
-from murmuration.params import DAY_MS, MINUTE_MS
+from murmuration.params import DAY_MS, MINUTE_MS, Params
 
 # People for whom suggestions are made on the test tables.
 SELECTED = tuple(range(10))
@@ -172,3 +173,31 @@ class PeopleTables:
             F.col("c_custkey").alias("person1_id"),
             ((F.col("c_custkey") * 17 + 3) % self._n_people()).alias("person2_id"),
         ).filter("person1_id <> person2_id")
+
+
+def raw_inputs(a: EngagementTables, c: PeopleTables) -> dict[str, DataFrame]:
+    """The tables under the columns of the nine raw files; streams lie in the order of their arrival."""
+    def arriving(df: DataFrame, id_col: str, fmt: str) -> DataFrame:
+        at = F.date_format(F.timestamp_millis("ts_ms"), fmt)
+        rows = with_arrival(df, id_col, Params().min_delay_s, Params().max_delay_s).withColumn("creation_date", at)
+        return rows.orderBy("arrival_ms", id_col)
+
+    second, milli = "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+    none = F.lit(None).cast("string")
+    k = F.col("post_id")
+    posts = arriving(a.posts(), "post_id", second).withColumns({
+        "image_file": none, "location_ip": F.concat(F.lit("10.0.0."), k), "browser": F.lit("Firefox"), "language": F.lit("fr"),
+        "content": F.concat(F.lit("  Où ça? „"), k, F.lit("“ ")), "tags": F.concat(F.lit("["), k, F.lit(", "), k + 1, F.lit("]")),
+        "forum_id": k % 10, "place_id": none})
+    comments = arriving(a.comments(), "comment_id", second).withColumns({
+        "location_ip": none, "browser": F.lit("Chrome"), "place_id": F.lit("7"),
+        "content": F.concat(F.lit("ja: 'né' \"x\" \\ "), F.col("comment_id"))})
+    joined = F.lit("2010-03-11T08:00:00Z")
+    person = c.person().withColumns({
+        "first_name": F.concat(F.lit("Zoë "), F.col("person_id")), "last_name": F.lit("Müller"), "gender": F.lit("x"),
+        "birthday": F.concat("birth_year", F.lit("-04-01")), "creation_date": joined, "location_ip": none})
+    return {
+        "post": posts, "comment": comments, "like": arriving(a.likes(), "like_id", milli),
+        "member": c.member().withColumn("join_date", joined), "moderator": c.moderator(), "person": person,
+        "interest": c.interest(), "language": c.language(), "knows": c.knows(),
+    }

@@ -26,6 +26,14 @@ def read_topic(spark: SparkSession, topic: str, options: dict[str, str], fmt: st
     return spark.readStream.format(fmt).schema("value string").options(**rest).load(f"{options['path']}/{topic}")
 
 
+def to_console(df: DataFrame, checkpoint: str, rows: int = 20, once: bool = False) -> StreamingQuery:
+    """Show a stream's new rows on the driver's console, ``rows`` of each micro-batch: for a look at a running job."""
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).format("console")
+    if once:
+        writer = writer.trigger(availableNow=True)
+    return writer.option("numRows", rows).option("truncate", "false").start()
+
+
 def write_topic(
     df: DataFrame, topic: str, options: dict[str, str], checkpoint: str, fmt: str = "kafka", once: bool = False
 ) -> StreamingQuery:

@@ -81,8 +81,10 @@ class SuggestionJob:
 
     def __init__(self, spark: SparkSession, state_dir: str, static: DataFrame, knows: DataFrame, p: Params = Params(),
                  inputs: tuple[str, ...] = ("post", "like", "comment"), id_type: str = "long",
-                 on_ranked: Callable[[DataFrame, int], None] | None = None, idle_s: float | None = None):
+                 on_ranked: Callable[[DataFrame, int], None] | None = None, idle_s: float | None = None,
+                 selected: DataFrame | None = None):
         self.spark, self.p, self.on_ranked = spark, p, on_ranked
+        self.selected = None if selected is None else materialize(selected, "selected")
         # The static side stays the same for all batches: it is computed once.
         self.static, self.knows = materialize(static, "static"), materialize(knows, "knows")
         self.clock = Clock(inputs, 1000 * p.max_delay_s, idle_s)
@@ -111,9 +113,9 @@ class SuggestionJob:
             reach = 2 * p.window_ms - p.slide_ms
             slices = state.read("slices")
             past = slices.filter(F.col("ts_ms") < closed)
-            scores = affinity.activity_scores(past, p).filter(
+            scores = affinity.activity_scores(past, p, self.selected).filter(
                 (F.col("window_end_ms") > F.lit(done or 0)) & (F.col("window_end_ms") <= closed))
-            self.suggestions.write(affinity.suggest(scores, self.static, self.knows, p), batch_id)
+            self.suggestions.write(affinity.suggest(scores, self.static, self.knows, p, self.selected), batch_id)
             state.replace("slices", slices.filter(F.col("ts_ms") >= closed + p.slide_ms - reach))
             state.notes["done"] = closed
         state.commit()

@@ -98,7 +98,7 @@ def start_activity(
 
 def start_suggestions(
     spark: SparkSession, source: Topics, run: Run, static: DataFrame, knows: DataFrame,
-    sink: Topics | None = None, topic: str = "suggestions", id_type: str = "long",
+    sink: Topics | None = None, topic: str = "suggestions", id_type: str = "long", selected: DataFrame | None = None,
 ) -> StreamingQuery:
     """Suggestions per closed window in ``work_dir/suggestions/state/suggestions``, and as text to
     ``topic`` of ``sink``. Ids that are no numbers need ``id_type`` string."""
@@ -111,12 +111,12 @@ def start_suggestions(
     kinds = [source.events(spark, k).withColumn("topic", F.lit(k)) for k in ("post", "like", "comment")]
     rows = affinity.activity_rows(*kinds, "topic").withColumn("person_id", F.col("person_id").cast(id_type))
     body = SuggestionJob(spark, f"{run.work_dir}/suggestions/state", static, knows, run.params, id_type=id_type,
-                         on_ranked=send, idle_s=run.idle_s)
+                         on_ranked=send, idle_s=run.idle_s, selected=selected)
     return run.start(rows, "suggestions", body)
 
 
 def start_outliers(
-    spark: SparkSession, source: Topics, run: Run, lexicon: Collection[str],
+    spark: SparkSession, source: Topics, run: Run, lexicon: Collection[str] | DataFrame,
     sink: Topics | None = None, topic: str = "outliers",
 ) -> StreamingQuery:
     """Statistics and outliers per closed day in ``work_dir/outliers/state``, and as text: those at

@@ -141,7 +141,7 @@ class OutlierJob:
     INPUTS = ({features.POST_UNIQ, features.POST_BAD},
               {features.COMMENT_UNIQ, features.COMMENT_BAD, features.COMMENT_VOCAB}, {features.LIKE_SPREAD})
 
-    def __init__(self, spark: SparkSession, state_dir: str, lexicon: Collection[str], p: Params = Params(),
+    def __init__(self, spark: SparkSession, state_dir: str, lexicon: Collection[str] | DataFrame, p: Params = Params(),
                  on_closed: Callable[[DataFrame, DataFrame, int], None] | None = None, idle_s: float | None = None):
         self.spark, self.lexicon, self.on_closed = spark, lexicon, on_closed
         self.authors = LikedAuthors(spark, f"{state_dir}/authors")
