@@ -305,9 +305,14 @@ def frequent_phrases(docs: DataFrame, limits: Limits = Limits(), lang: str = "la
     found, count = _frequent(words, 1, limits)
     for k in range(2, limits.longest + 1):
         frequent = spark.sparkContext.broadcast(Sieve.of(found, count, limits))
-        mined = _mine(made, k, frequent, limits).groupBy("part", "h").agg(F.sum("n").alias("n"))
+        # Dealt by phrase once: its counts in each shard, then those of all shards together, which can
+        # only be too high, where hashes meet.
+        dealt = _mine(made, k, frequent, limits).repartition("h")
+        in_shards = dealt.groupBy("h", "part").agg(F.sum("n").alias("n"))
         # As many rows of supports as there are shards and languages: Spark sends them along if they are few.
-        union = mined.join(lowered, "part").where(F.col("n") >= F.col("support")).select("h")
+        union = in_shards.join(lowered, "part").groupBy("h").agg(
+            F.sum("n").alias("f"), F.bool_or(F.col("n") >= F.col("support")).alias("somewhere")
+        ).where(F.col("somewhere") & (F.col("f") >= limits.support)).select("h")
         path, size = write_counting(union, f"candidates-{k}", F.lit(True))
         candidates = spark.sparkContext.broadcast(Sieve.of(spark.read.schema("h long").parquet(path), size, limits))
         # What only the bitmap lets through is counted whole, too, and stays below the support.
