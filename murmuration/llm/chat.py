@@ -173,3 +173,37 @@ def digest(pages: DataFrame) -> DataFrame:
 def format_chats(log: DataFrame, page: int = PAGE) -> DataFrame:
     """The log's conversations, reconstructed and rendered: see ``render``."""
     return render(messages(log, page), page)
+
+
+#: Sequence numbers that a turn takes in ``as_streamed``.
+STEPS = 8
+
+
+def as_streamed(turns: DataFrame) -> DataFrame:
+    """A log (conv_id, seq, kind, message, role, text) from which ``messages`` makes these turns.
+
+    By a hash of conversation and turn a turn is one message; an empty message and the deltas of
+    its text; a draft that an edit corrects; or a draft with a wrong delta that is generated again.
+    Turns without a number, and those that share one, are whole messages without an id: nothing
+    could tell their events apart.
+    """
+    rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    same = F.count("*").over(Window.partitionBy("conv_id", "turn"))
+    whole = F.col("turn").isNull() | (F.col("n") > 1)
+    form = F.when(whole, -1).otherwise(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4)).cast("int"))
+    size = F.char_length("text")
+    third = F.floor(size / 3).cast("int")
+    first, rest = F.substr("text", F.lit(1), third), F.substr("text", third + 1, size)
+    middle, last = F.substr(rest, F.lit(1), third), F.substr(rest, third + 1, size)
+    draft = F.concat(first, F.lit("… no, wait"))
+
+    def events(*steps: tuple[str, Column]) -> Column:
+        return F.array(*[F.struct(F.lit(i).alias("step"), F.lit(kind).alias("kind"), text.alias("text")) for i, (kind, text) in enumerate(steps)])
+
+    made = F.when(form <= 0, events(("message", F.col("text")))) \
+        .when(form == 1, events(("message", F.lit("")), ("delta", first), ("delta", middle), ("delta", last))) \
+        .when(form == 2, events(("message", draft), ("delta", last), ("edit", first), ("delta", rest))) \
+        .otherwise(events(("message", draft), ("delta", middle), ("regenerate", F.lit(None).cast("string")), ("delta", first), ("delta", rest)))
+    return rows.withColumn("n", same).select("conv_id", "turn", "role", whole.alias("whole"), F.explode(made).alias("e")).select(
+        "conv_id", (F.col("turn") * STEPS + F.col("e.step")).alias("seq"), F.col("e.kind").alias("kind"),
+        F.when(~F.col("whole"), F.col("turn")).alias("message"), "role", F.col("e.text").alias("text"))

@@ -44,9 +44,7 @@ def op3_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)],
                                   "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
-    log = turns.select("conv_id", F.col("turn").alias("seq"), F.lit("message").alias("kind"),
-                       F.lit(None).cast("long").alias("message"), "role", "text")
-    return chat.digest(chat.format_chats(log))
+    return chat.digest(chat.format_chats(chat.as_streamed(turns), chat.PAGE * chat.STEPS))
 
 
 def op4_weighted_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:

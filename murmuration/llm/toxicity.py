@@ -16,7 +16,9 @@ are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import itertools
 import math
 import re
 from collections import Counter
@@ -110,8 +112,12 @@ def matches(text: list[str], model: Model) -> dict[int, float]:
         elif weight > found.get(start, 0.0):
             found[start] = weight
     if excepted:
-        # A word belongs to a phrase if it starts in it before the phrase's last space.
-        found = {at: w for at, w in found.items() if not any(a <= at < b for a, b in excepted)}
+        # A word belongs to a phrase if it starts in it before the phrase's last space. Of the phrases that
+        # start at or before a word, the one that reaches furthest decides.
+        excepted.sort()
+        starts = [a for a, _ in excepted]
+        reach = list(itertools.accumulate((b for _, b in excepted), max))
+        found = {at: w for at, w in found.items() if not (i := bisect.bisect_right(starts, at)) or at >= reach[i - 1]}
     return found
 
 

@@ -191,6 +191,18 @@ def test_chat(spark, page):
     assert chat.digest(chat.format_chats(log.limit(0))).count() == 0
 
 
+def test_the_querys_log_goes_through_the_fold(spark):
+    turns = spark.createDataFrame([(c, t, "user" if t % 2 else "assistant", f"text {t} of é\U0001f600 {c}" * (t % 4)) for c in range(30) for t in range(9)]
+                                  + [(77, None, "user", "x"), (77, 3, "user", "y"), (77, 3, "user", "y"), (None, 2, None, None)],
+                                  "conv_id long, turn int, role string, text string")
+    log = chat.as_streamed(turns)
+    assert {r.kind: r["count"] for r in log.groupBy("kind").count().collect()}.keys() == {"message", "delta", "edit", "regenerate"}
+    found = sorted(((r.conv_id, r.role, r.text) for r in chat.messages(log, 16).collect()), key=str)
+    assert found == sorted(((r.conv_id, r.role or "", r.text or "") for r in turns.collect()), key=str)
+    order = [r.text for r in chat.messages(log).where("conv_id = 5").orderBy("seq").collect()]
+    assert order == [r.text for r in turns.where("conv_id = 5").orderBy("turn").collect()]
+
+
 # op4
 
 def test_folding_and_matching():
@@ -217,6 +229,32 @@ def test_toxicity_learns_and_holds_out(spark):
     assert toxicity.score_documents(docs.limit(0), labels).count() == 0
 
 
+def test_matches_equal_a_plain_search():
+    draw = random.Random(21)
+    for _ in range(300):
+        vocabulary = ["ab", "abc", "abcd", "b", "bc", "not", "so"]
+        lexicon = {f" {w} " if draw.random() < 0.5 else f" {w}": draw.choice([0.5, 1.0, 2.0]) for w in draw.sample(vocabulary, 3)}
+        exceptions = tuple({f" {' '.join(draw.choice(vocabulary) for _ in range(draw.randint(1, 3)))} " for _ in range(draw.randint(0, 4))})
+        model = toxicity.Model(lexicon, exceptions, ())
+        parts = [draw.choice(vocabulary) for _ in range(draw.randint(0, 25))]
+        whole = f" {' '.join(parts)} "
+        covered = {i for e in exceptions for at in range(len(whole)) if whole.startswith(e, at) for i in range(at, at + len(e) - 1)}
+        plain = {}
+        for at in range(len(whole)):
+            heavy = [w for e, w in lexicon.items() if whole.startswith(e, at)]
+            if heavy and at not in covered and parts:
+                plain[at] = max(heavy)
+        assert toxicity.matches(parts, model) == plain
+
+
+def test_exceptions_of_a_long_text_take_linear_time():
+    import time
+    model = toxicity.Model({" bad ": 1.0}, (" not bad ",), ())
+    begin = time.process_time()
+    assert len(toxicity.matches(["not", "bad", "bad"] * 200_000, model)) == 200_000
+    assert time.process_time() - begin < 10
+
+
 # op5
 
 def _lz78(text: str) -> list[str]:
