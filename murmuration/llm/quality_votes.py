@@ -126,15 +126,16 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         (F.char_length(t) - F.char_length(_without(t, ENDINGS))).alias("n_endings"),
         F.regexp_count(t, F.lit(LETTERLESS)).alias("n_letterless"), F.regexp_count(t, F.lit(PLAIN)).alias("n_plain"))
     w, n = F.col("w"), F.size("w")
-    # Each window of three words as (hash, place); equal ones lie side by side after sorting.
-    windows = F.transform(F.slice(w, F.lit(1), F.greatest(n - 2, F.lit(0))),
-                          lambda x, i: F.struct(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("i")))
+    windows = F.transform(F.slice(w, F.lit(1), F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
     counted = split.select(
         "doc_id", n.alias("n_words"), "word_chars", "n_symbols", "letters", "uppers", "n_endings", "n_letterless", "n_plain",
         F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.size(F.filter("lines", lambda line: F.substring(F.rtrim(line, F.lit(SPACE + CLOSING)), -1, 1).isin(list(ENDINGS)))).alias("n_ended"),
         F.size(F.array_distinct(w)).alias("n_unique"), F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop"),
-        F.sort_array(windows).alias("s"))
+        windows.alias("h"))
+    # Windows of three words as (hash, place), equal ones side by side; most texts have no equal ones.
+    paired = F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    counted = counted.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), paired).otherwise(F.array().cast("array<struct<h: bigint, i: int>>"))).drop("h")
     s = F.col("s")
     repeated = F.filter(s, lambda x, i: (F.get(s, i + 1)["h"] == x["h"]) | ((i > 0) & (F.get(s, F.greatest(i - 1, F.lit(0)))["h"] == x["h"])))
     placed = counted.withColumn("at", F.sort_array(F.transform(repeated, lambda x: x["i"]))).drop("s")
