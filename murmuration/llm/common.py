@@ -69,6 +69,12 @@ def arrow_batches(spark: SparkSession, size: str) -> Iterator[None]:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose DataFrames are gone: it does so when the
+    driver's JVM collects its garbage, which a driver with little to do puts off."""
+    spark._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 
