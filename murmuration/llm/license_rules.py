@@ -4,12 +4,14 @@ A rule matches on a text's words: lower case, joined by single spaces. ``NAMES``
 each licence, its label, a keyword without which no rule of it can match, and hand-written
 patterns of its names (``(v)`` stands for an optional version word). The keyword begins at
 a word's start. From each name come
-the forms in which licences are given: the bare name, a grant ("licensed under the ..."),
-and a tag. ``TEXTS`` are passages of licence texts themselves.
+the forms in which licences are given: the bare name and a grant ("licensed under the ...").
+``IDS`` are short identifiers; many are ordinary words, so they count in a tag, a grant or with
+the word licence alone. ``TEXTS`` are passages of licence texts themselves.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 
@@ -156,6 +158,77 @@ wxwindows | wxwindows | wxwindows library licen[sc]e
 xnet | x net | x net license
 """
 
+#: SPDX identifiers: label | identifiers. Fixed values.
+IDS = """
+mit | MIT | X11 | MIT-Modern-Variant
+mit-0 | MIT-0
+apache-2 | Apache-2.0
+apache-1.1 | Apache-1.1
+apache-1.0 | Apache-1.0
+bsd-0-clause | 0BSD
+bsd-2-clause | BSD-2-Clause
+bsd-3-clause | BSD-3-Clause
+bsd-4-clause | BSD-4-Clause
+gpl-1 | GPL-1.0 | GPL-1.0-only | GPL-1.0-or-later
+gpl-2 | GPL-2.0
+gpl-2-only | GPL-2.0-only
+gpl-2-or-later | GPL-2.0-or-later
+gpl-3 | GPL-3.0
+gpl-3-only | GPL-3.0-only
+gpl-3-or-later | GPL-3.0-or-later
+lgpl-2 | LGPL-2.0-only | LGPL-2.0-or-later
+lgpl-2.1 | LGPL-2.1 | LGPL-2.1-only | LGPL-2.1-or-later
+lgpl-3 | LGPL-3.0 | LGPL-3.0-only | LGPL-3.0-or-later
+agpl-3 | AGPL-3.0 | AGPL-3.0-only | AGPL-3.0-or-later
+gfdl-1.1 | GFDL-1.1-only | GFDL-1.1-or-later
+gfdl-1.2 | GFDL-1.2-only | GFDL-1.2-or-later
+gfdl-1.3 | GFDL-1.3-only | GFDL-1.3-or-later
+mpl-1.0 | MPL-1.0
+mpl-1.1 | MPL-1.1
+mpl-2.0 | MPL-2.0
+epl-1.0 | EPL-1.0
+epl-2.0 | EPL-2.0
+cddl-1.0 | CDDL-1.0
+cddl-1.1 | CDDL-1.1
+cpl-1.0 | CPL-1.0
+cpal-1.0 | CPAL-1.0
+ipl-1.0 | IPL-1.0
+eupl-1.1 | EUPL-1.1
+eupl-1.2 | EUPL-1.2
+osl-2.1 | OSL-2.1
+osl-3.0 | OSL-3.0
+afl-2.1 | AFL-2.1
+afl-3.0 | AFL-3.0
+ecl-2.0 | ECL-2.0
+artistic-1.0 | Artistic-1.0
+artistic-2.0 | Artistic-2.0
+isc | ISC
+zlib | Zlib
+libpng | Libpng
+bsl-1.0 | BSL-1.0
+python-2.0 | Python-2.0 | PSF-2.0
+php-3.01 | PHP-3.01
+ruby | Ruby
+postgresql | PostgreSQL
+openssl | OpenSSL
+openldap | OLDAP-2.8
+curl | curl
+ncsa | NCSA
+w3c | W3C
+unicode | Unicode-DFS-2016 | Unicode-3.0
+unlicense | Unlicense
+wtfpl | WTFPL
+ms-pl | MS-PL
+ms-rl | MS-RL
+cc0-1.0 | CC0-1.0
+cc-by | CC-BY-3.0 | CC-BY-4.0
+cc-by-sa | CC-BY-SA-3.0 | CC-BY-SA-4.0
+cc-by-nd | CC-BY-ND-4.0
+cc-by-nc | CC-BY-NC-4.0
+cc-by-nc-sa | CC-BY-NC-SA-4.0
+cc-by-nc-nd | CC-BY-NC-ND-4.0
+"""
+
 #: Passages of licence texts and hints: label | priority | keyword | pattern
 TEXTS = r"""
 mit | 1 | granted free of charge | permission is hereby granted free of charge to any person obtaining a copy of this software
@@ -194,16 +267,35 @@ copyright | 2 | copyright | copyright( c)? (19|20)[0-9]{2}( (19|20)?[0-9]{2})?
 """
 
 
+_GRANT = r"(?:licen[sc]ed|distributed|released|available|published|provided) (?:to you )?under"
+
+
+def _id_rules(label: str, name: str) -> list[Rule]:
+    """The forms of an identifier: a tag, also in an expression of several, grants, and with the word licence."""
+    words = re.sub(r"[^a-z0-9]+", " ", name.lower())
+    behind = rf"{words}(?: licen[sc]e)?"
+    return [
+        Rule(label, 0, "spdx license identifier", rf"spdx license identifier (?:(?:\S+ ){{1,8}}?(?:or|and) ){{0,4}}?{words}"),
+        Rule(label, 0, f"under {words}", rf"{_GRANT} {behind}"),
+        Rule(label, 0, f"under the {words}", rf"{_GRANT} the {behind}"),
+        Rule(label, 0, f"terms of the {words}", rf"{_GRANT} the terms of the {behind}"),
+        Rule(label, 1, f"license {words}", rf"license {words}"),
+        Rule(label, 1, f"{words} licensed", rf"{words} licensed"),
+    ]
+
+
 def build_rules() -> list[Rule]:
     rules = []
+    for line in IDS.strip().splitlines():
+        label, *names = (x.strip() for x in line.split(" | "))
+        for name in names:
+            rules += _id_rules(label, name)
     for line in NAMES.strip().splitlines():
         label, keyword, *names = (x.strip() for x in line.split(" | "))
         for name in names:
             name = name.replace("(v)", _V)
-            rules.append(Rule(label, 0, keyword, rf"spdx license identifier (?:{name})"))
             rules.append(Rule(label, 0, keyword,
-                              rf"(?:licen[sc]ed|distributed|released|available|published|provided) (?:to you )?under "
-                              rf"(?:the |a |an )?(?:terms of )?(?:the |a |an )?(?:{name})(?: licen[sc]e)?"))
+                              rf"{_GRANT} (?:the |a |an )?(?:terms of )?(?:the |a |an )?(?:{name})(?: licen[sc]e)?"))
             rules.append(Rule(label, 1, keyword, rf"(?:{name})"))
     for line in TEXTS.strip().splitlines():
         label, priority, keyword, pattern = (x.strip() for x in line.split(" | ", 3))

@@ -62,7 +62,8 @@ def detect(texts: DataFrame, rules: list[Rule]) -> DataFrame:
         {"rank": i, "label": r.label, "priority": r.priority, "keyword": f" {r.keyword}", "pattern": r.pattern}
         for i, r in enumerate(rules)])), "array<struct<rank: int, label: string, priority: int, keyword: string, pattern: string>>")
     tried = texts.select("row", "words", F.explode(
-        F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("rule"))
+        F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("rule")) \
+        .where(F.rlike("words", F.col("rule.pattern")))
     # What lies between the matches, and the matches, give their places.
     parts = tried.select(
         "row", "rule.rank", "rule.label", "rule.priority",
@@ -92,14 +93,16 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: lis
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     rules = build_rules() if rules is None else rules
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    docs = docs.withColumn("n_words", F.regexp_count("text", F.lit(_WORD)).cast("long"))
+    # The texts are read once: what is written has the words of those that pass the gate.
     gate = F.rlike("text", F.lit(gate_pattern(rules)))
-    nothing = docs.where(~gate).select(
+    read = materialize(docs.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"),
+        F.when(gate, words_of(F.col("text"))).alias("words")), "gated")
+    nothing = read.where("words is null").select(
         "doc_id", "n_words", F.lit(0).cast("long").alias("n_base"), F.lit(None).cast("long").alias("first_word"),
         F.lit(None).cast("long").alias("last_word"), F.lit("").alias("base_labels"), F.lit("").alias("labels"),
         F.lit(0.0).alias("score"))
-    gated = materialize(docs.where(gate).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "n_words", words_of(F.col("text")).alias("words")), "gated")
+    gated = read.where("words is not null")
     kept = unsuppressed(detect(gated.select("row", "words"), rules)).groupBy("row").agg(
         F.collect_set("label").alias("found"), F.min("priority").alias("best"))
     phrase = F.lit(f"(?<= )(?:{'|'.join(PHRASES)})(?= )")

@@ -523,8 +523,42 @@ def test_rules_hold_their_keywords():
         assert re.search(rf"[ (|?:]{re.escape(rule.keyword[:4])}", rule.pattern), rule
 
 
+def test_every_identifier_is_found_in_a_tag_a_grant_and_by_name(spark):
+    names = [(line.split(" | ")[0].strip(), name.strip()) for line in license_rules.IDS.strip().splitlines() for name in line.split(" | ")[1:]]
+    assert len(names) > 70
+    forms = ["// SPDX-License-Identifier: {}", "released under {}", "It is licensed under the {} license.", "License: {}", "{} licensed",
+             "SPDX-License-Identifier: (MIT OR {})"]
+    rows = [(i, form.format(name)) for i, (form, (_, name)) in enumerate((f, n) for f in forms for n in names)]
+    labels = [label for _ in forms for label, _ in names]
+    found = {r.doc_id: r.labels.split(",") for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [i for i, _ in rows if labels[i] not in found[i]] == []
+    # Besides the base phrase "cc by nc", which stays in the longer identifiers, there is no other label.
+    assert [i for i, _ in rows if set(found[i]) - {"mit", "cc-by-nc", labels[i]}] == []
+
+
+def test_words_that_are_identifiers_count_in_no_other_place(spark):
+    texts = ["mit der Hand", "a ruby ring", "curl the hair", "python programs", "the isc and zlib", "under the sun", "License for all", "x11 windows"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.labels for r in licenses.scan(docs).collect()} == {""}
+
+
+def test_every_rule_matches_some_text():
+    """Each rule has a text of its own, made from its pattern."""
+    for rule in license_rules.build_rules():
+        sample = re.sub(r"\(\?<?= \)|\(\?= \)", "", rule.pattern)
+        for a, b in ((r"(?:\S+ ){1,8}?", "x "), (r"{0,4}?", ""), (r"(\S+ ){1,12}", "x "), (r"(\S+ ){0,4}", "x "), (r"f\w+", "fun"), ("[0-9]{2}", "20"), (r"\w+", "x")):
+            sample = sample.replace(a, b)
+        sample = re.sub(r"\[(.)[^]]*\]", r"\1", sample)
+        while m := re.search(r"\((\?:)?([^()|]*)((?:\|[^()]*)?)\)\??", sample):
+            sample = sample[:m.start()] + m[2] + sample[m.end():]
+        sample = re.sub(r"(.)\?", r"\1", sample)
+        assert re.search(rule.pattern, f" {sample.strip()} ".replace("  ", " ")), (rule, sample)
+        assert f" {rule.keyword}" in f" {sample} ".replace("  ", " "), (rule, sample)
+
+
 def test_licenses(spark):
     texts = [
+        "SPDX-License-Identifier: MIT", "released under MIT", "License: Zlib", "MIT licensed", "SPDX-License-Identifier: MIT OR Apache-2.0",
         "Licensed under the Apache License, Version 2.0. See under the MIT license", None, "", "no words here", "CC-BY-NC 4.0 cc by nc",
         "SPDX-License-Identifier: GPL-3.0-or-later", "under the\nMIT\tlicense under the mit license.", "sous la licence MIT", "mit der Hand, permit license",
         "All rights reserved. Copyright (c) 2020", "This work is licensed under the GNU General Public License, version 3.", "cc byé nc", "x " * 3000 + "cc by nc"]
