@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from murmuration.functions.timing import floor_to
 from murmuration.operators.scan import prefix_scan
 from murmuration.params import COMMENT, ENGAGEMENT, KIND_COMMENT, KIND_LIKE, KIND_REPLY, REPLY, Params
+from murmuration.runtime import materialize
 
 
 def comment_kinds(comments: DataFrame) -> DataFrame:
@@ -103,8 +104,9 @@ def activity_digest(activity: DataFrame, p: Params = Params()) -> DataFrame:
     a task. Updates are numbered in (post, metric) order and packed ``digest_page`` to an
     array; no update is left out.
     """
+    # Written out, as range partitioning reads its input twice.
     numbered = prefix_scan(
-        activity.withColumn("_one", F.lit(1).cast("long")),
+        materialize(activity, "activity").withColumn("_one", F.lit(1).cast("long")),
         keys=["as_of_ms"], order=["post_id", "metric"], sums={"_seq": "_one"},
     )
     page = F.floor((F.col("_seq") - 1) / F.lit(p.digest_page)).cast("long")
@@ -131,22 +133,26 @@ def metric_events(events: DataFrame) -> DataFrame:
     return counted.unionByName(people)
 
 
+def _units(events: DataFrame) -> DataFrame:
+    """Units that a metric counts, as rows of a scan in which questions follow what they ask about."""
+    return metric_events(events).select(
+        "post_id", "metric", F.col("ts_ms").alias("at_ms"), F.lit(0).alias("is_question"),
+        F.col("event_id").cast("string").alias("tie"), F.lit(1).cast("long").alias("unit"),
+    )
+
+
 def asof_counts(events: DataFrame, times: DataFrame) -> DataFrame:
     """Number of units with ``ts_ms <= time_ms`` for each (post_id, metric, time_ms).
 
     The as-of join is one running count over units and questions put in time order, so no
     pairs of units and questions are formed.
     """
-    units = metric_events(events).select(
-        "post_id", "metric", F.col("ts_ms").alias("at_ms"), F.lit(0).alias("is_question"),
-        F.col("event_id").cast("string").alias("tie"), F.lit(1).cast("long").alias("unit"),
-    )
     questions = times.select(
         "post_id", "metric", F.col("time_ms").alias("at_ms"), F.lit(1).alias("is_question"),
         F.lit("").alias("tie"), F.lit(0).cast("long").alias("unit"),
     ).distinct()
     return prefix_scan(
-        units.unionByName(questions),
+        _units(events).unionByName(questions),
         keys=["post_id", "metric"], order=["at_ms", "is_question", "tie"], sums={"n": "unit"},
     ).filter("is_question = 1").select("post_id", "metric", F.col("at_ms").alias("time_ms"), "n")
 
@@ -155,24 +161,18 @@ def activity_bounds(activity: DataFrame, events: DataFrame, p: Params = Params()
     """Per metric: updates checked, and updates outside the as-of counts around the tick.
 
     The lower bound is the count one second before the tick, the upper one the count at
-    the end of the window that starts with the tick.
+    the end of the window that starts with the tick. Each update asks for both in the scan and
+    brings its own number along, so nothing is joined.
     """
-    low, high = F.col("as_of_ms") - F.lit(1000), F.col("as_of_ms") + F.lit(p.tick_ms)
-    checked = activity.withColumn("low_ms", low).withColumn("high_ms", high)
-    times = checked.select(
-        "post_id", "metric", F.explode(F.array("low_ms", "high_ms")).alias("time_ms")
-    )
-    asof = asof_counts(events, times)
-
-    def at(edge: str) -> DataFrame:
-        return asof.select(
-            "post_id", "metric", F.col("time_ms").alias(f"{edge}_ms"), F.col("n").alias(f"{edge}_n")
-        )
+    def edge(name: str, at: Column) -> Column:
+        return F.struct(F.lit(name).alias("tie"), at.alias("at_ms"))
 
-    joined = checked.join(at("low"), ["post_id", "metric", "low_ms"]).join(
-        at("high"), ["post_id", "metric", "high_ms"]
-    )
-    return joined.groupBy("metric").agg(
-        F.count("*").alias("n_updates"),
-        F.count_if((F.col("n") < F.col("low_n")) | (F.col("n") > F.col("high_n"))).alias("n_violations"),
-    )
+    low, high = F.col("as_of_ms") - F.lit(1000), F.col("as_of_ms") + F.lit(p.tick_ms)
+    questions = activity.select("post_id", "metric", F.col("n").alias("told"), F.explode(F.array(edge("low", low), edge("high", high))).alias("e")).select(
+        "post_id", "metric", "e.at_ms", F.lit(1).alias("is_question"), "e.tie", F.lit(0).cast("long").alias("unit"), "told")
+    asked = materialize(_units(events).unionByName(questions, allowMissingColumns=True), "bounds")
+    seen = prefix_scan(
+        asked, keys=["post_id", "metric"], order=["at_ms", "is_question", "tie"], sums={"seen": "unit"}).filter("is_question = 1")
+    # The lower count is at most the upper one, so an update is outside one of them at most.
+    outside = F.when(F.col("tie") == "low", F.col("told") < F.col("seen")).otherwise(F.col("told") > F.col("seen"))
+    return seen.groupBy("metric").agg(F.count_if(F.col("tie") == "low").alias("n_updates"), F.count_if(outside).alias("n_violations"))

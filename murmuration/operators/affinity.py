@@ -174,12 +174,12 @@ def _shared(rows: DataFrame, target: list[str], p: Params, selected: DataFrame |
     """(window_end_ms, selected_id, candidate_id, amount) and all but the last of ``target``.
 
     Only targets that a selected person ever touches can count, so all other rows are
-    dropped before any window is formed.
+    dropped before anything is aggregated.
     """
     narrow = _keep_n(rows.filter(F.col(target[-1]).isNotNull()), *target, "person_id", "ts_ms")
     keys = [*target, "person_id"]
     mine = _of(chosen(rows, p, selected), narrow)
-    near = _slices(narrow, keys, p).join(mine.select(*target).distinct(), target, "left_semi")
+    near = _slices(narrow.join(mine.select(*target).distinct(), target, "left_semi"), keys, p)
     theirs = _windows(near, keys, p).withColumnRenamed("person_id", "candidate_id")
     ours = _windows(_slices(mine, keys, p), keys, p).select(
         "window_end_ms", *target, F.col("person_id").alias("selected_id")

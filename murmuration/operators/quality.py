@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from murmuration.operators.scan import prefix_scan
 from murmuration.operators.threads import resolve_roots
+from murmuration.runtime import materialize
 
 # Reject reasons.
 BAD_TIME, ORDER_BROKEN = "bad_time", "order_broken"
@@ -49,7 +50,8 @@ def audit_likes(likes: DataFrame, posts: DataFrame, order: Sequence[str]) -> Dat
     matched = likes.join(_post_times(posts), "post_id", "left").withColumn(
         "_valid_ms", F.when(valid, F.col("ts_ms"))
     )
-    seen = prefix_scan(matched, order, maxes={"_latest": "_valid_ms"})
+    # Written out, as range partitioning reads its input twice.
+    seen = prefix_scan(materialize(matched, "matched-likes"), order, maxes={"_latest": "_valid_ms"})
     return seen.withColumn(
         "reason",
         F.when(F.col("ts_ms").isNull(), BAD_TIME)
