@@ -30,9 +30,8 @@ from murmuration.runtime import materialize
 SPACE, SYMBOLS, ENDINGS = " \t\n\x0b\f\r", "#*$%&|<>", ".!?"
 CLOSING = "\"')]»”"
 WORD = r"[^\x20\x09-\x0D]+"
-# Words without a letter, and words of letters with the marks that prose puts around them.
-LETTERLESS = r"(?<![^\x20\x09-\x0D])[^\p{L}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
-PLAIN = r"(?<![^\x20\x09-\x0D])[\"'(\[¿¡«„]?+\p{L}[\p{L}\p{M}'’-]*+[\"')\]»“.,;:!?]*+(?![^\x20\x09-\x0D])"
+# Runs of what prose is made of: letters, digits, white space and common marks.
+PROSE = r"[\p{L}\p{M}\p{Nd}\x20\x09-\x0D.,;:!?'\"()\-’“”„«»¿¡]+"
 # Frequent words of English, German, French and Spanish.
 STOP_WORDS = ("the of and to in is that it for was on with as are be "
               "der die das und ist nicht ein eine zu den von mit "
@@ -65,8 +64,7 @@ RULES = (
     Rule("word_length", (3, 12), (4, 9)),
     Rule("symbols_per_word", (None, 0.1), (None, 0.02)),
     Rule("letter_share", (0.6, None), (0.85, None)),
-    Rule("lettered_share", (0.8, None), (0.95, None)),
-    Rule("plain_share", (0.6, None), (0.85, None)),
+    Rule("odd_share", (None, 0.1), (None, 0.03)),
     Rule("upper_share", (None, 0.4), (None, 0.15)),
     Rule("dup_line_share", (None, 0.3), (None, 0.05)),
     Rule("repeat_share", (None, 0.3), (None, 0.1)),
@@ -124,11 +122,11 @@ def base_measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         F.char_length(F.regexp_replace(t, r"\P{L}+", "")).alias("letters"),
         F.char_length(F.regexp_replace(t, r"\P{Lu}+", "")).alias("uppers"),
         (F.char_length(t) - F.char_length(_without(t, ENDINGS))).alias("n_endings"),
-        F.regexp_count(t, F.lit(LETTERLESS)).alias("n_letterless"), F.regexp_count(t, F.lit(PLAIN)).alias("n_plain"))
+        F.char_length(F.regexp_replace(t, PROSE, "")).alias("n_odd"))
     w, n = F.col("w"), F.size("w")
     windows = F.transform(F.slice(w, F.lit(1), F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))
     counted = split.select(
-        "doc_id", n.alias("n_words"), "word_chars", "n_symbols", "letters", "uppers", "n_endings", "n_letterless", "n_plain",
+        "doc_id", n.alias("n_words"), "word_chars", "n_symbols", "letters", "uppers", "n_endings", "n_odd",
         F.size("lines").alias("n_lines"), (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.size(F.filter("lines", lambda line: F.substring(F.rtrim(line, F.lit(SPACE + CLOSING)), -1, 1).isin(list(ENDINGS)))).alias("n_ended"),
         F.size(F.array_distinct(w)).alias("n_unique"), F.size(F.filter(w, lambda x: F.lower(x).isin(STOP_WORDS))).alias("n_stop"),
@@ -152,7 +150,7 @@ def votes(measured: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     derived = measured.withColumns({
         "word_length": share("word_chars", "n_words"), "symbols_per_word": share("n_symbols", "n_words"),
         "letter_share": share("letters", "word_chars"),
-        "lettered_share": 1 - share("n_letterless", "n_words"), "plain_share": share("n_plain", "n_words"), "upper_share": share("uppers", "letters"),
+        "odd_share": share("n_odd", "word_chars"), "upper_share": share("uppers", "letters"),
         "dup_line_share": share("n_dup_lines", "n_lines"), "repeat_share": share("n_repeat_words", "n_words"),
         # Distinct words grow ever more slowly with length.
         "unique_share": F.when(F.col("n_words") <= 2000, share("n_unique", "n_words")),

@@ -97,7 +97,7 @@ def test_learning_equals_the_sums_in_numpy(spark):
             assert [a[v] for v in (GOOD, BAD, NONE)] == pytest.approx([b[v] for v in (GOOD, BAD, NONE)])
     assert 0.7 < model.good < 0.9 and all(0.5 < a <= 1 for a in model.accuracies())
     # Two of the telling rules together are enough; a vote of a rule that tells nothing is not.
-    row = spark.createDataFrame([("++-++-+++++++",), ("-++++++++++++",), ("+" * 13,)], "v string").select(model.posterior(F.col("v")).alias("p")).collect()
+    row = spark.createDataFrame([("++-++-++++++",), ("-+++++++++++",), ("+" * 12,)], "v string").select(model.posterior(F.col("v")).alias("p")).collect()
     assert row[0].p < 0.5 < row[1].p < row[2].p
 
 
