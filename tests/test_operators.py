@@ -278,8 +278,10 @@ def test_results_do_not_depend_on_layout(spark, rows):
     assert results[0] == results[1]
 
 
-def test_negative_weights_and_too_many_selected_are_refused():
+def test_negative_weights_and_nobody_selected_are_refused():
     with pytest.raises(ValueError):
         Params(weights={"active": -1})
     with pytest.raises(ValueError):
-        Params(selected=tuple(range(101)))
+        Params(selected=())
+    # There is no upper limit any more.
+    assert len(Params(selected=tuple(range(101))).selected) == 101
