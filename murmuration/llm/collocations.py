@@ -300,12 +300,11 @@ def frequent_phrases(docs: DataFrame, limits: Limits = Limits(), lang: str = "la
     sizes = materialize(made.groupBy("lang", "part").agg(F.sum("own").alias("own")), "shards")
     totals = sizes.groupBy("lang").agg(F.sum("own").alias("total")).where("total > 0")
     lowered = sizes.join(totals, "lang").select("part", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support"))
-    # Words are counted by their hashes, then those that can be frequent by their text.
-    often = materialize(made.select(F.explode(F.arrays_zip("hashes", "counts")).alias("w")).groupBy(F.col("w.hashes").alias("h")).agg(
-        F.sum("w.counts").alias("f")).where(F.col("f") >= limits.support).select("h"), "often")
     words = made.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).where("w.counts > 0") \
         .select("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"), F.col("w.counts").alias("n"))
-    found, count = _frequent(words.join(often, "h", "left_semi"), 1, limits)
+    found, count = _frequent(words, 1, limits)
+    del words
+    release_shuffles(spark)
     for k in range(2, limits.longest + 1):
         frequent = spark.sparkContext.broadcast(Sieve.of(found, count, limits))
         # Dealt by phrase once: its counts in each shard, then those of all shards together, which can
