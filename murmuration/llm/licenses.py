@@ -29,16 +29,43 @@ PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2
 CONFIDENCE = {0: 0.99, 1: 0.9, 2: 0.4}
 
 
+def _branches(keywords: set[tuple[str, ...]], between: str, longest: bool) -> str:
+    """A pattern of keywords that share their first words, so that each word is compared once.
+
+    A keyword may end within a word; of those that begin at a place it finds the longest one, or
+    any if ``longest`` is not asked for.
+    """
+    by_word: dict[str, set[tuple[str, ...]]] = {}
+    for first, *rest in keywords:
+        by_word.setdefault(first, set()).add(tuple(rest))
+    by_letter: dict[str, list[str]] = {}
+    for word in sorted(by_word, key=lambda w: (-len(w), w)):
+        rest = by_word[word] - {()}
+        ends = () in by_word[word]
+        tail = f"{between}{_branches(rest, between, longest)}" if rest and (longest or not ends) else ""
+        by_letter.setdefault(word[0], []).append(word[1:] + (f"(?:{tail})?" if tail and ends else tail))
+    return f"(?:{'|'.join(first + (rest[0] if len(rest) == 1 else f'(?:{'|'.join(rest)})') for first, rest in by_letter.items())})"
+
+
+def _keywords(rules: list[Rule]) -> list[str]:
+    return sorted({r.keyword for r in rules})
+
+
 def gate_pattern(rules: list[Rule]) -> str:
     """Finds in raw text the start of any rule's keyword or of a phrase's first two words."""
     between = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-    wanted = sorted({r.keyword for r in rules} | {" ".join(p.split()[:2]) for p in PHRASES})
-    # One branch per first letter, so that most words are left after one comparison.
-    by_first: dict[str, list[str]] = {}
-    for keyword in wanted:
-        by_first.setdefault(keyword[0], []).append(keyword[1:].replace(" ", between))
-    branches = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
-    return rf"(?i)(?<![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?:{branches})"
+    wanted = {tuple(k.split()) for k in _keywords(rules)} | {tuple(p.split()[:2]) for p in PHRASES}
+    return rf"(?i)(?<![^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]){_branches(wanted, between, False)}"
+
+
+def keywords_in(words: Column, rules: list[Rule]) -> Column:
+    """The keywords in a text's words, found in one pass: the longest at each place, and its beginnings."""
+    known = _keywords(rules)
+    pattern = rf"(?<= )(?=({_branches({tuple(k.split()) for k in known}, ' ', True)}))"
+    held = {k: [x for x in known if k.startswith(x)] for k in known}
+    with_beginnings = F.from_json(F.lit(json.dumps(held)), "map<string, array<string>>")
+    found = F.array_distinct(F.regexp_extract_all(words, F.lit(pattern), F.lit(1)))
+    return F.array_distinct(F.flatten(F.transform(found, lambda k: F.element_at(with_beginnings, k))))
 
 
 def words_of(text: Column) -> Column:
@@ -59,10 +86,11 @@ def detect(texts: DataFrame, rules: list[Rule]) -> DataFrame:
     in characters of the words."""
     # One literal, parsed once when the plan is made.
     table = F.from_json(F.lit(json.dumps([
-        {"rank": i, "label": r.label, "priority": r.priority, "keyword": f" {r.keyword}", "pattern": r.pattern}
+        {"rank": i, "label": r.label, "priority": r.priority, "keyword": r.keyword, "pattern": r.pattern}
         for i, r in enumerate(rules)])), "array<struct<rank: int, label: string, priority: int, keyword: string, pattern: string>>")
-    tried = texts.select("row", "words", F.explode(
-        F.filter(table, lambda r: F.contains(F.col("words"), r["keyword"]))).alias("rule")) \
+    keyed = texts.withColumn("keywords", keywords_in(F.col("words"), rules)).where(F.size("keywords") > 0)
+    tried = keyed.select("row", "words", F.explode(
+        F.filter(table, lambda r: F.array_contains("keywords", r["keyword"]))).alias("rule")) \
         .where(F.rlike("words", F.col("rule.pattern")))
     # What lies between the matches, and the matches, give their places.
     parts = tried.select(
