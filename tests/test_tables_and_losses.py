@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from murmuration import runtime
 from murmuration.functions import codec, text
 from murmuration.operators import activity, affinity, features
 from murmuration.params import Params
@@ -153,3 +154,13 @@ def test_raw_files_come_back_as_they_were(spark, tmp_path):
         F.lit("x").alias(c) for c in ("first_name", "last_name", "gender", "birthday", "creation_date", "location_ip", "browser")])
     with pytest.raises(Exception, match="separator"):
         write_raw(person, str(tmp_path), "person")
+
+
+def test_tasks_of_static_features_do_not_grow_with_the_tables(spark, monkeypatch):
+    """The session has 4 shuffle partitions; purchases are joined with their orders once."""
+    monkeypatch.setattr(runtime, "ROWS_A_TASK", 100)
+    jobs = Jobs(spark, SF)
+    units = jobs._static_units()
+    assert units.rdd.getNumPartitions() == -(-4 * len(jobs.p.selected) * jobs.c.person().count() // 100)
+    assert jobs.c.member().rdd.getNumPartitions() == -(-jobs.c.read("lineitem").count() // 100)
+    assert "orders.parquet" not in "".join(units.inputFiles())
