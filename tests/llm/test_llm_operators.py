@@ -335,6 +335,24 @@ def test_windows_score_each_id_once_and_causally():
     assert len(total) == n and total.sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_training_takes_every_subword_of_every_training_text(spark, monkeypatch):
+    texts = ["some words of a long text " * 80, "another", "", "x y " * 900]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    weights, average = [], attention_lm.averaged
+    monkeypatch.setattr(attention_lm, "averaged", lambda group: weights.append(average(group).column("weight")[0].as_py()) or average(group))
+    draw = np.random.default_rng(2)
+    tables = attention_lm.Tables(draw.integers(0, 500, attention_lm._END + 1), draw.integers(0, 50, (attention_lm.CLASSES,) * 2).astype(float))
+    attention_lm.train(docs, tables, queries.ranks_path())
+    before, after, lengths, _ = attention_lm.joined_texts([attention_lm.words_of(t) for t in texts], queries.ranks_path())
+    assert sum(weights) == len(after)
+    # Taken in parts, each place is scored once, with the loss of the whole.
+    parts = [(part[3][1][:, attention_lm.CONTEXT:].sum(), attention_lm.step(attention_lm.first_params(), tables, *part)[1])
+             for part in attention_lm.steps(before, after, lengths)]
+    assert len(parts) > 1 and sum(n for n, _ in parts) == len(after)
+    whole = attention_lm.step(attention_lm.first_params(), tables, before, after, lengths)[1]
+    assert sum(n * loss for n, loss in parts) / len(after) == pytest.approx(whole, rel=1e-4)
+
+
 @pytest.mark.parametrize("head", [20, 1 << 18])
 def test_base_scores(docs, rows, head):
     found = attention_lm.score(docs, queries.ranks_path(), head_words=head).collect()
