@@ -1,13 +1,14 @@
 """Streams without losses, messages sent once, selected people and lexicons as tables, raw files."""
 
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from murmuration import runtime
 from murmuration.functions import codec, text
-from murmuration.operators import activity, affinity, features
+from murmuration.operators import activity, affinity, features, pairs
 from murmuration.params import Params
 from murmuration.plans.catalog import Jobs
 from murmuration.sources.files import lexicon_table, read_lexicon, read_raw, write_raw
@@ -164,3 +165,24 @@ def test_tasks_of_static_features_do_not_grow_with_the_tables(spark, monkeypatch
     assert units.rdd.getNumPartitions() == -(-4 * len(jobs.p.selected) * jobs.c.person().count() // 100)
     assert jobs.c.member().rdd.getNumPartitions() == -(-jobs.c.read("lineitem").count() // 100)
     assert "orders.parquet" not in "".join(units.inputFiles())
+
+
+def test_many_selected_people_in_small_blocks(spark, monkeypatch):
+    """Blocks of pairs rank as the joins do: overlapping windows, friends, ids as texts, features without weight."""
+    monkeypatch.setattr(pairs, "SELECTED_BLOCK", 11)
+    monkeypatch.setattr(pairs, "CANDIDATE_BLOCK", 40)
+    jobs, day = Jobs(spark, SF), 86_400_000
+    names = [str(i) for i in (1, 2, 3, 7, 11, *range(20, 60))]
+    p = Params(selected=tuple(names), window_ms=10 * day, slide_ms=5 * day,
+               weights=Params().weights | {"sameBrowser": Decimal(0), "sameAge": Decimal(0)})
+    table = spark.createDataFrame([(n,) for n in names], "selected_id string")
+
+    def named(df, *ids):
+        return df.withColumns({c: F.col(c).cast("string") for c in ids})
+
+    c, a = jobs.c, jobs.a
+    tables = [named(t, "person_id") for t in (c.person(), c.member(), c.moderator(), c.interest(), c.language())]
+    rows = affinity.activity_rows(*[named(df, "person_id") for df in (a.raw_posts(), a.likes(), a.direct_comments())])
+    found = pairs.suggest(rows, tables, named(c.knows(), "person1_id", "person2_id"), p, table)
+    blocks = {(r.window_end_ms, r.selected_id, r.rank, r.candidate_id, r.score) for r in found.collect()}
+    assert len(blocks) > 1000 and blocks == _suggested(jobs, p, table, named)
