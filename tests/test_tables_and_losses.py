@@ -186,3 +186,15 @@ def test_many_selected_people_in_small_blocks(spark, monkeypatch):
     found = pairs.suggest(rows, tables, named(c.knows(), "person1_id", "person2_id"), p, table)
     blocks = {(r.window_end_ms, r.selected_id, r.rank, r.candidate_id, r.score) for r in found.collect()}
     assert len(blocks) > 1000 and blocks == _suggested(jobs, p, table, named)
+
+
+def test_word_counts_shuffle_texts_not_words(spark, monkeypatch):
+    """One exchange, of whole texts by their id, in as many parts as their words need; repeated and null ids add up."""
+    docs = spark.createDataFrame([(1, "a b a"), (1, "a  c"), (None, "x"), (None, "x y"), (2, ""), (3, None), (4, " \n")], "doc_id long, text string")
+    found = text.word_counts(docs, "doc_id", "text")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "hashpartitioning(doc_id" in plan and "word" not in plan.split("Exchange ")[1]
+    assert {(r.doc_id, r.word, r.n) for r in found.collect()} == {
+        (1, "a", 3), (1, "b", 1), (1, "", 1), (1, "c", 1), (None, "x", 2), (None, "y", 1), (2, "", 1)}
+    monkeypatch.setattr(runtime, "ROWS_A_TASK", 100)
+    assert text.word_counts(docs.unionAll(spark.createDataFrame([(5, "word " * 1200)], docs.schema)), "doc_id", "text").rdd.getNumPartitions() == 11
