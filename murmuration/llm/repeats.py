@@ -7,9 +7,9 @@ have equal minimisers, so only windows that share one need be compared:
 
 1. windows are made and counted by minimiser; only those with a shared one go on;
 2. windows of equal content are repeated whole, and count as one from here on;
-3. different windows of one minimiser are sorted by their suffixes (``suffix_array``); equal
-   strings are neighbours there. Windows of a crowded minimiser are sorted in chunks of
-   bounded size, whose strings are then compared by their digests;
+3. different windows of one minimiser are sorted together by their suffixes (``suffix_array``);
+   equal strings are neighbours there. Windows of a crowded minimiser are texts of their own, whose
+   starts are assigned anew, by longer grams: from step 1, down to windows of a single start;
 4. repeated starts become spans of documents, and the spans are cut out.
 
 Text is read whole; matches don't cross documents. Defined cases: null texts are empty and stay
@@ -29,17 +29,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
-from xxhash import xxh3_64_intdigest, xxh3_128_intdigest
+from xxhash import xxh3_64_intdigest
 
 from murmuration.llm.common import free_names, grams
-from murmuration.llm.suffix_array import suffix_array
+from murmuration.llm.suffix_array import prefix_ranks
 from murmuration.runtime import materialize
 
 SPAN = 200
 #: Bytes of the grams whose least hash assigns a string.
 GRAM = 48
-#: Windows that are sorted together.
+#: Different windows of one minimiser that are sorted together.
 CHUNK = 1024
+#: Bytes that are sorted at once, where a single minimiser's windows are not more.
+_SORTED = 1 << 20
 #: Bytes of a text that are looked at in one step.
 _STEP = 1 << 22
 
@@ -77,7 +79,7 @@ def _windows_of(span: int, gram: int):
                 rows, found = [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
                     before = len(found)
-                    found.extend(windows((text or "").encode(), span, gram))
+                    found.extend(windows(text, span, gram))
                     rows.extend([row] * (len(found) - before))
                 at = pa.array(rows, pa.int64())
                 minimiser, content, start, starts = zip(*found) if found else ((), (), (), ())
@@ -94,91 +96,65 @@ def _slices(span: int):
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 out = []
-                for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
-                    data = text.encode()
-                    out.extend((w["minimiser"], w["chunk"], w["content"], data[w["start"]:w["start"] + w["starts"] + span - 1])
-                               for w in wanted)
-                columns = list(zip(*out)) or [()] * 4
+                for data, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
+                    out.extend((w["minimiser"], w["content"], data[w["start"]:w["start"] + w["starts"] + span - 1]) for w in wanted)
+                columns = list(zip(*out)) or [()] * 3
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.binary())],
-                    names=["minimiser", "chunk", "content", "data"])
+                    [*(pa.array(c, pa.int64()) for c in columns[:2]), pa.array(columns[2], pa.binary())],
+                    names=["minimiser", "content", "data"])
     return run
 
 
-def repeated_starts(texts: list[bytes], span: int) -> list[list[tuple[int, int]]]:
-    """For each text the (start, class) of its strings of ``span`` bytes; equal strings have
-    one class, and a class of one string is negative."""
-    values: list[int] = []
-    for i, text in enumerate(texts):
-        values.extend(b + len(texts) for b in text)
-        values.append(i)  # ends are all different and less than any byte
-    sizes = np.array([len(t) + 1 for t in texts])
-    owners = np.repeat(np.arange(len(texts)), sizes)
-    offsets = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    order = np.array(suffix_array(values))
-    order = order[(offsets + span < sizes[owners])[order]]  # a whole string fits
-    found: list[list[tuple[int, int]]] = [[] for _ in texts]
-    last, held, number = None, [], 0
-
-    def close() -> None:
-        for i, start in held:
-            found[i].append((start, number if len(held) > 1 else -number))
-
-    for i, start in zip(owners[order].tolist(), offsets[order].tolist()):
-        string = texts[i][start:start + span]
-        if string == last:
-            held.append((i, start))
-        else:
-            close()
-            number += 1
-            last, held = string, [(i, start)]
-    close()
-    return found
-
-
-def _sorted_chunks(span: int):
-    """Starts of each chunk's windows: repeated within the chunk, or, where the minimiser has
-    several chunks, with the string's digest."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["minimiser", "content", "first", "last", "repeated", "d1", "d2"]
-        key, texts, contents = None, [], []
-
-        def finish() -> Iterator[pa.RecordBatch]:
-            if not texts or (len(texts) < 2 and not key[2]):
-                return
-            rows, shown = [], set()
-            for content, text, starts in zip(contents, texts, repeated_starts(texts, span)):
-                if key[2]:
-                    # Strings that are alone in the chunk, and one of each that is not, meet those of other chunks.
-                    for start, number in starts:
-                        if number < 0 or number not in shown:
-                            shown.add(number)
-                            digest = xxh3_128_intdigest(text[start:start + span])
-                            rows.append((content, start, start, number > 0, (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)))
-                # Runs of repeated starts.
-                last = None
-                for start in sorted(at for at, number in starts if number > 0):
-                    if last is not None and start == last + 1:
-                        rows[-1] = (content, rows[-1][1], start, True, 0, 0)
-                    else:
-                        rows.append((content, start, start, True, 0, 0))
-                    last = start
-            if rows:
-                columns = list(zip(*rows))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[0]] * len(rows), pa.int64()),
-                     *(pa.array(c, pa.bool_() if i == 3 else pa.int64()) for i, c in enumerate(columns))], names=names)
+def repeated_runs(data: np.ndarray, ends: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """text, first, last: runs of starts of strings of ``span`` bytes that also start elsewhere.
+
+    The texts lie one after the other in ``data``, up to ``ends``; none is shorter than ``span``.
+    """
+    sizes = np.diff(ends, prepend=0)
+    counts = sizes - span + 1
+    owners = np.repeat(np.arange(len(ends)), counts)
+    starts = np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)
+    # Whole strings end in their text, so what is behind it does not matter.
+    ranks = prefix_ranks(data, span)[np.repeat(ends - sizes, counts) + starts]
+    again = np.flatnonzero(np.bincount(ranks)[ranks] > 1)
+    owners, starts = owners[again], starts[again]
+    edges = np.flatnonzero((np.diff(owners) != 0) | (np.diff(starts) != 1))
+    first, last = np.concatenate([[0], edges + 1]), np.concatenate([edges, [len(again) - 1]])
+    return (owners[first], starts[first], starts[last]) if len(again) else (owners, starts, starts)
+
+
+def _sorted_windows(span: int):
+    """Runs of repeated starts in windows that come sorted by minimiser."""
+    def compare(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        data = rows.column("data").cast(pa.large_binary())
+        offsets = np.frombuffer(data.buffers()[1], np.int64)[data.offset:data.offset + len(data) + 1]
+        values = np.frombuffer(data.buffers()[2], np.uint8)
+        minimiser = rows.column("minimiser").to_numpy()
+        groups = np.concatenate([[0], np.flatnonzero(np.diff(minimiser)) + 1, [len(minimiser)]])
+        at = 0
+        # Equal strings have one minimiser: whole groups are sorted together, as many as there is room for.
+        while at < len(groups) - 1:
+            low = groups[at]
+            at = max(at + 1, int(np.searchsorted(offsets[groups], offsets[low] + _SORTED, "right")) - 1)
+            high = groups[at]
+            if high - low > 1:
+                text, first, last = repeated_runs(values[offsets[low]:offsets[high]], offsets[low + 1:high + 1] - offsets[low], span)
+                here = rows.select(["minimiser", "content"]).slice(low, high - low).take(pa.array(text))
+                yield pa.RecordBatch.from_arrays([*here.columns, pa.array(first), pa.array(last)], names=["minimiser", "content", "first", "last"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            for minimiser, chunk, content, data in zip(*(batch.column(c).to_pylist() for c in ("minimiser", "chunk", "content", "data"))):
-                # ``chunk`` is -1 where the minimiser has one chunk alone.
-                if key is None or key[:2] != (minimiser, chunk):
-                    yield from finish()
-                    key, texts, contents = (minimiser, chunk, chunk >= 0), [], []
-                if not contents or contents[-1] != content:
-                    texts.append(data)
-                    contents.append(content)
-        yield from finish()
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_batches([held, batch]) if held else batch
+            # The last minimiser may go on in the next batch.
+            low = int(np.searchsorted(*(rows.column("minimiser").to_numpy()[i] for i in (slice(None), -1)), "left"))
+            held = rows.slice(low)
+            if low:
+                yield from compare(rows.slice(0, low))
+        if held:
+            yield from compare(held)
     return run
 
 
@@ -192,7 +168,7 @@ def keyed(docs: DataFrame, text: str) -> tuple[DataFrame, str, str]:
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, chunk: int = CHUNK) -> DataFrame:
     """k1, k2, spans: of each text with repeats the (first, past) byte ranges of repeated strings, sorted.
 
-    ``docs`` has k1, k2 (which identify the row) and text, and is read three times.
+    ``docs`` has k1, k2 (which identify the row) and text as bytes, and is read three times.
     """
     small = docs.where(F.octet_length("text") >= span)
     schema = "minimiser long, content long, k1 long, k2 long, start long, starts int"
@@ -200,24 +176,33 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, chunk: i
     shared = made.groupBy("minimiser").agg(F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed")) \
         .where(F.col("n") > 1)
     made = materialize(made.join(shared, "minimiser"), "windows")
-    chunks = F.ceil(F.col("n") / chunk)
     contents = materialize(made.groupBy("minimiser", "content").agg(
         F.count("*").alias("copies"), F.min(F.struct("k1", "k2", "start", "starts")).alias("at"),
-        F.first("mixed").alias("mixed"),
-        F.first(F.when(chunks > 1, F.pmod(F.xxhash64(F.lit(3), "content"), chunks)).otherwise(-1)).alias("chunk")), "contents")
-    wanted = contents.where("mixed").groupBy("at.k1", "at.k2").agg(F.collect_list(
-        F.struct("minimiser", "chunk", "content", F.col("at.start").alias("start"), F.col("at.starts").alias("starts"))).alias("wanted"))
+        F.first("mixed").alias("mixed"), F.first("n").alias("n")), "contents")
+    mixed = contents.where("mixed")
+
+    wanted = mixed.groupBy("at.k1", "at.k2").agg(F.collect_list(
+        F.struct("minimiser", "content", F.col("at.start").alias("start"), F.col("at.starts").alias("starts"))).alias("wanted"))
     slices = small.select("k1", "k2", "text").join(wanted, ["k1", "k2"]).mapInArrow(
-        _slices(span), "minimiser long, chunk long, content long, data binary")
-    strings = materialize(
-        slices.repartition("minimiser", "chunk").sortWithinPartitions("minimiser", "chunk", "content")
-        .mapInArrow(_sorted_chunks(span), "minimiser long, content long, first long, last long, repeated boolean, d1 long, d2 long"), "strings")
-    # Strings of different chunks: the same digest in two of them. A digest of 128 bits stands for the string.
-    digested = strings.where("d1 <> 0 OR d2 <> 0")
-    across = digested.groupBy("minimiser", "d1", "d2").agg(F.count("*").alias("n")).where(F.col("n") > 1).drop("n")
-    run_columns = ["minimiser", "content", "first", "last"]
-    inner = strings.where("repeated").select(*run_columns).unionAll(
-        digested.where("NOT repeated").join(across, ["minimiser", "d1", "d2"]).select(*run_columns))
+        _slices(span), "minimiser long, content long, data binary")
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return rows.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(
+            _sorted_windows(span), "minimiser long, content long, first long, last long")
+
+    crowded = materialize(mixed.where(F.col("n") > chunk).groupBy("minimiser").agg(F.count("*").alias("n"))
+                          .where(F.col("n") > chunk).select("minimiser"), "crowded")
+    if gram >= span or crowded.isEmpty():
+        inner = compared(slices)
+    else:
+        # Starts of crowded windows are assigned once more, by longer grams, which fewer of them share.
+        slices = materialize(slices, "slices")
+        texts = materialize(slices.join(crowded, "minimiser", "left_semi").select(
+            F.col("minimiser").alias("k1"), F.col("content").alias("k2"), F.col("data").alias("text")), "crowded-windows")
+        finer = repeated_spans(texts, span, max(gram + 1, span - (span - gram) // 4), chunk)
+        inner = compared(slices.join(crowded, "minimiser", "left_anti")).unionAll(
+            finer.select(F.col("k1").alias("minimiser"), F.col("k2").alias("content"), F.explode("spans").alias("run")).select(
+                "minimiser", "content", "run.first", F.col("run.past") - span))
     whole = contents.where(F.col("copies") > 1).select(
         "minimiser", "content", F.lit(0).cast("long").alias("first"), (F.col("at.starts") - 1).cast("long").alias("last"))
     starts = inner.unionAll(whole).groupBy("minimiser", "content").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
@@ -254,7 +239,7 @@ def _cut_batch(batch: pa.RecordBatch, text: str, spans: str) -> Iterator[tuple[s
 def _with_spans(docs: DataFrame, text: str, span: int, gram: int, chunk: int) -> tuple[DataFrame, str]:
     docs, k1, k2 = keyed(docs, text)
     (name,) = free_names(docs, "spans")
-    spans = repeated_spans(docs.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(text).cast("string").alias("text")), span, gram, chunk)
+    spans = repeated_spans(docs.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(text).cast("string").cast("binary").alias("text")), span, gram, chunk)
     spans = spans.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(name))
     return docs.join(spans, [k1, k2], "left").drop(k1, k2), name
 

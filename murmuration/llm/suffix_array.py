@@ -1,96 +1,55 @@
-"""Suffix arrays by grouping Lyndon prefixes (linear time, no recursion).
+"""Suffix arrays by prefix doubling (Manber and Myers), in numpy.
 
-Phase one sorts suffixes into groups of equal Lyndon prefix. Groups are processed in
-descending order: each suffix of a group finds its previous smaller suffix by pointers, and the
-suffixes found are moved into new, higher groups, as their prefix grows by the group's.
-Phase two emits the order: suffixes taken in ascending order place, in their groups, those
-whose Lyndon prefix ends where they begin.
+Places are ranked by the first few values from there. Two ranks, of a place and of the one as many
+values behind it, rank it by twice as many, until all ranks differ or the wanted length is reached.
 """
 
 from __future__ import annotations
 
+import numpy as np
+
+#: Bytes that the first ranks compare: numbers to the base 257 of so many digits fit into 63 bits.
+_FIRST = 7
+
+
+def _dense(keys: np.ndarray, most: int) -> np.ndarray:
+    """Ranks 1, 2, .. of the keys 0 .. ``most``; equal keys share one."""
+    n = len(keys)
+    bits = n.bit_length()
+    if most.bit_length() + bits <= 63:  # key and place in one number: sorted without an index
+        both = np.sort((keys << bits) | np.arange(n))
+        order, ordered = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    ranks = np.empty(n, np.int64)
+    ranks[order] = np.concatenate([[1], 1 + np.cumsum(ordered[1:] != ordered[:-1])])
+    return ranks
+
+
+def prefix_ranks(values: np.ndarray, length: int) -> np.ndarray:
+    """For each place the rank of the ``length`` values from there; equal ones share a rank. An end is less than any value."""
+    n = len(values)
+    if not n:
+        return np.empty(0, np.int64)
+    if values.dtype == np.uint8:
+        done, padded = min(_FIRST, length), np.concatenate([values.astype(np.int64) + 1, np.zeros(_FIRST, np.int64)])
+        keys = padded[:n]
+        for i in range(1, done):
+            keys = keys * 257 + padded[i:i + n]
+        ranks = _dense(keys, 257 ** done)
+    else:
+        done, ranks = 1, np.unique(values, return_inverse=True)[1] + 1
+    while done < length:
+        most = int(ranks.max())
+        if most == n:
+            break
+        step = min(done, length - done)
+        ahead = np.concatenate([ranks[step:], np.zeros(min(step, n), np.int64)])
+        ranks, done = _dense(ranks * (most + 1) + ahead, (most + 1) ** 2), done + step
+    return ranks
+
 
 def suffix_array(values: list[int]) -> list[int]:
     """Starts of the suffixes of ``values`` in ascending order."""
-    n = len(values)
-    if n < 2:
-        return list(range(n))
-    # Groups are numbered as they come up; ``lower`` and ``upper`` link them in order.
-    symbols = sorted(set(values))
-    number = {symbol: g for g, symbol in enumerate(symbols)}
-    group = [number[v] for v in values]
-    members: list[list[int]] = [[] for _ in symbols]
-    for i, g in enumerate(group):
-        members[g].append(i)
-    lower = list(range(-1, len(symbols) - 1))
-    upper = [*range(1, len(symbols)), -1]
-    done = [False] * n
-    previous = [-1] * n
-    order: list[int] = []  # groups in descending order
-    sizes: list[int] = []
-    current = len(symbols) - 1
-    while current >= 0:
-        own = [i for i in members[current] if group[i] == current]
-        members[current] = []
-        if own:
-            own.sort()
-            for i in own:
-                done[i] = True
-            # Previous smaller pointers: what is done and lies between is larger.
-            times: dict[int, int] = {}
-            for i in own:
-                p = i - 1
-                while p >= 0 and done[p]:
-                    p = previous[p]
-                previous[i] = p
-                if p >= 0:
-                    times[p] = times.get(p, 0) + 1
-            order.append(current)
-            sizes.append(len(own))
-            # The more often a prefix is extended by this group, the higher the new group.
-            if times:
-                if len(set(times.values())) == 1:
-                    batches = [times.keys()]
-                else:
-                    by_times: dict[int, list[int]] = {}
-                    for p, c in times.items():
-                        by_times.setdefault(c, []).append(p)
-                    batches = [by_times[c] for c in sorted(by_times, reverse=True)]
-                for batch in batches:
-                    made: dict[int, int] = {}
-                    for p in batch:
-                        old = group[p]
-                        new = made.get(old)
-                        if new is None:
-                            new = made[old] = len(members)
-                            members.append([])
-                            above = upper[old]
-                            lower.append(old)
-                            upper.append(above)
-                            upper[old] = new
-                            if above >= 0:
-                                lower[above] = new
-                        group[p] = new
-                        members[new].append(p)
-        current = lower[current]
-    # Where the next suffix of each group goes.
-    head = [0] * len(members)
-    at = 0
-    for g, size in zip(reversed(order), reversed(sizes)):
-        head[g] = at
-        at += size
-    ranked = [-1] * n
-    placed = [False] * n
-    i, rank = n, -1
-    while True:
-        p = i - 1
-        while p >= 0 and not placed[p]:
-            g = group[p]
-            ranked[head[g]] = p
-            head[g] += 1
-            placed[p] = True
-            p = previous[p]
-        rank += 1
-        if rank == n:
-            return ranked
-        i = ranked[rank]
+    return np.argsort(prefix_ranks(np.array(values, np.int64), len(values))).tolist()

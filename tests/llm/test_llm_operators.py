@@ -523,6 +523,31 @@ def test_repeats(docs, rows, chunk):
     assert _sorted(repeats.report(docs, span=60, gram=20, chunk=chunk).collect()) == _sorted(expected)
 
 
+def test_common_passage_is_compared_by_windows(spark, monkeypatch):
+    draw = random.Random(90)
+
+    def letters(n: int) -> str:
+        return "".join(draw.choice("abcdefgh") for _ in range(n))
+
+    passage, tail = letters(58), letters(30)
+    # One passage in all texts, too short to be a repeat alone, and with the same words behind it in some.
+    texts = [letters(80) + passage + (tail if i % 10 == 0 else letters(30)) + letters(50) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables, write = {}, repeats.materialize
+
+    def counted(df, name):
+        table = write(df, name)
+        tables.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(repeats, "materialize", counted)
+    found = {r.doc_id: r.n_removed for r in repeats.report(docs, span=60, gram=20, chunk=16).collect()}
+    assert found == {i: sum(gone) for i, gone in enumerate(_repeated(texts, 60))}
+    assert sum(found.values()) > 0
+    # No table has a row for each start of a string in these windows.
+    assert max(max(sizes) for sizes in tables.values()) <= 2 * tables["windows"][0], tables
+
+
 def test_cut_texts(docs, rows, none):
     found = repeats.remove_repeats(docs, span=60, gram=20)
     assert found.schema == docs.schema
