@@ -78,7 +78,8 @@ def _topic_rows(df: DataFrame, kind: str) -> DataFrame:
     rows = df.withColumns({c: F.col(c).cast("string") for c in ids if c in df.columns})
     fields = prep.event_columns(rows.columns, kind)
     event = rows.select("ts_ms", "arrival_ms", *[fields.get(n, F.lit(None).cast(t)).alias(n) for n, t in EVENT_FIELDS[kind]])
-    return event.select(event_json(kind).alias("value"), "ts_ms", "arrival_ms")
+    # A table that lies in one row group would be one task's work in all that follows: text by text it is dealt anew.
+    return event.repartition("arrival_ms").select(event_json(kind).alias("value"), "ts_ms", "arrival_ms")
 
 
 def _feed_topics(spark: SparkSession, folder: str, tables: dict[str, DataFrame], run: Callable[[Topics], None], fmt: str = "text") -> Topics:

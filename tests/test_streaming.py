@@ -9,7 +9,7 @@ from murmuration.functions.codec import EVENT_FIELDS, TOPICS, decode_tuple, enco
 from murmuration.functions.timing import as_timestamp
 from murmuration.operators import activity, affinity, features, outliers, quality, threads, windows
 from murmuration.params import Params
-from murmuration.plans import prep
+from murmuration.plans import prep, streams
 from murmuration.plans.catalog import Jobs
 from murmuration.runtime import Files
 from murmuration.sources.star import LEXICON, EngagementTables
@@ -377,3 +377,16 @@ def test_the_slowest_input_and_an_idle_one():
     at[0] = 61.0
     assert clock.advance(notes, {"a": 1000}) == 990
     assert clock.advance(notes, {"b": 300}) == 290
+
+
+def test_messages_of_one_row_group_are_the_work_of_many_tasks(spark):
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    rows = spark.range(4000).coalesce(1).select(
+        F.col("id").alias("post_id"), F.lit(1).alias("person_id"), (F.col("id") * 1000).alias("ts_ms"), F.lit("a b").alias("content"),
+        (F.col("id") * 1000 + 7).alias("arrival_ms"))
+    spark.conf.set(key, "1b")
+    try:
+        sizes = [r["count"] for r in streams._topic_rows(rows, "post").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 2000
