@@ -353,6 +353,25 @@ def test_training_takes_every_subword_of_every_training_text(spark, monkeypatch)
     assert sum(n * loss for n, loss in parts) / len(after) == pytest.approx(whole, rel=1e-4)
 
 
+def test_words_that_are_remembered_have_the_ids_of_the_whole_text(rows, monkeypatch):
+    import tiktoken
+    monkeypatch.setattr(attention_lm, "REMEMBERED", 50)
+    words, coded = attention_lm.Words(queries.ranks_path(), {b"x": 3}), []
+    encode = tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: coded.append(text) or encode(self, text))
+    for _, text in [*rows, (0, "it's 12,5 x \u00a0 €")]:
+        found = attention_lm.words_of(text)
+        ids, sizes, seen = words.of([*found, b""])
+        expected = [*encode(packing.encoder(queries.ranks_path()), (b" " + b" ".join(found)).decode()), 50256] if found else [50256]
+        assert ids.tolist() == expected and sizes.sum() == len(ids) and len(sizes) == len(found) + 1
+        assert seen.tolist() == [3 * (w == b"x") for w in found] + [0]
+    # Words that come again are not coded again, as long as they are remembered.
+    coded.clear()
+    words.of([b"again", b"other", b"again"])
+    words.of([b"other", b"again"])
+    assert len("".join(coded).split()) == 2
+
+
 @pytest.mark.parametrize("head", [20, 1 << 18])
 def test_base_scores(docs, rows, head):
     found = attention_lm.score(docs, queries.ranks_path(), head_words=head).collect()
