@@ -11,7 +11,7 @@ from murmuration.functions import codec, text
 from murmuration.operators import activity, affinity, features, pairs
 from murmuration.params import Params
 from murmuration.plans.catalog import Jobs
-from murmuration.sources.files import lexicon_table, read_lexicon, read_raw, write_raw
+from murmuration.sources.files import lexicon_table, raw_lines, read_lexicon, read_raw, write_raw
 from murmuration.sources.star import LEXICON, PeopleTables
 from murmuration.sources.topics import Outbox
 from murmuration.streaming.activity import ThreadedActivity
@@ -157,6 +157,17 @@ def test_raw_files_come_back_as_they_were(spark, tmp_path):
         write_raw(person, str(tmp_path), "person")
 
 
+@pytest.mark.parametrize("text", ["a|b", "a\nb", "a\r"])
+def test_texts_of_a_raw_line_are_searched_without_a_row_function(spark, text):
+    rows = spark.createDataFrame([(1, 2, None), (3, None, "t"), (5, 6, "")], "forum_id long, person_id long, join_date string")
+    lines = raw_lines(rows, "member")
+    assert [r[0] for r in lines.collect()] == ["1|2|", "3||t", "5|6|"]
+    # A lambda is evaluated row by row, outside of generated code.
+    assert "lambda" not in lines._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="separator"):
+        raw_lines(rows.fillna(text, ["join_date"]), "member").collect()
+
+
 def test_tasks_of_static_features_do_not_grow_with_the_tables(spark, monkeypatch):
     """The session has 4 shuffle partitions; purchases are joined with their orders once."""
     monkeypatch.setattr(runtime, "ROWS_A_TASK", 100)
