@@ -392,6 +392,16 @@ def test_base_scores(docs, rows, head):
     assert np.allclose(sorted(r.score for r in found), sorted(r.score for r in other), rtol=1e-3)
 
 
+def test_a_long_unknown_word_has_a_finite_score(spark):
+    held = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2]
+    word = "".join(random.Random(3).choice("qxzjkvw0123456789") for _ in range(900))
+    docs = spark.createDataFrame([(i, word if i in held else "some words") for i in range(40)], "doc_id long, text string")
+    for head in (1, 1 << 18):
+        found = {r.score for r in attention_lm.score(docs, queries.ranks_path(), head_words=head).collect() if r.doc_id in held}
+        # Below what a float's exponent can hold.
+        assert len(held) > 1 and all(-1e5 < s < -320 for s in found)
+
+
 def test_scores_of_nothing(none):
     assert attention_lm.score(none, queries.ranks_path()).count() == 0
 
