@@ -8,7 +8,7 @@ shards. Lengths come one after the other, and only phrases whose shorter parts a
 whole corpus are looked at.
 
 The number of shards does not grow with the corpus, so that the lowered support stays above one; a
-shard is spread over many tasks, whose counts of hashed phrases are added up. Texts are taken apart
+shard is spread over many tasks, whose counts of hashed phrases are added up, dealt by the hash. Texts are taken apart
 once, into blocks of numbered words. What is sent to all tasks are bitmaps of hashes of at most
 ``Limits.filter_bits`` bits: they may let through phrases that are not frequent, never the other way
 round, and the exact counts leave those out.
@@ -20,9 +20,10 @@ a block: it is cut, and phrases across the cut are counted once.
 
 from __future__ import annotations
 
+import functools
 import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -39,13 +40,18 @@ from murmuration.runtime import materialize, write_counting
 # The bytes that end a piece, those between words, and one that no UTF-8 text holds.
 ENDS, BLANKS, MARK = b".,;:!?\n\x0b\x0c\r", b" \t", b"\xff"
 _TABLE = bytes.maketrans(ENDS + BLANKS, MARK * len(ENDS) + b" " * len(BLANKS))
-_BLOCKS = "lang string, part long, known int, own long, tokens array<int>, words array<string>, hashes array<long>, counts array<long>"
+# Arrays are bytes, which Spark need not take apart; words have a space between them. Their hashes, which cannot be
+# compressed, are made again when a block is read.
+_BLOCKS = "lang string, part long, known int, own long, tokens binary, words binary"
 _MINED = "part long, h long, n long"
+_DEALT = "share int, part long, h binary, n binary"
 _COUNTED = "lang string, phrase string, h long, n long"
 
 
 #: A block is large for a row: so few go to Python at once.
 BATCH = "8m"
+#: Phrases that come back from Python at once.
+_ROWS = 1 << 14
 
 
 class Limits(NamedTuple):
@@ -58,6 +64,7 @@ class Limits(NamedTuple):
     block_words: int = 1 << 17
     waiting: int = 1 << 21
     filter_bits: int = 1 << 27
+    share_words: int = 1 << 20
     chunk_bytes: int = 1 << 20
 
 
@@ -84,6 +91,18 @@ class Sieve:
         return (self.bits[(at >> np.uint64(3)).astype(np.intp)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 != 0
 
 
+def _number_type(words: int) -> type:
+    """Of the numbers of so many words."""
+    return np.uint16 if words <= 1 << 16 else np.int32
+
+
+def _numbers(lang: pa.Scalar, tokens: pa.Scalar, words: pa.Scalar) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Words of a block as numbers, and each number's word's hash and the word."""
+    names, seed = words.as_py().split(b" "), xxhash.xxh64_intdigest(lang.as_py())
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, names, itertools.repeat(seed)), np.uint64, len(names))
+    return np.frombuffer(tokens.as_buffer(), _number_type(len(names))), hashes, names
+
+
 class Block:
     """Words of one language as numbers from 1, in order of appearance; 0 stands between pieces."""
 
@@ -111,14 +130,12 @@ class Block:
         """The block as a row of ``_BLOCKS``; words carried over are not its own. ``part`` stands
         for the language and the shard."""
         tokens = np.concatenate(self.runs)
-        counts = np.bincount(tokens[self.known:], minlength=len(self.number))
-        counts[0] = 0
+        own = np.count_nonzero(tokens[self.known:])
         words = list(self.number)
         words[0] = b""
-        seed = xxhash.xxh64_intdigest(self.lang)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
         part = xxhash.xxh64_intdigest(self.lang, shard) >> 1
-        return self.lang, part, self.known, int(counts.sum()), tokens, words, hashes.view(np.int64), counts
+        tokens = tokens.astype(_number_type(len(words)), copy=False)
+        return self.lang, part, self.known, own, tokens.tobytes(), b" ".join(words)
 
 
 _END = np.zeros(1, np.int32)
@@ -146,22 +163,14 @@ def _add(block: Block, data: bytes, limits: Limits) -> Iterator[Block]:
     yield block
 
 
-def _listed(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    ends = np.cumsum([0, *map(len, rows)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows), kind))
-
-
 def _texts(values: list[bytes]) -> pa.Array:
     return pc.cast(pa.array(values, pa.binary()), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True))
 
 
 def _block_batch(row: tuple) -> pa.RecordBatch:
-    lang, part, known, own, tokens, words, hashes, counts = row
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang]), pa.array([part], pa.int64()), pa.array([known], pa.int32()), pa.array([own], pa.int64()),
-         _listed([tokens], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), _texts(words)),
-         _listed([hashes], pa.int64()), _listed([counts], pa.int64())],
-        names=["lang", "part", "known", "own", "tokens", "words", "hashes", "counts"])
+    names = ["lang", "part", "known", "own", "tokens", "words"]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds)], names=names)
 
 
 def blocks(docs: DataFrame, limits: Limits) -> DataFrame:
@@ -219,69 +228,128 @@ def _mined_batch(part: int, found: list[np.ndarray]) -> pa.RecordBatch:
                                       names=["part", "h", "n"])
 
 
-def _mine(made: DataFrame, k: int, frequent, limits: Limits) -> DataFrame:
+def _dealt_batch(shares: int, part: int, found: list[np.ndarray]) -> pa.RecordBatch:
+    """The same as a row for each share of the hashes: their last 32 bits, the share's number being the
+    bits before these, and the counts in bytes; a phrase that needs more than a byte is there again."""
+    h, n = np.unique(np.concatenate(found) & np.uint64((shares << 32) - 1), return_counts=True)
+    again = -(-n // 255)
+    left = n - 255 * (again - 1)
+    h, n = np.repeat(h, again), np.full(again.sum(), 255, np.uint8)
+    n[np.cumsum(again) - 1] = left
+    ends = np.searchsorted(h, np.arange(shares + 1, dtype=np.uint64) << np.uint64(32))
+    some = np.flatnonzero(np.diff(ends))
+    starts = np.append(ends[some], len(h)).astype(np.int32)
+
+    def rows(values: np.ndarray) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(starts * values.dtype.type(1).nbytes), pa.py_buffer(values)])
+
+    return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.full(len(some), part, np.int64)), rows(h.astype(np.uint32)), rows(n)],
+                                      names=["share", "part", "h", "n"])
+
+
+def _mine(made: DataFrame, k: int, frequent, limits: Limits, batch_of: Callable = _mined_batch, schema: str = _MINED) -> DataFrame:
     """part, h, n: the hashed phrases of k words of each shard, counted in pieces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: defaultdict[int, list[np.ndarray]] = defaultdict(list)
         size = 0
         for batch in batches:
-            for part, known, tokens, hashes in zip(*batch.columns):
-                _, h = phrases_at(tokens.values.to_numpy(), hashes.values.to_numpy().view(np.uint64), known.as_py(), k, frequent.value)
+            for part, known, *block in zip(*batch.columns):
+                tokens, hashes, _ = _numbers(*block)
+                _, h = phrases_at(tokens, hashes, known.as_py(), k, frequent.value)
                 waiting[part.as_py()].append(h)
                 size += len(h)
                 if size >= limits.waiting:
-                    yield from itertools.starmap(_mined_batch, waiting.items())
+                    yield from itertools.starmap(batch_of, waiting.items())
                     waiting.clear()
                     size = 0
-        yield from itertools.starmap(_mined_batch, waiting.items())
-
-    return made.select("part", "known", "tokens", "hashes").mapInArrow(run, _MINED)
-
-
-def _in_block(tokens: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """A place of each distinct phrase among those at these places, and its count, by the words' numbers."""
-    key = tokens[at].astype(np.int64)
-    for i in range(1, k):
+        yield from itertools.starmap(batch_of, waiting.items())
+
+    return made.select("part", "known", "lang", "tokens", "words").mapInArrow(run, schema)
+
+
+def _often(support: int, key: tuple, rows: pa.Table) -> pa.Table:
+    """h: the hashes of a share that reach a shard's lowered support, and ``support`` in all shards together. Counts can
+    only be too high, where hashes meet."""
+    parts, first, part = np.unique(rows.column("part").to_numpy(), return_index=True, return_inverse=True)
+    lowered = rows.column("support").to_numpy()[first]
+    h, n = ([np.frombuffer(v.as_buffer(), kind) for v in rows.column(c)] for c, kind in (("h", np.uint32), ("n", np.uint8)))
+    place = np.repeat(part.astype(np.uint64), np.fromiter(map(len, n), np.int64, len(n)))
+    both = np.concatenate(h).astype(np.uint64) << np.uint64(32) | place
+    order = np.argsort(both)
+    both = both[order]
+    new = np.flatnonzero(np.diff(both, prepend=~both[:1]))
+    in_shard = np.add.reduceat(np.concatenate(n)[order], new, dtype=np.int64)
+    h, part = both[new] >> np.uint64(32), (both[new] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    new = np.flatnonzero(np.diff(h, prepend=~h[:1]))
+    keep = (np.add.reduceat(in_shard, new) >= support) & np.logical_or.reduceat(in_shard >= lowered[part], new)
+    return pa.table({"h": (h[new][keep] | np.uint64(key[0].as_py() << 32)).view(np.int64)})
+
+
+def _added(ids: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct phrase once, a row of its words' numbers, with its hash and the sum of its counts."""
+    key = ids[:, 0]
+    for i in range(1, ids.shape[1]):
         # Numbers of words are below 2**31; from the second word on phrases get such numbers, too.
-        key = (key if i == 1 else np.unique(key, return_inverse=True)[1]) << 31 | tokens[at + i]
-    _, first, count = np.unique(key, return_index=True, return_counts=True)
-    return first, count
-
-
-def _counted_batch(lang: str, found: dict[bytes, list[int]]) -> pa.RecordBatch:
-    h, n = zip(*found.values())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(found), pa.string()), _texts(list(found)), pa.array(np.array(h, np.uint64).view(np.int64)),
-         pa.array(n, pa.int64())], names=["lang", "phrase", "h", "n"])
+        key = (key if i == 1 else np.unique(key, return_inverse=True)[1]) << 31 | ids[:, i]
+    _, first, place = np.unique(key, return_index=True, return_inverse=True)
+    return ids[first], h[first], np.bincount(place, n, len(first)).astype(np.int64)
+
+
+class Sums:
+    """Counts of phrases of one task, by numbers that it gives to words."""
+
+    def __init__(self, limits: Limits) -> None:
+        self.limits, self.number, self.size = limits, {}, 0
+        self.waiting: defaultdict[str, list[tuple]] = defaultdict(list)
+
+    def add(self, lang: str, names: list[bytes], ids: np.ndarray, h: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Takes distinct phrases of a block, as rows of its words' numbers; gives what there is no room for."""
+        used, number = np.unique(ids), self.number
+        own = np.zeros(len(names), np.int64)
+        own[used] = [number.setdefault(names[i], len(number)) for i in used.tolist()]
+        self.waiting[lang].append((own[ids], h, n))
+        self.size += len(n)
+        if self.size >= self.limits.waiting >> 2:
+            self.add_up()
+            if self.size >= self.limits.waiting >> 4:
+                yield from self.rest()
+
+    def add_up(self) -> None:
+        for lang, some in self.waiting.items():
+            self.waiting[lang] = [_added(*map(np.concatenate, zip(*some)))]
+        self.size = sum(len(n) for ((_, _, n),) in self.waiting.values())
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        """lang, phrase, h, n, as text."""
+        self.add_up()
+        names = list(self.number)
+        for lang, ((ids, h, n),) in self.waiting.items():
+            for low in range(0, len(n), _ROWS):
+                some = slice(low, low + _ROWS)
+                phrases = [b" ".join([names[i] for i in row]) for row in ids[some].tolist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(phrases), pa.string()), _texts(phrases), pa.array(h[some].view(np.int64)), pa.array(n[some])],
+                    names=["lang", "phrase", "h", "n"])
+        self.number, self.size = {}, 0
+        self.waiting.clear()
 
 
 def _count(made: DataFrame, k: int, frequent, candidates, limits: Limits) -> DataFrame:
     """lang, phrase, h, n: the candidates of k words, counted by their text in parts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: defaultdict[str, dict[bytes, list[int]]] = defaultdict(dict)
+        sums = Sums(limits)
         for batch in batches:
-            for lang, known, tokens, hashes, words in zip(*batch.columns):
-                tokens = tokens.values.to_numpy()
-                at, h = phrases_at(tokens, hashes.values.to_numpy().view(np.uint64), known.as_py(), k, frequent.value)
+            for known, *block in zip(*batch.columns):
+                tokens, hashes, names = _numbers(*block)
+                at, h = phrases_at(tokens, hashes, known.as_py(), k, frequent.value)
                 keep = candidates.value.has(h)
                 at, h = at[keep], h[keep]
-                if not len(at):
-                    continue
-                names = words.values.cast(pa.binary()).to_pylist()
-                found = waiting[lang.as_py()]
-                first, count = _in_block(tokens, at, k)
-                for place, phrase_hash, n in zip(at[first].tolist(), h[first].tolist(), count.tolist()):
-                    phrase = b" ".join([names[i] for i in tokens[place:place + k]])
-                    if phrase in found:
-                        found[phrase][1] += n
-                    else:
-                        found[phrase] = [phrase_hash, n]
-                if sum(map(len, waiting.values())) >= limits.waiting >> 4:
-                    yield from itertools.starmap(_counted_batch, waiting.items())
-                    waiting.clear()
-        yield from itertools.starmap(_counted_batch, waiting.items())
+                if len(at):
+                    ids = tokens[at[:, None] + np.arange(k)].astype(np.int64)
+                    yield from sums.add(block[0].as_py(), names, *_added(ids, h, np.ones(len(h), np.int64)))
+        yield from sums.rest()
 
-    return made.select("lang", "known", "tokens", "hashes", "words").mapInArrow(run, _COUNTED)
+    return made.select("known", "lang", "tokens", "words").mapInArrow(run, _COUNTED)
 
 
 def _frequent(counted: DataFrame, k: int, limits: Limits) -> tuple[DataFrame, int]:
@@ -299,29 +367,30 @@ def frequent_phrases(docs: DataFrame, limits: Limits = Limits(), lang: str = "la
                               F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text")), limits)
     sizes = materialize(made.groupBy("lang", "part").agg(F.sum("own").alias("own")), "shards")
     totals = sizes.groupBy("lang").agg(F.sum("own").alias("total")).where("total > 0")
-    lowered = sizes.join(totals, "lang").select("part", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support"))
-    words = made.select("lang", F.explode(F.arrays_zip("words", "hashes", "counts")).alias("w")).where("w.counts > 0") \
-        .select("lang", F.col("w.words").alias("phrase"), F.col("w.hashes").alias("h"), F.col("w.counts").alias("n"))
-    found, count = _frequent(words, 1, limits)
-    del words
-    release_shuffles(spark)
-    for k in range(2, limits.longest + 1):
-        frequent = spark.sparkContext.broadcast(Sieve.of(found, count, limits))
-        # Dealt by phrase once: its counts in each shard, then those of all shards together, which can
-        # only be too high, where hashes meet.
-        dealt = _mine(made, k, frequent, limits).repartition("h")
-        in_shards = dealt.groupBy("h", "part").agg(F.sum("n").alias("n"))
-        # As many rows of supports as there are shards and languages: Spark sends them along if they are few.
-        union = in_shards.join(lowered, "part").groupBy("h").agg(
-            F.sum("n").alias("f"), F.bool_or(F.col("n") >= F.col("support")).alias("somewhere")
-        ).where(F.col("somewhere") & (F.col("f") >= limits.support)).select("h")
+    # As many rows as there are shards and languages: Spark sends them along if they are few.
+    lowered = materialize(sizes.join(totals, "lang").select("part", F.ceil(limits.support * F.col("own") / F.col("total")).alias("support")), "supports")
+    n_words = sizes.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    shares = max(256, 1 << (n_words // limits.share_words).bit_length())
+
+    def often(key: tuple, rows: pa.Table) -> pa.Table:
+        return _often(limits.support, key, rows)
+
+    # Any word may be frequent.
+    found, count, sieve = None, 0, Sieve(np.full(1 << 12, 255, np.uint8))
+    for k in range(1, limits.longest + 1):
+        frequent = spark.sparkContext.broadcast(sieve)
+        # Dealt by hash once: its counts in each shard, then those of all shards together.
+        dealt = _mine(made, k, frequent, limits, functools.partial(_dealt_batch, shares), _DEALT).join(lowered, "part")
+        union = dealt.groupBy("share").applyInArrow(often, "h long")
         path, size = write_counting(union, f"candidates-{k}", F.lit(True))
         candidates = spark.sparkContext.broadcast(Sieve.of(spark.read.schema("h long").parquet(path), size, limits))
         # What only the bitmap lets through is counted whole, too, and stays below the support.
         longer, more = _frequent(_count(made, k, frequent, candidates, limits), k, limits)
-        found, count = found.unionByName(longer), count + more
-        del dealt, in_shards, union
+        found, count = longer if found is None else found.unionByName(longer), count + more
+        del dealt, union
         release_shuffles(spark)
+        if k < limits.longest:
+            sieve = Sieve.of(found, count, limits)
     return found, totals
 
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +107,20 @@ def test_ratio_is_exact_beyond_64_bits(spark):
     made = spark.createDataFrame(rows, "a long, n long, l long, r long")
     found = made.select("*", collocations.floor_ratio(F.col("a"), F.col("n"), F.col("l"), F.col("r")).alias("s")).collect()
     assert all(r.s == 1000 * r.a * r.n // (r.l * r.r) for r in found)
+
+
+def test_mined_phrases_are_dealt_in_few_bytes_without_loss():
+    draw = np.random.default_rng(3)
+    supports, shares, mined, plain = {7: 5, 2: 90, 9: 300}, 256, defaultdict(list), defaultdict(Counter)
+    seen = draw.integers(0, 1 << 63, 40_000).astype(np.uint64)
+    for part in [7, 2, 9, 7]:
+        found = [draw.choice(seen, 20_000), draw.choice(seen[:300], 9_000), np.repeat(seen[:2], 1000)]
+        plain[part].update(np.concatenate(found).tolist())
+        batch = collocations._dealt_batch(shares, part, found)
+        # Hashes of 32 bits and counts of a byte, and a little for each share.
+        assert batch.nbytes < 6 * len(np.unique(np.concatenate(found))) + 40 * shares
+        for row in batch.to_pylist():
+            mined[row["share"]].append(row | {"support": supports[part]})
+    often = [collocations._often(100, (pa.scalar(share),), pa.Table.from_pylist(rows)).column("h").to_pylist() for share, rows in mined.items()]
+    expected = {h for h in seen.tolist() if sum(n[h] for n in plain.values()) >= 100 and any(n[h] >= supports[p] for p, n in plain.items())}
+    assert 2 < len(expected) < 400 and sorted(h for some in often for h in some) == sorted(h % (shares << 32) for h in expected)
