@@ -142,12 +142,13 @@ def stream_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suggestions of every window that all three topics are past, read back from the messages sent."""
     folder = new_folder(spark, "stream-suggestions")
     c = PeopleTables(spark, sf_dir)
-    static = materialize(affinity.static_total(affinity.static_units(
-        c.person(), c.member(), c.moderator(), c.interest(), c.language(), PARAMS), PARAMS), "static")
-    knows, job = materialize(c.knows(), "knows"), Run(folder, once=True, params=PARAMS)
+    # Made once for all steps.
+    side = affinity.static_side(affinity.static_total(affinity.static_units(
+        c.person(), c.member(), c.moderator(), c.interest(), c.language(), PARAMS), PARAMS), c.knows(), PARAMS)
+    job = Run(folder, once=True, params=PARAMS)
     sink = Topics({"path": f"{folder}/sent"}, "text")
     _feed_topics(spark, folder, _three_kinds(EngagementTables(spark, sf_dir)),
-                 lambda source: start_suggestions(spark, source, job, static, knows, sink).awaitTermination())
+                 lambda source: start_suggestions(spark, source, job, side, None, sink).awaitTermination())
     sent = Outbox(spark, f"{folder}/suggestions/sent", sink.options, sink.fmt).sent_messages("suggestions")
     return decode_suggestions(sent, PARAMS.top_k)
 

@@ -49,7 +49,7 @@ class SuggestionWriter:
             spark, f"{state_dir}/suggestions",
             "window_end_ms long, selected_id long, rank long, candidate_id long, score long",
         )
-        self.static, self.knows, self.p = static, knows, p
+        self.side, self.p = affinity.static_side(static, knows, p), p
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         p = self.p
@@ -67,7 +67,7 @@ class SuggestionWriter:
         closed = affinity.activity_scores(past, p).filter(
             (F.col("window_end_ms") > since) & (F.col("window_end_ms") <= upto)
         )
-        self.suggestions.write(affinity.suggest(closed, self.static, self.knows, p), batch_id)
+        self.suggestions.write(affinity.suggest_beside(closed, self.side, p), batch_id)
         self.done.write(self.done.spark.createDataFrame([(upto,)], self.done.schema), batch_id)
 
 
@@ -76,17 +76,18 @@ class SuggestionJob:
 
     Each batch becomes counts per slide of time; a window is complete when every topic is past its
     end, so a topic that lags holds it. Counts that no open window reaches are dropped. Rows behind
-    the last ranked window are kept in ``late``.
+    the last ranked window are kept in ``late``. ``static`` may be a side that is made already, for a job that is
+    started again and again; friends are in it.
     """
 
-    def __init__(self, spark: SparkSession, state_dir: str, static: DataFrame, knows: DataFrame, p: Params = Params(),
+    def __init__(self, spark: SparkSession, state_dir: str, static: DataFrame | affinity.StaticSide, knows: DataFrame | None, p: Params = Params(),
                  inputs: tuple[str, ...] = ("post", "like", "comment"), id_type: str = "long",
                  on_ranked: Callable[[DataFrame, int], None] | None = None, idle_s: float | None = None,
                  selected: DataFrame | None = None):
         self.spark, self.p, self.on_ranked = spark, p, on_ranked
         self.selected = None if selected is None else materialize(selected, "selected")
         # The static side stays the same for all batches: it is computed once.
-        self.static, self.knows = materialize(static, "static"), materialize(knows, "knows")
+        self.side = static if isinstance(static, affinity.StaticSide) else affinity.static_side(static, knows, p, self.selected)
         self.clock = Clock(inputs, 1000 * p.max_delay_s, idle_s)
         self.state = State(spark, f"{state_dir}/kept", {
             "slices": Kept(f"ts_ms long, kind string, target string, person_id {id_type}, n long")})
@@ -115,7 +116,7 @@ class SuggestionJob:
             past = slices.filter(F.col("ts_ms") < closed)
             scores = affinity.activity_scores(past, p, self.selected).filter(
                 (F.col("window_end_ms") > F.lit(done or 0)) & (F.col("window_end_ms") <= closed))
-            self.suggestions.write(affinity.suggest(scores, self.static, self.knows, p, self.selected), batch_id)
+            self.suggestions.write(affinity.suggest_beside(scores, self.side, p, self.selected), batch_id)
             state.replace("slices", slices.filter(F.col("ts_ms") >= closed + p.slide_ms - reach))
             state.notes["done"] = closed
         state.commit()

@@ -97,11 +97,11 @@ def start_activity(
 
 
 def start_suggestions(
-    spark: SparkSession, source: Topics, run: Run, static: DataFrame, knows: DataFrame,
+    spark: SparkSession, source: Topics, run: Run, static: DataFrame | affinity.StaticSide, knows: DataFrame | None,
     sink: Topics | None = None, topic: str = "suggestions", id_type: str = "long", selected: DataFrame | None = None,
 ) -> StreamingQuery:
     """Suggestions per closed window in ``work_dir/suggestions/state/suggestions``, and as text to
-    ``topic`` of ``sink``. Ids that are no numbers need ``id_type`` string."""
+    ``topic`` of ``sink``. Ids that are no numbers need ``id_type`` string. ``static`` may be a made side (see ``SuggestionJob``)."""
     target = sink or source
     outbox = Outbox(spark, f"{run.work_dir}/suggestions/sent", target.options, target.fmt)
 

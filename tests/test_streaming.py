@@ -1,5 +1,7 @@
 """Streams give the batch results for everything behind the watermark."""
 
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -390,3 +392,14 @@ def test_messages_of_one_row_group_are_the_work_of_many_tasks(spark):
     finally:
         spark.conf.unset(key)
     assert sum(sizes) == 4000 and len(sizes) > 1 and max(sizes) < 2000
+
+
+def test_the_static_side_is_made_once_for_all_steps(spark, monkeypatch):
+    given = []
+    query = SimpleNamespace(awaitTermination=lambda: None)
+    monkeypatch.setattr(streams, "start_suggestions", lambda spark, source, job, static, knows, sink: given.append(static) or query)
+    monkeypatch.setattr(streams, "Outbox", lambda *args: SimpleNamespace(sent_messages=lambda topic: None))
+    monkeypatch.setattr(streams, "decode_suggestions", lambda *args: None)
+    streams.stream_suggestions(spark, SF)
+    assert len(given) > 1 and all(side is given[0] for side in given)
+    assert isinstance(given[0], affinity.StaticSide) and not given[0].top.isEmpty()
