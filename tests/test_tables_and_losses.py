@@ -1,8 +1,11 @@
 """Streams without losses, messages sent once, selected people and lexicons as tables, raw files."""
 
 import json
+import pickle
 from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +212,56 @@ def test_word_counts_shuffle_texts_not_words(spark, monkeypatch):
         (1, "a", 3), (1, "b", 1), (1, "", 1), (1, "c", 1), (None, "x", 2), (None, "y", 1), (2, "", 1)}
     monkeypatch.setattr(runtime, "ROWS_A_TASK", 100)
     assert text.word_counts(docs.unionAll(spark.createDataFrame([(5, "word " * 1200)], docs.schema)), "doc_id", "text").rdd.getNumPartitions() == 11
+
+
+@pytest.mark.parametrize("dense, crowded, weights", [(512, 8, (3, 1, 2)), (0, 0, (3, 1, 2)), (20, 1 << 20, (3, 1, 2)), (20, 8, (0, 1, 0))])
+def test_pairs_that_cannot_reach_a_rank_are_left_out_exactly(monkeypatch, dense, crowded, weights):
+    """Blocks without activity are multiplied only for selected people who can gain by them; the ranks are those of all pairs."""
+    random, n, n_keys, windows, top_k = np.random.default_rng(5), 360, 40, [10, 20, 30], 3
+    kinds = [0, 6, 12]  # tags, years, forums
+    value = np.repeat(np.array(weights, float), np.diff([*kinds, n_keys]))
+    keys = [np.sort(np.concatenate([random.choice(6, random.integers(1, 7), False), random.integers(6, 12, 1), random.choice(np.arange(12, 40), 2)]))
+            if i % 9 else np.empty(0, int) for i in range(n)]
+    ids = random.permutation(n)
+    acts = {(w, i): int(random.integers(0, 4)) for w in range(3) for i in random.choice(100, 40, False)}
+    selected = np.arange(0, n, 7)
+    friends = [(s, int(random.integers(n))) for s in range(len(selected)) for _ in range(3)]
+    rows = [(w, i, int(t), int(random.integers(1, 3))) for w, i in acts for t in random.choice(5, random.integers(0, 3), False)]
+    targets = {(w, s, 5 * w + t) for s, i in enumerate(selected) for w, j, t, _ in rows if i == j}
+    own = [np.unique(keys[i]) for i in selected]
+
+    static = np.array([[sum(value[k] for k in keys[c] if k in own[s]) for c in range(n)] for s in range(len(selected))])
+    common = np.array([[any(k in own[s] for k in keys[c]) for c in range(n)] for s in range(len(selected))])
+    want = set()
+    for w, end in enumerate(windows):
+        score = static + np.array([acts.get((w, c), 0) for c in range(n)])
+        for at, c, t, m in rows:
+            for s in range(len(selected)) if at == w else ():
+                score[s, c] += 20 * m * ((w, s, 5 * w + t) in targets)
+        for s, i in enumerate(selected):
+            good = [c for c in range(n) if c != i and (s, c) not in friends and (common[s, c] or (w, c) in acts)]
+            for rank, c in enumerate(sorted(good, key=lambda c: (-score[s, c], ids[c]))[:top_k]):
+                want.add((end, f"p{i}", rank + 1, f"p{c}", int(score[s, c])))
+
+    def packed(some):
+        acting = sorted((w, -acts[w, i], j) for j, i in enumerate(some) for w in range(3) if (w, i) in acts)
+        shared = sorted((w, j, 5 * w + t, m) for j, i in enumerate(some) for w, at, t, m in rows if at == i)
+        columns = [np.array([x[k] for x in acting], np.int64) for k in (0, 2, 1)]
+        return pickle.dumps((ids[some], pa.array([f"p{i}" for i in some]), np.array([len(keys[i]) for i in some], np.int32),
+                             np.concatenate([keys[i] for i in some]).astype(np.int32), [columns[0], columns[1], -columns[2]],
+                             [np.array([x[k] for x in shared], np.int64) for k in range(4)]), 5)
+
+    values, code = np.unique(np.concatenate([value[k] for k in own]), return_inverse=True)
+    mine = sorted(targets)
+    ours = pickle.dumps((ids[selected], pa.array([f"p{i}" for i in selected]), (np.array([len(k) for k in own], np.int32), np.concatenate(own), values, code),
+                         (np.array([s for _, s, _ in mine]), np.array([t for _, _, t in mine]), np.full(len(mine), 20)),
+                         [np.array([s for s, _ in friends]), ids[[c for _, c in friends]]]), 5)
+    # Those who act come first, the others in the order of their ids.
+    order = np.concatenate([np.arange(100), 100 + np.argsort(ids[100:])])
+    blocks = [packed(order[i:i + 50]) for i in range(0, n, 50)]
+    batches = [pa.RecordBatch.from_pydict({"s_block": pa.array([0]), "s_data": pa.array([ours], pa.binary()), "c_data": pa.array([b], pa.binary())}) for b in blocks]
+    monkeypatch.setattr(pairs, "DENSE", dense)
+    monkeypatch.setattr(pairs, "CROWDED", crowded)
+    found = [r for b in pairs.best_pairs(top_k, windows, kinds, n_keys, 15, pa.string())(iter(batches)) for r in b.to_pylist()]
+    assert len(found) == len(want)
+    assert {(r["window_end_ms"], r["selected_id"], r["rank"], r["candidate_id"], r["score"]) for r in found} == want
